@@ -203,11 +203,12 @@ def describe(spark, folder):
 
 
 @query(" UNION ALL ".join(
-    f"SELECT {p}::DOUBLE AS probability, quantile_cont(l_extendedprice, {p}) AS value FROM lineitem"
+    f"SELECT {p}::DOUBLE AS probability, round(quantile_cont(l_extendedprice, {p}), 6) AS value FROM lineitem"
     for p in (0.1, 0.25, 0.5, 0.75, 0.9)))
 def price_percentiles(spark, folder):
     """Exact percentiles of a column with many distinct values."""
-    return stats.exact_percentiles(table(spark, folder, "lineitem"), "l_extendedprice", (0.1, 0.25, 0.5, 0.75, 0.9))
+    found = stats.exact_percentiles(table(spark, folder, "lineitem"), "l_extendedprice", (0.1, 0.25, 0.5, 0.75, 0.9))
+    return found.withColumn("value", F.round("value", 6))
 
 
 @query("""

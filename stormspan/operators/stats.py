@@ -14,6 +14,14 @@ PERCENTILE_BUCKETS = 4096
 def describe(df: DataFrame, column: str, probabilities: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
     """One row: count, mean, sample deviation, min, percentiles, max."""
     quantiles = exact_percentiles(df, column, probabilities)
+    names = [f"p{round(p * 100)}" for p in probabilities]
+    # One scalar subquery carries all percentiles.
+    picked = quantiles.agg(
+        F.struct(*[
+            F.max(F.when(F.col("probability") == F.lit(p), F.col("value"))).alias(name)
+            for name, p in zip(names, probabilities)
+        ]).alias("picked")
+    ).scalar()
     value = F.col(column).cast("double")
     basics = df.agg(
         F.count(column).alias("count"),
@@ -21,14 +29,8 @@ def describe(df: DataFrame, column: str, probabilities: Sequence[float] = (0.25,
         F.stddev_samp(value).alias("std"),
         F.min(value).alias("min"),
         F.max(value).alias("max"),
-    )
-    picked = {
-        f"p{round(p * 100)}": quantiles.filter(F.col("probability") == F.lit(p)).select("value").scalar()
-        for p in probabilities
-    }
-    return basics.select(
-        "count", "mean", "std", "min", *[c.alias(name) for name, c in picked.items()], "max"
-    )
+    ).withColumn("_picked", picked)
+    return basics.select("count", "mean", "std", "min", *[F.col("_picked")[n].alias(n) for n in names], "max")
 
 
 def exact_percentiles(df: DataFrame, column: str, probabilities: Sequence[float]) -> DataFrame:
@@ -42,11 +44,13 @@ def exact_percentiles(df: DataFrame, column: str, probabilities: Sequence[float]
     """
     value = F.col(column).cast("double").alias("value")
     counts = df.select(value).filter(F.col("value").isNotNull()).groupBy("value").agg(F.count("*").alias("copies"))
-    # One pass over the already counted values gives the range and the row count.
+    # One small job over the counted values gives the range and the row count.
     limits = counts.agg(
-        F.min("value").alias("low"), F.max("value").alias("high"), F.sum("copies").alias("total")
-    )
-    low, high = limits.select("low").scalar(), limits.select("high").scalar()
+        F.struct(
+            F.min("value").alias("low"), F.max("value").alias("high"), F.sum("copies").alias("total")
+        ).alias("limits")
+    ).scalar()
+    low, high, total = (limits.getField(name) for name in ("low", "high", "total"))
     share = F.coalesce(F.try_divide(F.col("value") - low, high - low), F.lit(0.0))
     bucket = F.least(F.floor(share * PERCENTILE_BUCKETS), F.lit(PERCENTILE_BUCKETS - 1))
     counts = counts.withColumn("bucket", bucket)
@@ -57,9 +61,7 @@ def exact_percentiles(df: DataFrame, column: str, probabilities: Sequence[float]
         F.sum("copies").over(ordered).alias("through"),
     )
     # Two ranks per probability: the rows below and above the interpolated place.
-    wanted = limits.select(
-        F.array(*[_rank_struct(p, side) for p in probabilities for side in (0, 1)])
-    ).scalar()
+    wanted = F.array(*[_rank_struct(p, side, total) for p in probabilities for side in (0, 1)])
     hit = buckets.select("*", F.inline(wanted)).filter(
         (F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("through"))
     )
@@ -85,8 +87,8 @@ def exact_percentiles(df: DataFrame, column: str, probabilities: Sequence[float]
     )
 
 
-def _rank_struct(probability: float, side: int) -> Column:
-    place = F.lit(probability) * (F.col("total") - 1)
+def _rank_struct(probability: float, side: int, total: Column) -> Column:
+    place = F.lit(probability) * (total - 1)
     rank = F.floor(place) if side == 0 else F.ceil(place)
     return F.struct(
         F.lit(probability).alias("probability"),
@@ -126,16 +128,17 @@ def linear_fit(df: DataFrame, x: str, y: str) -> DataFrame:
 
 
 def with_prediction(df: DataFrame, x: str, y: str, out: str = "predicted") -> DataFrame:
-    """Fitted value for every row; the one-row model enters as scalar subqueries."""
-    model = linear_fit(df, x, y)
-    slope, intercept = model.select("slope").scalar(), model.select("intercept").scalar()
-    return df.withColumn(out, intercept + slope * F.col(x))
+    """Fitted value for every row; the one-row model enters as a scalar subquery."""
+    model = linear_fit(df, x, y).select(F.struct("slope", "intercept")).scalar()
+    return df.withColumn(out, model.getField("intercept") + model.getField("slope") * F.col(x))
 
 
 def histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
     """Equal-width bins over the column's range, empty bins included; the last bin is closed."""
-    limits = df.agg(F.min(column).cast("double").alias("low"), F.max(column).cast("double").alias("high"))
-    low, high = limits.select("low").scalar(), limits.select("high").scalar()
+    limits = df.agg(
+        F.struct(F.min(column).cast("double").alias("low"), F.max(column).cast("double").alias("high")).alias("limits")
+    ).scalar()
+    low, high = limits.getField("low"), limits.getField("high")
     share = F.coalesce(F.try_divide(F.col(column).cast("double") - low, high - low), F.lit(0.0))
     bin_no = F.least(F.floor(share * bins), F.lit(bins - 1)).cast("int")
     counts = df.filter(F.col(column).isNotNull()).groupBy(bin_no.alias("bin")).agg(F.count("*").alias("rows"))
