@@ -5,6 +5,6 @@ from __future__ import annotations
 
 from .registry import ORACLES, QUERIES
 
-from . import areas, cleaning, overflow, rain, reports, storms  # noqa: E402,F401  (register)
+from . import areas, cleaning, overflow, radar, rain, reports, storms  # noqa: E402,F401  (register)
 
 __all__ = ["ORACLES", "QUERIES"]

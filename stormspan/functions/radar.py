@@ -114,38 +114,46 @@ def add_ray_terms(rays: DataFrame, ellipsoid: Ellipsoid = CLARKE_1866) -> DataFr
         "_sin_alpha": F.col("_cos_u") * F.col("_sin_az"),
     })
     rays = rays.withColumn("_cos2_alpha", 1 - F.col("_sin_alpha") * F.col("_sin_alpha"))
-    u2 = F.col("_cos2_alpha") * F.lit(second_ecc)
-    c2 = F.col("_cos2_alpha")
+    root = F.sqrt(1 + F.col("_cos2_alpha") * F.lit(second_ecc))
+    rays = rays.withColumn("_eps", (root - 1) / (root + 1))
+    e, s1, c2 = F.col("_eps"), F.col("_sigma_1"), F.col("_cos2_alpha")
+    e2, e3, e4 = e * e, e * e * e, e * e * e * e
     return rays.withColumns({
-        "_big_a": 1 + u2 / 16384 * (4096 + u2 * (-768 + u2 * (320 - 175 * u2))),
-        "_big_b": u2 / 1024 * (256 + u2 * (-128 + u2 * (74 - 47 * u2))),
+        "_scale": F.lit(b) * (1 + e2 / 4 + e4 / 64) / (1 - e),
+        "_tau_1": s1
+        + (e3 * 3 / 16 - e / 2) * F.sin(s1 * 2)
+        + (e4 / 32 - e2 / 16) * F.sin(s1 * 4)
+        - e3 / 48 * F.sin(s1 * 6)
+        - e4 * 5 / 512 * F.sin(s1 * 8),
+        "_back_1": e / 2 - e3 * 9 / 32,
+        "_back_2": e2 * 5 / 16 - e4 * 37 / 96,
+        "_back_3": e3 * 29 / 96,
+        "_back_4": e4 * 539 / 1536,
         "_big_c": F.lit(f / 16) * c2 * (4 + F.lit(f) * (4 - 3 * c2)),
     })
 
 
-RAY_TERMS = (
-    "_sin_az", "_cos_az", "_tan_u", "_cos_u", "_sin_u", "_sigma_1",
-    "_sin_alpha", "_cos2_alpha", "_big_a", "_big_b", "_big_c",
-)
+def add_lat_lon(gates: DataFrame, metres: str, keep: tuple[str, ...], ellipsoid: Ellipsoid = CLARKE_1866) -> DataFrame:
+    """Place gates by the direct geodesic on the ellipsoid: ``keep``, lat, lon.
 
-
-def add_lat_lon(gates: DataFrame, metres: str, ellipsoid: Ellipsoid = CLARKE_1866) -> DataFrame:
-    """Vincenty's direct geodesic with a fixed number of rounds, as expressions.
-
-    Each round shrinks the error by the squared eccentricity times the arc, so
-    four rounds are below double precision for every radar range.
+    Arc length is turned into the arc on the auxiliary sphere by the reverted
+    series (Karney 2013), and the arc into a position by Vincenty's closed
+    formulas, so there is no iteration.  The position leaves through a one-row
+    generator: a filter on lat or lon would otherwise be pushed down through
+    the steps and repeat all of them inside the predicate.
     """
     f = ellipsoid.flattening
-    b = ellipsoid.semi_major * (1 - f)
-    gates = gates.withColumn("_arc", F.col(metres) / (F.lit(b) * F.col("_big_a")))
-    gates = gates.withColumn("_sigma", F.col("_arc"))
-    for _ in range(4):
-        gates = gates.withColumns({
-            "_cos_2m": F.cos(2 * F.col("_sigma_1") + F.col("_sigma")),
-            "_sin_s": F.sin("_sigma"),
-            "_cos_s": F.cos("_sigma"),
-        })
-        gates = gates.withColumn("_sigma", F.col("_arc") + _sigma_change())
+    tau = F.col("_tau")
+    gates = gates.withColumn("_tau", F.col("_tau_1") + F.col(metres) / F.col("_scale"))
+    gates = gates.withColumn(
+        "_sigma",
+        tau
+        - F.col("_sigma_1")
+        + F.col("_back_1") * F.sin(tau * 2)
+        + F.col("_back_2") * F.sin(tau * 4)
+        + F.col("_back_3") * F.sin(tau * 6)
+        + F.col("_back_4") * F.sin(tau * 8),
+    )
     gates = gates.withColumns({
         "_cos_2m": F.cos(2 * F.col("_sigma_1") + F.col("_sigma")),
         "_sin_s": F.sin("_sigma"),
@@ -162,13 +170,10 @@ def add_lat_lon(gates: DataFrame, metres: str, ellipsoid: Ellipsoid = CLARKE_186
     c, cos_2m = F.col("_big_c"), F.col("_cos_2m")
     bend = F.col("_sigma") + c * sin_s * (cos_2m + c * cos_s * (-1 + 2 * cos_2m * cos_2m))
     shift = turn - (1 - c) * F.lit(f) * sin_alpha * bend
-    placed = gates.withColumns({"lat": F.degrees(lat), "lon": F.col("site_lon") + F.degrees(shift)})
-    return placed.drop("_arc", "_sigma", "_cos_2m", "_sin_s", "_cos_s", *RAY_TERMS)
+    return at_position(gates, keep, F.degrees(lat), F.col("site_lon") + F.degrees(shift))
 
 
-def _sigma_change() -> Column:
-    b, sin_s, cos_s, cos_2m = (F.col(c) for c in ("_big_b", "_sin_s", "_cos_s", "_cos_2m"))
-    inner = cos_s * (-1 + 2 * cos_2m * cos_2m) - b / 6 * cos_2m * (-3 + 4 * sin_s * sin_s) * (
-        -3 + 4 * cos_2m * cos_2m
-    )
-    return b * sin_s * (cos_2m + b / 4 * inner)
+def at_position(gates: DataFrame, keep: tuple[str, ...], lat: Column, lon: Column) -> DataFrame:
+    """``keep`` with the computed ``lat`` and ``lon``, shielded from predicate pushdown."""
+    position = F.array(F.struct(lat.alias("lat"), lon.alias("lon")))
+    return gates.select(*keep, F.inline(position))

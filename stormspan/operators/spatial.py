@@ -20,6 +20,7 @@ from ..functions.radar import (
     Ellipsoid,
     add_lat_lon,
     add_ray_terms,
+    at_position,
     rain_rate,
     sphere_lat_lon,
 )
@@ -53,12 +54,12 @@ def gates_to_points(
     gates = gates.filter(echo).withColumn(
         "_metres", (F.col("first_gate") + F.col("gate") * F.col("gate_width")) * 1000
     )
+    keep = (*keep, "gate", "dbz")
     if ellipsoid is not None:
-        points = add_lat_lon(gates, "_metres", ellipsoid)
+        points = add_lat_lon(gates, "_metres", keep, ellipsoid)
     else:
-        lat, lon = sphere_lat_lon(F.col("site_lat"), F.col("site_lon"), F.col("azimuth"), F.col("_metres"))
-        points = gates.withColumns({"lat": lat, "lon": lon})
-    points = points.select(*keep, "gate", "dbz", "lat", "lon")
+        place = sphere_lat_lon(F.col("site_lat"), F.col("site_lon"), F.col("azimuth"), F.col("_metres"))
+        points = at_position(gates, keep, *place)
     return points.filter(box.holds("lat", "lon")) if box else points
 
 
