@@ -86,8 +86,8 @@ def parse_ranges(spark, folder):
         )
         .otherwise(F.date_format(start, "M/d/yy"))
     )
-    parsed = table(spark, folder, "orders").select("o_orderkey", clean.date_range(text).alias("r"))
-    return parsed.select("o_orderkey", "r.*")
+    written = table(spark, folder, "orders").select("o_orderkey", text.alias("text"))
+    return clean.with_date_range(written, "text").drop("text")
 
 
 @query("""

@@ -86,29 +86,33 @@ def close_time(opened: Column | str, minutes: Column | str) -> Column:
     return add_minutes(opened, minutes)
 
 
-def date_range(text: Column | str) -> Column:
-    """Irregular date ranges -> struct(start_date, end_date, year).
+def with_date_range(df: DataFrame, text: str) -> DataFrame:
+    """Irregular date ranges -> columns start_date, end_date, year.
 
     Accepts 'm/d/y', 'm/d-d/y' and 'm/d-m/d/y'.  Two-digit years above 20 lie in
-    the 1900s, the rest in the 2000s.  A single day has no end date.
+    the 1900s, the rest in the 2000s.  A single day has no end date; a text of
+    another shape gives nulls.
     """
-    text = F.trim(_col(text))
-    shape = r"^(\d+)/(\d+)(?:-(?:(\d+)/)?(\d+))?/(\d+)$"
-    start_month, start_day, end_month, end_day, year = (
-        F.nullif(F.regexp_extract(text, shape, i), F.lit("")).try_cast("int") for i in range(1, 6)
+    shape = r"^\s*(\d+)/(\d+)(?:-(?:(\d+)/)?(\d+))?/(\d+)\s*$"
+    names = ("_m1", "_d1", "_m2", "_d2", "_y")
+    parts = df.withColumns({
+        name: F.regexp_extract(text, shape, i + 1).try_cast("int") for i, name in enumerate(names)
+    })
+    year = F.col("_y")
+    parts = parts.withColumn(
+        "year", F.when(year >= 1985, year).when(year > 20, year + 1900).otherwise(year + 2000)
     )
-    full_year = F.when(year >= 1985, year).when(year > 20, year + 1900).otherwise(year + 2000)
-    start = _date(full_year, start_month, start_day)
-    end = F.when(end_day.isNotNull(), _date(full_year, F.coalesce(end_month, start_month), end_day))
-    return F.struct(start.alias("start_date"), end.alias("end_date"), full_year.alias("year"))
+    return parts.withColumns({
+        "start_date": _date("year", "_m1", "_d1"),
+        "end_date": _date("year", F.coalesce("_m2", "_m1"), "_d2"),
+    }).drop(*names)
 
 
-def _date(year: Column, month: Column, day: Column) -> Column:
-    text = F.concat_ws("-", year.cast("string"), month.cast("string"), day.cast("string"))
-    return F.when(
-        year.isNotNull() & month.isNotNull() & day.isNotNull(),
-        F.try_to_timestamp(text, F.lit("yyyy-M-d")).cast("date"),
-    )
+def _date(year: Column | str, month: Column | str, day: Column | str) -> Column:
+    """Date of three numbers; null when one is missing or the day does not exist."""
+    parts = [_col(c).cast("string") for c in (year, month, day)]
+    dashed = F.concat(parts[0], F.lit("-"), parts[1], F.lit("-"), parts[2])
+    return dashed.try_cast("date")
 
 
 def shifted_micros(micros: Column | str, hours_back: int = 5) -> Column:

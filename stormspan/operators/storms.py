@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.calendar import end_of_day, hour_number, hour_start
+from ..functions.calendar import day_number, hour_number, hour_start
 from ..functions.thresholds import Band
 from .series import rolling_column, rolling_totals
 
@@ -23,23 +23,48 @@ def classified_windows(
     """
     keys = list(keys)
     rolled = rolling_totals(series, keys, ts, value, [b.hours for b in bands], full=full, **more)
-    reached = None
-    for band in bands:
-        hit = F.col(rolling_column(band.hours)) >= F.lit(band.lowest)
-        reached = hit if reached is None else reached | hit
-    windows = F.array(*[
+    reached = _any(F.col(rolling_column(b.hours)) >= F.lit(b.lowest) for b in bands)
+    spread = _per_duration(bands, inches=lambda b: F.col(rolling_column(b.hours)))
+    return (
+        rolled.filter(reached)
+        .select(*keys, F.col(ts).alias("end_time"), F.inline(spread))
+        .filter(F.col("inches") >= F.col("limit_0"))
+        .select(*keys, "end_time", "duration_hrs", _class_of("inches", bands).alias("n"), "inches")
+    )
+
+
+def _any(conditions) -> Column:
+    found = None
+    for condition in conditions:
+        found = condition if found is None else found | condition
+    return found
+
+
+def _per_duration(bands: Sequence[Band], **fields) -> Column:
+    """An array with one struct per duration: its limits and the given fields.
+
+    Spreading durations over rows before classifying keeps one CASE in the
+    generated code instead of one per duration, small enough to be compiled.
+    """
+    return F.array(*[
         F.struct(
             F.lit(band.hours).alias("duration_hrs"),
-            band.classify(rolling_column(band.hours)).alias("n"),
-            F.col(rolling_column(band.hours)).alias("inches"),
+            *[field(band).alias(name) for name, field in fields.items()],
+            *[F.lit(float(limit)).alias(f"limit_{i}") for i, (_, limit) in enumerate(band.limits)],
         )
         for band in bands
     ])
-    return (
-        rolled.filter(reached)
-        .select(*keys, F.col(ts).alias("end_time"), F.inline(windows))
-        .filter(F.col("n").isNotNull())
-    )
+
+
+def _class_of(inches: str, bands: Sequence[Band]) -> Column:
+    """Largest n whose limit, carried by the row, is reached."""
+    periods = [n for n, _ in bands[0].limits]
+    if any([n for n, _ in band.limits] != periods for band in bands):
+        raise ValueError("all durations need the same return periods")
+    chain = F
+    for i, n in reversed(list(enumerate(periods))):
+        chain = chain.when(F.col(inches) >= F.col(f"limit_{i}"), F.lit(n))
+    return chain.otherwise(F.lit(None).cast("int"))
 
 
 def storm_candidates(
@@ -61,10 +86,6 @@ def band_counts(
     return found.groupBy("duration_hrs", "n").agg(F.count("*").alias("windows"))
 
 
-# A group handed to the chooser holds whole islands until this many candidates.
-CHOICE_ROWS = 20_000
-
-
 def choose_without_overlap(
     candidates: DataFrame, keys: Sequence[str], rank: Sequence[tuple[str, bool]], *, closed: bool = True
 ) -> DataFrame:
@@ -75,61 +96,78 @@ def choose_without_overlap(
     ``start_time`` and ``end_time`` must lie on whole hours.
 
     Intervals of different islands (maximal runs of overlapping candidates)
-    cannot conflict, so the walk is made inside groups of whole islands.  Small
-    islands share a group to spare per-group cost; a new group starts once
-    ``CHOICE_ROWS`` candidates have passed.  One station has at most one
-    candidate per hour and duration, so a single island is bounded by the
-    length of the wet spell that chains it.
+    cannot conflict, so each island is walked by itself.  A window marks where
+    islands open; its output is clustered by key and ordered by start within the
+    same stage, so the Arrow function streams over it and holds one island plus
+    one batch, never a whole station.  An island has at most one candidate per
+    hour and duration of the wet spell that chains it.
     """
     keys = list(keys)
     ordered = Window.partitionBy(*keys).orderBy("_from", "_to")
-    earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    so_far = ordered.rowsBetween(Window.unboundedPreceding, 0)
-    last_end = F.max("_to").over(earlier)
-    opens = F.col("_from") > F.col("_last") if closed else F.col("_from") >= F.col("_last")
-    grouped = (
+    last_end = F.max("_to").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    apart = F.col("_from") > F.col("_last") if closed else F.col("_from") >= F.col("_last")
+    marked = (
         candidates.withColumns({"_from": hour_number("start_time"), "_to": hour_number("end_time")})
         .withColumn("_last", last_end)
-        .withColumn("_row", F.row_number().over(ordered))
-        .withColumn("_block", F.when(F.col("_last").isNull() | opens, F.floor(F.col("_row") / CHOICE_ROWS)))
-        .withColumn("_block", F.last("_block", ignorenulls=True).over(so_far))
-    )
-    kept = grouped.groupBy(*keys, "_block").applyInArrow(
-        _first_free(tuple(rank), closed), grouped.schema
+        .withColumn("_opens", F.coalesce(apart, F.lit(True)))
+        .drop("_last")
+        .sortWithinPartitions(*keys, "_from", "_to")
     )
+    kept = marked.mapInArrow(_first_free(tuple(rank), closed), marked.schema)
     return kept.select(*candidates.columns)
 
 
 def _first_free(rank: tuple[tuple[str, bool], ...], closed: bool):
-    """Chooser for one group of islands: mark hours as taken in rank order.
+    """Chooser over a partition's islands: mark hours as taken in rank order.
 
     A nested function travels to the workers by value, so they need no copy of
     this package.
     """
 
-    def choose(group):
+    def choose(batches):
         import numpy as np
         import pyarrow as pa
 
-        start = group.column("_from").to_numpy()
-        stop = group.column("_to").to_numpy() + (1 if closed else 0)
-        sort_keys = []
-        for name, descending in reversed(rank):
-            column = group.column(name)
-            if pa.types.is_timestamp(column.type):
-                column = column.cast(pa.int64())
-            values = column.to_numpy()
-            sort_keys.append(-values if descending else values)
-        first = start.min()
-        start, stop = start - first, stop - first
-        taken = np.zeros(stop.max(), dtype=bool)
-        keep = np.zeros(len(start), dtype=bool)
-        for i in np.lexsort(sort_keys):
-            hours = taken[start[i] : stop[i]]
-            if not hours.any():
-                hours[:] = True
-                keep[i] = True
-        return group.filter(pa.array(keep))
+        def walk(islands):
+            start = islands.column("_from").to_numpy()
+            stop = islands.column("_to").to_numpy() + (1 if closed else 0)
+            # Lay the islands end to end on one axis of hours.
+            first_row = np.flatnonzero(islands.column("_opens").to_numpy())
+            first_hour = start[first_row]
+            length = np.maximum.reduceat(stop, first_row) - first_hour
+            begin = np.concatenate(([0], np.cumsum(length)))
+            rows = np.diff(np.append(first_row, len(start)))
+            shift = np.repeat(begin[:-1] - first_hour, rows)
+            start, stop = start + shift, stop + shift
+            order = []
+            for name, descending in reversed(rank):
+                column = islands.column(name)
+                if pa.types.is_timestamp(column.type):
+                    column = column.cast(pa.int64())
+                values = column.to_numpy()
+                order.append(-values if descending else values)
+            taken = np.zeros(begin[-1], dtype=bool)
+            keep = np.zeros(len(start), dtype=bool)
+            for i in np.lexsort(order):
+                hours = taken[start[i] : stop[i]]
+                if not hours.any():
+                    hours[:] = True
+                    keep[i] = True
+            return islands.filter(pa.array(keep)).to_batches()
+
+        waiting = []
+        for batch in batches:
+            opens = np.flatnonzero(batch.column("_opens").to_numpy(zero_copy_only=False))
+            if len(opens) == 0:
+                waiting.append(batch)
+                continue
+            waiting.append(batch.slice(0, opens[-1]))
+            done = pa.Table.from_batches(waiting)
+            if done.num_rows:
+                yield from walk(done)
+            waiting = [batch.slice(opens[-1])]
+        if waiting:
+            yield from walk(pa.Table.from_batches(waiting))
 
     return choose
 
@@ -206,51 +244,54 @@ def highest_storm_before(
     })
     # A label at midnight closes the day before, so it is the last one of the
     # slice ending there and the first one of the slice starting there.
-    first_midnight = F.floor(F.col("_hour") / 24)
+    last_midnight = F.floor(F.col("_hour") / 24)
     copies = F.array(*[
-        F.struct(
-            (first_midnight - j + days).alias("_slice"),
-            F.col(f"_before_{j}").alias("_unseen"),
-        )
+        F.struct((last_midnight - j + days).alias("_slice"), F.col(f"_before_{j}").alias("_unseen"))
         for j in range(days + 1)
     ])
+    durations = _per_duration(bands, _past=lambda b: F.col(f"_past_{b.hours}"))
+    amount = F.lit(float(unit))
+    # A total cut at the slice's start is at most the uncut one, so a duration
+    # whose uncut total misses its lowest limit is dropped before the copies.
+    reached = _any((F.col("_sum") - F.col(f"_past_{b.hours}")) / amount >= F.lit(b.lowest) for b in bands)
     rows = (
-        rows.filter(F.col("_units") > 0)
-        .select(*keys, ts, "_hour", "_sum", *[f"_past_{k}" for k in hours], F.inline(copies))
+        rows.filter((F.col("_units") > 0) & reached)
+        .withColumn("_copies", copies)
+        .select(*keys, "_hour", "_sum", "_copies", F.inline(durations))
+        .filter((F.col("_sum") - F.col("_past")) / amount >= F.col("limit_0"))
+        .select("*", F.inline("_copies"))
         .filter(F.col("_hour") <= F.col("_slice") * 24)
+        .withColumn("_units", F.col("_sum") - F.greatest("_past", "_unseen"))
+        .withColumn("_inches", F.col("_units") / amount)
+        .filter(F.col("_inches") >= F.col("limit_0"))
     )
-    best = F.greatest(*[_window_class(b, unit, ts) for b in bands]) if len(bands) > 1 else _window_class(bands[0], unit, ts)
-    storms = (
-        rows.select(*keys, "_slice", best.alias("_best"))
-        .filter(F.col("_best").isNotNull())
-        .groupBy(*keys, "_slice")
-        .agg(F.max("_best").alias("_best"))
+    # The preference order as one number, so that the aggregate is a hashed max
+    # of a long: n, duration, amount, hours between the window's end and the
+    # slice's end.
+    span, most = days * 24 + 1, 10**11
+    ahead = F.col("_slice") * 24 - F.col("_hour")
+    grade = _class_of("_inches", bands) * 1000 + F.col("duration_hrs")
+    code = (grade.cast("bigint") * most + F.col("_units")) * span + ahead
+    storms = rows.select(*keys, "_slice", code.alias("_code")).groupBy(*keys, "_slice").agg(
+        F.max("_code").alias("_code")
     )
-    found = events.withColumn("_slice", F.floor(hour_number(end_of_day(event_ts)) / 24)).join(
+    ahead, rest = F.col("_code") % span, F.expr(f"_code div {span}")
+    storms = storms.select(
+        *keys,
+        "_slice",
+        (F.col("_slice") * 24 - ahead).alias("_end"),
+        (rest % most / amount).alias("inches"),
+        F.expr(f"_code div {span * most}").cast("int").alias("_grade"),
+    )
+    found = events.withColumn("_slice", day_number(event_ts) + 1).join(
         storms, [*keys, "_slice"], "left"
     )
     return found.select(
         *events.columns,
-        F.col("_best.n").alias("n"),
-        F.col("_best.duration_hrs").alias("duration_hrs"),
-        F.col("_best.inches").alias("inches"),
-        hour_start(-F.col("_best.neg_end")).alias("storm_end"),
-    )
-
-
-def _window_class(band: Band, unit: int, ts: str) -> Column:
-    """Class of one duration inside a slice, as a struct that sorts by preference."""
-    start = F.greatest(F.col(f"_past_{band.hours}"), F.col("_unseen"))
-    inches = (F.col("_sum") - start) / F.lit(float(unit))
-    n = band.classify(inches)
-    return F.when(
-        n.isNotNull(),
-        F.struct(
-            n.alias("n"),
-            F.lit(band.hours).alias("duration_hrs"),
-            inches.alias("inches"),
-            (-F.col("_hour")).alias("neg_end"),
-        ),
+        F.expr("cast(_grade div 1000 as int)").alias("n"),
+        (F.col("_grade") % 1000).alias("duration_hrs"),
+        "inches",
+        hour_start("_end").alias("storm_end"),
     )
 
 

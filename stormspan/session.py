@@ -18,6 +18,7 @@ def local_session(cores: int | str = "*", **extra: str) -> SparkSession:
     settings = {
         **SETTINGS,
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": "8",
         "spark.driver.memory": "8g",
         **extra,
