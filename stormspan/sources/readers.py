@@ -136,7 +136,7 @@ def read_polygons(spark: SparkSession, path: str, id_field: str = "id") -> DataF
 
 def read_text_whole(spark: SparkSession, path: str) -> DataFrame:
     """One row per text file: (path, value)."""
-    return spark.read.option("wholetext", True).text(path).select(
+    return spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("path"), "value"
     )
 
