@@ -120,8 +120,20 @@ def rate_to_depth(spark, folder):
 
 
 @query("""
-SELECT event_id, user_id, ts, prev_ts, prev_event_id FROM (
-  SELECT event_id, user_id, ts, lag(ts) OVER w AS prev_ts, lag(event_id) OVER w AS prev_event_id
+SELECT event_id, user_id, ts, lag(ts) OVER w AS prev_ts, lag(event_id) OVER w AS prev_event_id,
+  lag(value) OVER w AS prev_value
+FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)
+""")
+def previous_reading(spark, folder):
+    """Each reading with the one before it."""
+    events = table(spark, folder, "events").select("event_id", "user_id", "ts", "value")
+    found = neighbours.with_neighbours(events, ["user_id"], "ts", "event_id", ["event_id", "value"])
+    return found.drop("value")
+
+
+@query("""
+SELECT event_id, user_id, ts, prev_ts FROM (
+  SELECT event_id, user_id, ts, lag(ts) OVER w AS prev_ts
   FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
 WHERE prev_ts IS NOT NULL
 """)

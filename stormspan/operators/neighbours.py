@@ -28,25 +28,28 @@ def with_neighbours(
     previous: bool = True,
     following: bool = False,
 ) -> DataFrame:
-    """Add ``prev_<c>`` / ``next_<c>`` for the timestamp, the tie breaker and ``carry``.
+    """Add ``prev_<c>`` / ``next_<c>`` for the timestamp and the ``carry`` columns.
 
-    Order is (ts, tie); rows without a timestamp are left out.
+    Order is (ts, tie); rows without a timestamp are left out.  With nothing to
+    carry the summary is a plain minimum and maximum of the timestamp, which is
+    hashed; carried columns need a maximum over structs, which sorts.
     """
     keys = list(keys)
-    fields = [ts, tie, *[c for c in carry if c not in (ts, tie)]]
+    fields = [ts, *[c for c in carry if c != ts]]
     chunked = rows.filter(F.col(ts).isNotNull()).withColumn(
         "_chunk", F.floor(hour_number(ts) / chunk_hours)
     )
-    place = F.struct(*fields)
+    place = F.struct(ts, tie, *[c for c in fields if c not in (ts, tie)]) if carry else F.struct(ts)
+    edge = place if carry else F.col(ts)
     sides = {}
     if previous:
-        sides["prev"] = (F.lag, F.max(place).alias("_edge"))
+        sides["prev"] = (F.lag, F.max(edge))
     if following:
-        sides["next"] = (F.lead, F.min(place).alias("_edge"))
+        sides["next"] = (F.lead, F.min(edge))
     inside = Window.partitionBy(*keys, "_chunk").orderBy(ts, tie)
     across = Window.partitionBy(*keys).orderBy("_chunk")
     edges = chunked.groupBy(*keys, "_chunk").agg(
-        *[edge.alias(f"_edge_{side}") for side, (_, edge) in sides.items()]
+        *[extreme.alias(f"_edge_{side}") for side, (_, extreme) in sides.items()]
     )
     edges = edges.select(
         *keys,
@@ -57,12 +60,12 @@ def with_neighbours(
         {f"_near_{side}": step(place).over(inside) for side, (step, _) in sides.items()}
     )
     joined = near.join(edges, [*keys, "_chunk"], "left")
-    found = {
-        f"{side}_{field}": F.coalesce(F.col(f"_near_{side}"), F.col(f"_far_{side}"))[field]
-        for side in sides
-        for field in fields
-    }
-    return joined.select(*rows.columns, *[c.alias(name) for name, c in found.items()])
+
+    def found(side: str, field: str) -> Column:
+        far = F.col(f"_far_{side}")
+        return F.coalesce(F.col(f"_near_{side}")[field], far[field] if carry else far).alias(f"{side}_{field}")
+
+    return joined.select(*rows.columns, *[found(side, field) for side in sides for field in fields])
 
 
 def gap_edges(

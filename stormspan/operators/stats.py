@@ -50,19 +50,22 @@ def exact_percentiles(df: DataFrame, column: str, probabilities: Sequence[float]
             F.min("value").alias("low"), F.max("value").alias("high"), F.sum("copies").alias("total")
         ).alias("limits")
     ).scalar()
-    low, high, total = (limits.getField(name) for name in ("low", "high", "total"))
+    # The limits are attached once and read as columns from there.
+    counts = counts.withColumn("_limits", limits)
+    low, high = F.col("_limits.low"), F.col("_limits.high")
     share = F.coalesce(F.try_divide(F.col("value") - low, high - low), F.lit(0.0))
     bucket = F.least(F.floor(share * PERCENTILE_BUCKETS), F.lit(PERCENTILE_BUCKETS - 1))
-    counts = counts.withColumn("bucket", bucket)
+    counts = counts.select("value", "copies", bucket.alias("bucket"))
     ordered = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
     buckets = counts.groupBy("bucket").agg(F.sum("copies").alias("copies")).select(
         "bucket",
         (F.sum("copies").over(ordered) - F.col("copies")).alias("before"),
         F.sum("copies").over(ordered).alias("through"),
+        limits.alias("_limits"),
     )
     # Two ranks per probability: the rows below and above the interpolated place.
-    wanted = F.array(*[_rank_struct(p, side, total) for p in probabilities for side in (0, 1)])
-    hit = buckets.select("*", F.inline(wanted)).filter(
+    wanted = F.array(*[_rank_struct(p, side, F.col("_limits.total")) for p in probabilities for side in (0, 1)])
+    hit = buckets.select("bucket", "before", "through", F.inline(wanted)).filter(
         (F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("through"))
     )
     inside = Window.partitionBy("bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
@@ -130,7 +133,8 @@ def linear_fit(df: DataFrame, x: str, y: str) -> DataFrame:
 def with_prediction(df: DataFrame, x: str, y: str, out: str = "predicted") -> DataFrame:
     """Fitted value for every row; the one-row model enters as a scalar subquery."""
     model = linear_fit(df, x, y).select(F.struct("slope", "intercept")).scalar()
-    return df.withColumn(out, model.getField("intercept") + model.getField("slope") * F.col(x))
+    fitted = df.withColumn("_model", model)
+    return fitted.withColumn(out, F.col("_model.intercept") + F.col("_model.slope") * F.col(x)).drop("_model")
 
 
 def histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
@@ -138,14 +142,20 @@ def histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
     limits = df.agg(
         F.struct(F.min(column).cast("double").alias("low"), F.max(column).cast("double").alias("high")).alias("limits")
     ).scalar()
-    low, high = limits.getField("low"), limits.getField("high")
+    low, high = F.col("_limits.low"), F.col("_limits.high")
     share = F.coalesce(F.try_divide(F.col(column).cast("double") - low, high - low), F.lit(0.0))
     bin_no = F.least(F.floor(share * bins), F.lit(bins - 1)).cast("int")
-    counts = df.filter(F.col(column).isNotNull()).groupBy(bin_no.alias("bin")).agg(F.count("*").alias("rows"))
+    placed = df.filter(F.col(column).isNotNull()).select(column).withColumn("_limits", limits)
+    counts = placed.groupBy(bin_no.alias("bin")).agg(F.count("*").alias("rows"))
     spine = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
-    filled = spine.join(counts, "bin", "left").fillna(0, ["rows"])
+    filled = spine.join(counts, "bin", "left").fillna(0, ["rows"]).withColumn("_limits", limits)
     width = (high - low) / F.lit(float(bins))
-    return filled.select("bin", (low + F.col("bin") * width).alias("low"), (low + (F.col("bin") + 1) * width).alias("high"), "rows")
+    return filled.select(
+        "bin",
+        (low + F.col("bin") * width).alias("low"),
+        (low + (F.col("bin") + 1) * width).alias("high"),
+        "rows",
+    )
 
 
 def value_counts(df: DataFrame, *columns: str) -> DataFrame:

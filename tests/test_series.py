@@ -78,7 +78,7 @@ def test_neighbours_match_a_plain_lag_for_a_hot_key(spark):
     df = frame(spark, rows, "k string, ts timestamp_ntz, id long")
     w = Window.partitionBy("k").orderBy("ts", "id")
     plain = df.select("k", "ts", "id", F.lag("id").over(w).alias("prev_id"), F.lead("id").over(w).alias("next_id"))
-    mine = neighbours.with_neighbours(df, ["k"], "ts", "id", previous=True, following=True, chunk_hours=7)
+    mine = neighbours.with_neighbours(df, ["k"], "ts", "id", ["id"], previous=True, following=True, chunk_hours=7)
     mine = mine.select("k", "ts", "id", "prev_id", "next_id")
     assert plain.exceptAll(mine).count() == 0 and mine.count() == 600
 
