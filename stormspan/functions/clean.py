@@ -70,15 +70,30 @@ def period_seconds(text: Column | str) -> Column:
     return hours * 3600 + minutes * 60 + seconds
 
 
-def us_timestamp(text: Column | str) -> Column:
-    """'8/20/2016 8:40:00 AM' -> timestamp, null when unreadable."""
-    return F.try_to_timestamp(_col(text), F.lit("M/d/yyyy h:mm:ss a")).cast("timestamp_ntz")
+def wall_clock(text: Column | str) -> Column:
+    """'2016-08-20 08:40' or with seconds -> timestamp, null when unreadable.
+
+    A cast to a zoneless timestamp, so no session time zone and no
+    daylight-saving gap comes into it.
+    """
+    return _col(text).try_cast("timestamp_ntz")
 
 
-def date_and_time(date: Column | str, time: Column | str, fmt: str = "yyyy-MM-dd HH:mm") -> Column:
-    """Date text and time text -> timestamp."""
-    text = F.concat_ws(" ", _col(date), _col(time))
-    return F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ntz")
+def us_timestamp(text: Column | str) -> Column:
+    """'8/20/2016 8:40:00 AM' -> timestamp, null when unreadable."""
+    shape = r"^\s*(\d{1,2})/(\d{1,2})/(\d{4}) (\d{1,2}):(\d{2}:\d{2}) ([AaPp])[Mm]\s*$"
+    # year-month-day|hour|minutes:seconds|A or P; anything else stays as it was.
+    parts = F.split(F.regexp_replace(_col(text), shape, "$3-$1-$2|$4|$5|$6"), "\\|")
+    day, hour, rest, half = (F.get(parts, F.lit(i)) for i in range(4))
+    hour = hour.try_cast("int")
+    shift = F.when(F.upper(half) == "P", 12).otherwise(0)
+    clock = F.concat(day, F.lit(" "), (hour % 12 + shift).cast("string"), F.lit(":"), rest)
+    return F.when(hour.between(1, 12), wall_clock(clock))
+
+
+def date_and_time(date: Column | str, time: Column | str) -> Column:
+    """Date text and time text -> timestamp, null when unreadable."""
+    return wall_clock(F.concat(_col(date), F.lit(" "), _col(time)))
 
 
 def close_time(opened: Column | str, minutes: Column | str) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import season
-from ..functions.clean import lenient_precip, strict_precip
+from ..functions.clean import lenient_precip, strict_precip, wall_clock
 from ..functions.thresholds import Band, bands
 from ..operators.reshape import count_grid
 from ..operators.series import hourly_max
@@ -28,7 +28,7 @@ def clean_readings(raw: DataFrame, *, strict: bool = True, first_day: str = FIRS
     """
     readings = raw.select(
         F.col("STATION").alias("station"),
-        F.try_to_timestamp("DATE").cast("timestamp_ntz").alias("ts"),
+        wall_clock("DATE").alias("ts"),
         F.col("HOURLYPrecip").alias("precip"),
     ).filter(F.col("ts") >= F.lit(first_day + " 00:00:00").cast("timestamp_ntz"))
     if strict:

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.clean import wall_clock
+
 SWEEP_SCHEMA = (
     "path string, site_lat double, site_lon double, azimuth double, "
     "first_gate double, gate_width double, gates array<double>"
@@ -91,7 +93,8 @@ def time_from_name(path: Column | str) -> Column:
     """Timestamp written as yyyyMMdd_HHmmss inside a file name."""
     path = F.col(path) if isinstance(path, str) else path
     text = F.regexp_extract(path, r"\d{8}_\d{6}", 0)
-    return F.try_to_timestamp(text, F.lit("yyyyMMdd_HHmmss")).cast("timestamp_ntz")
+    shape = r"(\d{4})(\d{2})(\d{2})_(\d{2})(\d{2})(\d{2})"
+    return wall_clock(F.regexp_replace(text, shape, "$1-$2-$3 $4:$5:$6"))
 
 
 def _features(spark: SparkSession, path: str, properties: str, geometry: str) -> DataFrame:

@@ -75,6 +75,19 @@ def test_text_values(spark):
     )
 
 
+def test_clock_texts_in_a_zone_with_daylight_saving(spark):
+    texts = ["3/13/2016 2:30:00 AM", "8/20/2016 12:05:09 PM", "8/20/2016 12:05:09 AM", "8/20/2016 13:00:00 PM", "2/30/2016 1:00:00 AM", "x|y|z|P", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    spark.conf.set("spark.sql.session.timeZone", "America/Chicago")
+    try:
+        read = [r[0] for r in df.select(clean.us_timestamp("t")).collect()]
+        joined = df.limit(1).select(clean.date_and_time(F.lit("2016-03-13"), F.lit("02:30")), clean.wall_clock(F.lit("2016-03-13 02:30:15"))).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert read == [datetime(2016, 3, 13, 2, 30), datetime(2016, 8, 20, 12, 5, 9), datetime(2016, 8, 20, 0, 5, 9), None, None, None, None]
+    assert tuple(joined) == (datetime(2016, 3, 13, 2, 30), datetime(2016, 3, 13, 2, 30, 15))
+
+
 def test_seasons_and_buckets(spark):
     days = ["2001-01-01", "2001-03-20", "2001-03-21", "2001-06-21", "2001-09-22", "2001-09-23", "2001-12-20", "2001-12-21", "2004-02-29"]
     df = spark.createDataFrame([(d,) for d in days], "d string").select(F.col("d").cast("date").alias("d"))
