@@ -80,15 +80,16 @@ def wall_clock(text: Column | str) -> Column:
 
 
 def us_timestamp(text: Column | str) -> Column:
-    """'8/20/2016 8:40:00 AM' -> timestamp, null when unreadable."""
-    shape = r"^\s*(\d{1,2})/(\d{1,2})/(\d{4}) (\d{1,2}):(\d{2}:\d{2}) ([AaPp])[Mm]\s*$"
-    # year-month-day|hour|minutes:seconds|A or P; anything else stays as it was.
-    parts = F.split(F.regexp_replace(_col(text), shape, "$3-$1-$2|$4|$5|$6"), "\\|")
-    day, hour, rest, half = (F.get(parts, F.lit(i)) for i in range(4))
-    hour = hour.try_cast("int")
-    shift = F.when(F.upper(half) == "P", 12).otherwise(0)
-    clock = F.concat(day, F.lit(" "), (hour % 12 + shift).cast("string"), F.lit(":"), rest)
-    return F.when(hour.between(1, 12), wall_clock(clock))
+    """'8/20/2016 8:40:00 AM' -> timestamp, null when unreadable.
+
+    The date parts are put in order and 12 o'clock becomes 0; afternoons are
+    added as an interval, so the text is taken apart only once.
+    """
+    text = _col(text)
+    shape = r"^\s*(\d{1,2})/(\d{1,2})/(\d{4}) (1[0-2]|0?[1-9]):(\d{2}:\d{2}) [AaPp][Mm]\s*$"
+    clock = F.replace(F.regexp_replace(text, shape, "$3-$1-$2 $4:$5"), F.lit(" 12:"), F.lit(" 0:"))
+    afternoon = F.when(F.upper(F.right(F.rtrim(text), F.lit(2))) == "PM", 12).otherwise(0)
+    return wall_clock(clock) + F.make_dt_interval(F.lit(0), afternoon)
 
 
 def date_and_time(date: Column | str, time: Column | str) -> Column:
