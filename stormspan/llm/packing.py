@@ -93,11 +93,11 @@ class Windows:
 
     def place(self, piece: list, size: int) -> None:
         # One window moves from level h to h + size: the sum of squares changes by
-        # 2 (N[h + size] - N[h]) + 2, where level 0 and the full level are not counted.
+        # (1 - 2 N[h]) + (1 + 2 N[h + size]); level 0 and the full level are not counted.
         counts = self.counts
-        cost = counts[size:] - counts[: self.window + 1 - size]
+        cost = 2 * (counts[size:] - counts[: self.window + 1 - size])
         cost[0] -= 1
-        cost[-1] -= 1 if size < self.window else 0
+        cost[-1] -= 1
         usable = counts[: self.window + 1 - size] > 0
         usable[0] = True
         cost[~usable] = np.iinfo(np.int64).max

@@ -46,6 +46,10 @@ OTHER_WORDS = r"order|invoice|version|isbn|total|page|line|figure|table|http|com
 ISSUERS = r"^(?:4|5[1-5]|2[2-7]|3[47]|6(?:011|5))"
 DIALLING = r"^(?:\+|00)?(?:1|33|34|44|49|39|41|43|31|32)"
 
+SPANS = "array<struct<kind:string,start:int,end:int,value:string,before:string>>"
+#: Elements of one block of a running fold.
+RUN = 128
+FAR = 2**31 - 1
 THRESHOLD = 0.9
 ROUNDS = 50
 #: Votes are -1, 0 or 1 of six labelers; features take 5 * 4 * 2 * 2 * 2 values.
@@ -82,27 +86,57 @@ def valid(kind: str, value: Column) -> Column:
     return F.length(digits(value)).between(9, 15)
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once, also where lambdas use it again and again."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def before_each(values: Column, join, zero: int) -> Column:
+    """For each integer of an array, what ``join`` makes of those before it.  Arrays have no
+    running fold that appends without copying, so it runs in blocks: each starts from a fold
+    over all before it, and copies only within itself."""
+    return let(values, lambda held: runs_before(held, join, zero))
+
+
+def runs_before(values: Column, join, zero: int) -> Column:
+    def block(number: Column) -> Column:
+        start = F.aggregate(F.slice(values, F.lit(1), number * RUN), F.lit(zero), join)
+        state = F.struct(start.alias("now"), F.array().cast("array<int>").alias("out"))
+
+        def add(held: Column, value: Column) -> Column:
+            return F.struct(
+                join(held["now"], value).alias("now"), F.concat(held["out"], F.array(held["now"])).alias("out")
+            )
+
+        return F.aggregate(F.slice(values, number * RUN + 1, F.lit(RUN)), state, add, lambda held: held["out"])
+
+    blocks = F.sequence(F.lit(0), F.floor((F.size(values) - 1) / RUN).cast("int"))
+    return F.when(F.size(values) > 0, F.flatten(F.transform(blocks, block))).otherwise(F.array().cast("array<int>"))
+
+
 def matches(text: Column, pattern: str, worth: Column, kind: str, before: int = 0) -> Column:
     """Leftmost non-overlapping matches with their places in code points: what lies between
     two matches is matched too, and its length counted.  Every match begins where the last one
     ended, so a text is gone through once.  Texts that ``worth`` turns down are not searched."""
     gap_and_match = F.lit(rf"(?s)\G(.*?)({pattern})")
-    gaps = F.regexp_extract_all(text, gap_and_match, 1)
-    found = F.regexp_extract_all(text, gap_and_match, 2)
+    gaps = F.when(worth, F.regexp_extract_all(text, gap_and_match, 1)).otherwise(F.array().cast("array<string>"))
+    found = F.when(worth, F.regexp_extract_all(text, gap_and_match, 2)).otherwise(F.array().cast("array<string>"))
     both = F.arrays_zip(gaps.alias("gap"), found.alias("value"))
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<kind:string,start:int,end:int,value:string,before:string>>").alias("spans"))
-
-    def add(state: Column, item: Column) -> Column:
-        start = state["at"] + F.length(item["gap"])
-        end = start + F.length(item["value"])
-        lead = F.right(item["gap"], F.lit(before)) if before else F.lit("")
-        span = F.struct(
-            F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), item["value"].alias("value"), lead.alias("before")
+    def span(match: Column, at: Column) -> Column:
+        start = at + F.length(match["gap"])
+        return F.struct(
+            F.lit(kind).alias("kind"),
+            start.alias("start"),
+            (start + F.length(match["value"])).alias("end"),
+            match["value"].alias("value"),
+            (F.right(match["gap"], F.lit(before)) if before else F.lit("")).alias("before"),
         )
-        return F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
 
-    spans = F.aggregate(both, empty, add, lambda s: s["spans"])
-    return F.when(worth, spans).otherwise(empty["spans"])
+    def placed(pairs: Column) -> Column:
+        lengths = F.transform(pairs, lambda m: F.length(m["gap"]) + F.length(m["value"]))
+        return F.zip_with(pairs, before_each(lengths, lambda a, b: a + b, 0), span)
+
+    return F.when(worth, let(both, placed)).otherwise(F.array().cast(SPANS))
 
 
 def base(text: Column) -> Column:
@@ -133,10 +167,15 @@ def with_candidates(docs: DataFrame, text: str, spans: str, wide: str) -> DataFr
     out = docs.withColumn(spans, base(whole))
     worth = whole.rlike("[0-9]") | F.contains(whole, F.lit("@"))
     found = matches(whole, WIDE, worth, "other", BEFORE)
-    apart = F.filter(
-        found, lambda w: ~F.exists(F.col(spans), lambda s: (s["start"] < w["end"]) & (w["start"] < s["end"]))
-    )
-    return out.withColumn(wide, apart)
+    out = out.withColumn(wide, found)
+    every = ordered(F.concat(spans, wide))
+    ends = F.transform(every, lambda s: F.when(s["kind"] == "other", 0).otherwise(s["end"]))
+    starts = F.transform(F.reverse(every), lambda s: F.when(s["kind"] == "other", FAR).otherwise(s["start"]))
+    out = out.withColumn("__every", every).withColumn("__ends", before_each(ends, lambda a, b: F.greatest(a, b), 0))
+    out = out.withColumn("__starts", F.reverse(before_each(starts, lambda a, b: F.least(a, b), FAR)))
+    zipped = F.arrays_zip(F.col("__every").alias("s"), F.col("__ends").alias("a"), F.col("__starts").alias("b"))
+    apart = F.filter(zipped, lambda z: (z["s"]["kind"] == "other") & (z["a"] <= z["s"]["start"]) & (z["b"] >= z["s"]["end"]))
+    return out.withColumn(wide, F.transform(apart, lambda z: z["s"])).drop("__every", "__ends", "__starts")
 
 
 def sides(yes: Column, no: Column) -> Column:
@@ -276,20 +315,47 @@ def find(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     )
 
 
-def merged(spans: Column) -> Column:
-    """Overlapping spans of a sorted list as one, named by the first."""
-    none = F.array().cast("array<struct<kind:string,start:int,end:int>>")
+def merged(spans: Column, ends: Column) -> Column:
+    """Overlapping spans of a sorted list as one, named by the first; ``ends`` holds the
+    furthest end before each.  A group ends where the furthest end before the next begins."""
+    zipped = F.arrays_zip(spans.alias("s"), ends.alias("before"))
+    last = F.array_max(F.transform(spans, lambda s: s["end"]))
 
-    def add(done: Column, span: Column) -> Column:
-        own = F.struct(span["kind"].alias("kind"), span["start"].alias("start"), span["end"].alias("end"))
-        last = F.element_at(done, -1)
-        grown = F.struct(last["kind"].alias("kind"), last["start"].alias("start"), F.greatest(last["end"], span["end"]).alias("end"))
-        joins = (F.size(done) > 0) & (F.get(done, F.size(done) - 1)["end"] > span["start"])
-        return F.when(joins, F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(grown))).otherwise(
-            F.concat(done, F.array(own))
+    def closed(firsts: Column) -> Column:
+        after = F.concat(F.slice(F.transform(firsts, lambda z: z["before"]), F.lit(2), F.size(firsts)), F.array(last))
+        return F.zip_with(
+            firsts, after, lambda z, end: F.struct(z["s"]["kind"].alias("kind"), z["s"]["start"].alias("start"), end.alias("end"))
         )
 
-    return F.aggregate(spans, none, add)
+    return let(F.filter(zipped, lambda z: z["before"] <= z["s"]["start"]), closed)
+
+
+def masked(text: Column, cut: Column) -> Column:
+    """``text`` with the groups of ``cut`` in brackets.  The text is parted at every RUN-th
+    group first, so that no place is counted from the text's start more often than that."""
+
+    def end_before(number: Column) -> Column:
+        return F.when(number == 0, 0).otherwise(F.get(cut, number - 1)["end"])
+
+    def block(number: Column) -> Column:
+        own = F.slice(cut, number * RUN + 1, F.lit(RUN))
+        start = end_before(number * RUN)
+        part = F.substring(text, start + 1, F.element_at(own, -1)["end"] - start)
+        return let(F.struct(own.alias("own"), start.alias("start"), part.alias("part")), parts_of)
+
+    def parts_of(held: Column) -> Column:
+        own, start, part = held["own"], held["start"], held["part"]
+
+        def piece(span: Column, k: Column) -> Column:
+            at = F.when(k == 0, start).otherwise(F.get(own, k - 1)["end"])
+            kept = F.substring(part, at - start + 1, span["start"] - at)
+            return F.concat(kept, F.lit("["), F.upper(span["kind"]), F.lit("]"))
+
+        return F.array_join(F.transform(own, piece), "")
+
+    blocks = F.sequence(F.lit(0), F.floor((F.size(cut) - 1) / RUN).cast("int"))
+    tail = F.substring(text, F.element_at(cut, -1)["end"] + 1, F.length(text))
+    return F.concat(F.array_join(F.transform(blocks, block), ""), tail)
 
 
 def mask(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -298,23 +364,11 @@ def mask(docs: DataFrame, text: str = "text") -> DataFrame:
     Overlapping spans are replaced as one.  Null texts stay null; texts without spans stay as
     they are.  Row count, order of columns and all other columns are kept.
     """
-    spans, wide, cut = "__spans", "__wide", "__cut"
+    spans, wide, ends, cut = "__spans", "__wide", "__ends", "__cut"
     table = with_candidates(docs, text, spans, wide)
     weights = fit(table.select(wide), wide)
-    table = table.withColumn(cut, merged(ordered(F.concat(spans, added(F.col(wide), weights)))))
+    table = table.withColumn(spans, ordered(F.concat(spans, added(F.col(wide), weights))))
+    furthest = before_each(F.transform(spans, lambda s: s["end"]), lambda a, b: F.greatest(a, b), 0)
+    table = table.withColumn(ends, furthest).withColumn(cut, merged(F.col(spans), F.col(ends)))
     whole = F.col(text)
-    kept = F.transform(
-        F.col(cut),
-        lambda s, k: F.concat(
-            F.substring(
-                whole,
-                F.when(k == 0, 0).otherwise(F.get(F.col(cut), k - 1)["end"]) + 1,
-                s["start"] - F.when(k == 0, 0).otherwise(F.get(F.col(cut), k - 1)["end"]),
-            ),
-            F.lit("["), F.upper(s["kind"]), F.lit("]"),
-        ),
-    )
-    end = F.element_at(F.col(cut), -1)["end"]
-    masked = F.concat(F.array_join(kept, ""), F.substring(whole, end + 1, F.length(whole)))
-    out = table.withColumn(text, F.when(F.size(cut) > 0, masked).otherwise(whole))
-    return out.select(docs.columns)
+    return table.withColumn(text, F.when(F.size(spans) > 0, let(F.col(cut), lambda groups: masked(whole, groups))).otherwise(whole)).select(docs.columns)

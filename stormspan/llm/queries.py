@@ -101,9 +101,9 @@ FROM f
 WITH RECURSIVE v AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
 ), good AS (
-  SELECT vec_id, e, sqrt(list_sum(list_transform(e, x -> x * x))) AS size FROM v
-  WHERE e IS NOT NULL AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(e, x -> x <> 0)) > 0
+  SELECT vec_id, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS size FROM v
+  WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0
 ), links AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b
   ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)

@@ -6,7 +6,10 @@ holds while the exact binomial (Clopper-Pearson) bound on the share of good text
 stays below the rule's part of the allowed risk.  Trying stops at the first that fails (fixed
 sequence, no price for the number of cutoffs); the confidence is split evenly over strata and
 rules (Bonferroni).  So with probability 1 - DELTA no stratum loses more than RISK of its good
-texts to all rules together.  A stratum with too few labels gets no cutoff: it loses nothing.
+texts to all rules together, whichever of the cutoffs that hold are taken.  Of those, the one
+that rejects most bad texts is taken, a good one weighing as much as PRICE bad ones; ties go to
+the mildest, and a rule that is worth nothing gets none.  A stratum with too few labels gets no
+cutoff: it loses nothing.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ from .shared import held_out, spill
 
 RISK = 0.02
 DELTA = 0.05
+PRICE = 10
 MIN_WORDS = 50
 #: Upper ends of the length bands in words; the last band is open.
 BANDS = (100, 300, 1000)
@@ -130,28 +134,34 @@ def choose(
 ) -> dict[tuple[int, str], float]:
     """{(band, rule): cutoff}: a text is rejected if its rate is over the cutoff.
 
-    From labels outside the held-out fold; a key is good if any of its labels is 1.  Base rules
-    come first: texts they fail do not count here.  Only counts leave the executors: bands x
-    rules x steps of them at most.
+    From labels outside the held-out fold; a key is good if any of its labels is 1, and bad if
+    all are 0.  Base rules come first: texts they fail do not count here.  Only counts leave
+    the executors: bands x rules x steps x 2 of them at most.
     """
-    good = (
-        labels.filter((F.col(label) == 1) & ~held_out(F.col(key))).select(F.col(key).alias("good_key")).distinct()
-    )
-    own = table.filter(~failed()).join(good, F.col(key) == F.col("good_key"), "left_semi")
+    known = labels.filter(F.col(label).isNotNull() & ~held_out(F.col(key)))
+    known = known.groupBy(F.col(key).alias("known_key")).agg(F.max((F.col(label) == 1).cast("int")).alias("good"))
+    own = table.filter(~failed()).join(known, F.col(key) == F.col("known_key"))
     rules = F.array(*(F.struct(F.lit(n).alias("rule"), F.least(F.ceil(r / STEP), F.lit(STEPS)).alias("step")) for n, r in rates().items()))
-    counted = own.select(band().alias("band"), F.explode(rules).alias("r")).groupBy("band", "r.rule", "r.step").count()
-    at: dict[tuple[int, str], dict[int, int]] = defaultdict(dict)
+    counted = (
+        own.select("good", band().alias("band"), F.explode(rules).alias("r"))
+        .groupBy("band", "r.rule", "r.step", "good")
+        .count()
+    )
+    at: dict[tuple[int, str], dict[tuple[int, int], int]] = defaultdict(dict)
     for row in counted.collect():
-        at[row["band"], row["rule"]][row["step"]] = row["count"]
+        at[row["band"], row["rule"]][row["step"], row["good"]] = row["count"]
     cutoffs = {}
     tests = (len(BANDS) + 1) * len(RULES)
     for (stratum, rule), steps in at.items():
-        total, above = sum(steps.values()), 0
+        total = sum(n for (_, good), n in steps.items() if good)
+        lost = gained = best = 0
         for step in range(STEPS, -1, -1):  # rejected: ceil(rate / STEP) > step
-            if not certified(above, total, risk / len(RULES), delta / tests):
+            if not certified(lost, total, risk / len(RULES), delta / tests):
                 break
-            cutoffs[stratum, rule] = step * STEP
-            above += steps.get(step, 0)
+            if gained - PRICE * lost > best:
+                best, cutoffs[stratum, rule] = gained - PRICE * lost, step * STEP
+            lost += steps.get((step, 1), 0)
+            gained += steps.get((step, 0), 0)
     return cutoffs
 
 
