@@ -106,9 +106,9 @@ def text_blocks(spark, folder):
 WITH i AS (SELECT page_id, regexp_extract_all(html, '<li>(.*?)</li>', 1) AS items FROM pages),
 r AS (SELECT page_id, unnest(items) AS item, generate_subscripts(items, 1) - 1 AS row_no FROM i)
 SELECT page_id, CAST(row_no AS INTEGER) AS row_no, CAST(len(regexp_extract_all(item, '<a[^>]*>(.*?)</a>', 1)) AS INTEGER) AS cell_count,
-  regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(
-    regexp_extract_all(item, '<a[^>]*>(.*?)</a>', 1)[1], '<[^>]*>', '', 'g'),
-    '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'), '^\s+|\s+$', '', 'g') AS cell
+  coalesce(array_to_string(list_transform(regexp_extract_all(item, '<a[^>]*>(.*?)</a>', 1), lambda c:
+    regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(c, '<[^>]*>', '', 'g'),
+    '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'), '^\s+|\s+$', '', 'g')), ' | '), '') AS cells
 FROM r
 """)
 def html_rows(spark, folder):
@@ -116,7 +116,7 @@ def html_rows(spark, folder):
     pages = table(spark, folder, "pages").select("page_id", "html")
     found = rows_of_html(pages, "html", "<li>(.*?)</li>", "<a[^>]*>(.*?)</a>")
     return found.select(
-        "page_id", "row_no", F.size("cells").alias("cell_count"), F.get("cells", F.lit(0)).alias("cell")
+        "page_id", "row_no", F.size("cells").alias("cell_count"), F.array_join("cells", " | ").alias("cells")
     )
 
 
@@ -192,14 +192,17 @@ def one_day(spark, folder):
     return table(spark, folder, "events").select("event_id", "user_id", "ts", "value").filter(on_day("ts", "2024-01-12"))
 
 
-_WATERWAYS = " ".join(f"WHEN {k} THEN '{v}'" for k, v in WATERWAY_OF_SEGMENT.items() if k <= 23)
+_WATERWAYS = " ".join("WHEN {} THEN '{}'".format(k, v.replace("'", "''")) for k, v in WATERWAY_OF_SEGMENT.items())
+_SEGMENTS = list(WATERWAY_OF_SEGMENT)
 
 
-@query("SELECT DISTINCT CAST(o_orderkey % 23 + 1 AS INTEGER) AS segment, "
-       f"CASE o_orderkey % 23 + 1 {_WATERWAYS} END AS waterway FROM orders")
+@query(f"SELECT segment, CASE segment {_WATERWAYS} END AS waterway FROM (SELECT DISTINCT "
+       f"CAST(([{', '.join(map(str, _SEGMENTS))}])[(o_orderkey % {len(_SEGMENTS)}) + 1] AS INTEGER) AS segment FROM orders)")
 def segment_names(spark, folder):
     """Waterway names of the segment numbers in use."""
-    segments = table(spark, folder, "orders").select((F.col("o_orderkey") % 23 + 1).cast("int").alias("segment")).distinct()
+    place = (F.col("o_orderkey") % len(_SEGMENTS)).cast("int") + 1
+    segment = F.element_at(F.array(*[F.lit(s) for s in _SEGMENTS]), place)
+    segments = table(spark, folder, "orders").select(segment.cast("int").alias("segment")).distinct()
     return segments.withColumn("waterway", waterway_name("segment"))
 
 

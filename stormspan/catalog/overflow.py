@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.calendar import add_minutes
-from ..functions.lookups import OWNER_CITY_SPELLINGS, WATERWAY_OF_SEGMENT
+from ..functions.lookups import (
+    OWNER_CITY_SPELLINGS,
+    REGISTRATION_CITY_SPELLINGS,
+    RENTER_CITY_SPELLINGS,
+    WATERWAY_OF_SEGMENT,
+)
 from ..functions.clean import canonical_city
 from ..operators import keys, overflows
 from .registry import query, table
@@ -16,12 +21,21 @@ _SEGMENT_SQL = "CASE segment " + " ".join(
 ) + " END"
 
 
+def _open_minutes():
+    return (F.col("l_quantity") * 20).cast("int")
+
+
+def _gate_times():
+    """When a line item's gate opens and closes."""
+    opened = add_minutes("l_shipdate", (F.col("l_orderkey") * 7 + F.col("l_linenumber") * 13) % 1440)
+    return opened, add_minutes(opened, _open_minutes())
+
+
 def _current_text_feed(spark, folder):
     """Line items rendered the way the current feed is published."""
     lines = table(spark, folder, "lineitem")
-    opened = add_minutes("l_shipdate", (F.col("l_orderkey") * 7 + F.col("l_linenumber") * 13) % 1440)
-    minutes = (F.col("l_quantity") * 20).cast("int")
-    closed = add_minutes(opened, minutes)
+    opened, closed = _gate_times()
+    minutes = _open_minutes()
     us = "M/d/yyyy h:mm:ss a"
     period = F.format_string(
         ":%02d:%02d:00", F.floor(minutes / 60).cast("int"), (minutes % 60).cast("int")
@@ -97,9 +111,9 @@ def top_outfalls(spark, folder):
     return keys.top_k(totals, 10, F.desc("open_seconds"), F.asc("outfall_structure"))
 
 
-_EVENTS = """events_of AS (SELECT l_suppkey, o_orderdate AS opened, l_shipdate AS closed,
-    date_diff('minute', o_orderdate, l_shipdate)::DOUBLE AS minutes
-  FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_shipdate >= o_orderdate)"""
+_EVENTS = """events_of AS (SELECT l_suppkey, opened, closed, date_diff('minute', opened, closed)::DOUBLE AS minutes
+  FROM (SELECT l_suppkey, opened, opened + to_minutes(CAST(l_quantity * 20 AS BIGINT)) AS closed
+    FROM (SELECT *, l_shipdate + to_minutes((l_orderkey * 7 + l_linenumber * 13) % 1440) AS opened FROM lineitem)))"""
 _TOTALS = """totals AS (SELECT l_suppkey, sum(minutes) AS total_minutes, any_value(s_name) AS s_name, any_value(s_nationkey) AS s_nationkey
     FROM chosen JOIN supplier ON s_suppkey = l_suppkey WHERE s_acctbal > 0 GROUP BY 1)
 SELECT l_suppkey, total_minutes, s_name, s_nationkey,
@@ -107,10 +121,10 @@ SELECT l_suppkey, total_minutes, s_name, s_nationkey,
 
 
 def _outfall_events(spark, folder):
-    lines = table(spark, folder, "lineitem").select("l_orderkey", "l_suppkey", F.col("l_shipdate").alias("closed"))
-    orders = table(spark, folder, "orders").select("o_orderkey", F.col("o_orderdate").alias("opened"))
-    joined = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).filter("closed >= opened")
-    return overflows.with_open_minutes(joined.select("l_suppkey", "opened", "closed"), "opened", "closed")
+    """One event per line item: a gate that opens on the shipping day and closes minutes later."""
+    opened, closed = _gate_times()
+    events = table(spark, folder, "lineitem").select("l_suppkey", opened.alias("opened"), closed.alias("closed"))
+    return overflows.with_open_minutes(events, "opened", "closed")
 
 
 def _locations(spark, folder):
@@ -136,15 +150,14 @@ def outfall_range(spark, folder):
     return overflows.outfall_totals(chosen, _locations(spark, folder), "l_suppkey", "open_minutes")
 
 
-_SIDES = """used AS (SELECT DISTINCT l_suppkey AS k FROM lineitem WHERE l_shipdate < TIMESTAMP '1995-02-01' AND l_quantity > 30),
-known AS (SELECT DISTINCT s_suppkey AS k FROM supplier WHERE s_acctbal > 1000)"""
+_SIDES = """used AS (SELECT DISTINCT l_partkey AS k FROM lineitem),
+known AS (SELECT DISTINCT o_custkey * 2 AS k FROM orders)"""
 
 
 def _sides(spark, folder):
-    used = table(spark, folder, "lineitem").filter(
-        (F.col("l_shipdate") < F.lit("1995-02-01 00:00:00").cast("timestamp_ntz")) & (F.col("l_quantity") > 30)
-    ).select(F.col("l_suppkey").alias("k"))
-    known = table(spark, folder, "supplier").filter("s_acctbal > 1000").select(F.col("s_suppkey").alias("k"))
+    """Part keys and even keys made from customers: each side has some that the other lacks."""
+    used = table(spark, folder, "lineitem").select(F.col("l_partkey").alias("k"))
+    known = table(spark, folder, "orders").select((F.col("o_custkey") * 2).alias("k"))
     return used, known
 
 
@@ -167,25 +180,38 @@ def set_keys(spark, folder):
     return both.unionByName(keys.only_left(used, known, "k").withColumn("side", F.lit("used")))
 
 
-_CITY = ["CHICAGO", "CHGO", "CHICATO", "EVANSTON", "CHICAGO IL", "OAK PARK"]
+_CITY = ["CHICAGO", "CHGO", "CHICATO", "EVANSTON", "CHICAGO IL", "OAK PARK", "CHICAGO APT B", "CHG"]
+_SPELLED_SQL = f"""owners AS (SELECT c_custkey, c_acctbal,
+    ([{', '.join(f"'{c}'" for c in _CITY)}])[(c_custkey % {len(_CITY)}) + 1] AS spelled FROM customer)"""
 
 
-@query(f"""
-WITH owners AS (SELECT c_custkey, c_acctbal, c_nationkey AS n_nationkey,
-    ([{', '.join(f"'{c}'" for c in _CITY)}])[(c_custkey % {len(_CITY)}) + 1] AS spelled FROM customer),
-chicago AS (SELECT n_nationkey, c_custkey, c_acctbal, 'Chicago' AS city FROM owners WHERE spelled IN ('CHICAGO', 'CHGO', 'CHICATO', 'CHICAGO IL') AND c_acctbal > 9000)
-SELECT n.n_nationkey, c.c_custkey, c.c_acctbal, c.city, n.n_name FROM chicago c RIGHT JOIN nation n ON n.n_nationkey = c.n_nationkey
-WHERE n.n_regionkey IN (1, 2)
-""")
+def _spelled(spark, folder):
+    """Customers with a city the way people type it."""
+    city = F.element_at(F.array(*[F.lit(c) for c in _CITY]), (F.col("c_custkey") % len(_CITY)).cast("int") + 1)
+    return table(spark, folder, "customer").select("c_custkey", "c_acctbal", city.alias("city"))
+
+
+@query(f"""WITH {_SPELLED_SQL},
+chicago AS (SELECT c_custkey, c_acctbal, 'Chicago' AS city FROM owners WHERE spelled IN ('CHICAGO', 'CHGO', 'CHICATO', 'CHICAGO IL'))
+SELECT o.o_orderkey, o.o_custkey AS c_custkey, c.c_acctbal, c.city FROM chicago c RIGHT JOIN orders o ON o.o_custkey = c.c_custkey""")
 def right_disasters(spark, folder):
     """Claims under one city name, joined so that every disaster is kept."""
-    spelled = F.element_at(F.array(*[F.lit(c) for c in _CITY]), (F.col("c_custkey") % len(_CITY)).cast("int") + 1)
-    owners = table(spark, folder, "customer").select(
-        F.col("c_nationkey").alias("n_nationkey"), "c_custkey", "c_acctbal", spelled.alias("city")
-    )
-    claims = canonical_city(owners, "city", OWNER_CITY_SPELLINGS).filter("c_acctbal > 9000")
-    declared = table(spark, folder, "nation").filter(F.col("n_regionkey").isin(1, 2)).select("n_nationkey", "n_name")
-    return keys.keep_all_right(claims, declared, "n_nationkey")
+    claims = canonical_city(_spelled(spark, folder), "city", OWNER_CITY_SPELLINGS)
+    declared = table(spark, folder, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey")
+    return keys.keep_all_right(claims, declared, "c_custkey")
+
+
+@query(f"""WITH {_SPELLED_SQL}
+SELECT 'owner' AS list, c_custkey, c_acctbal, 'Chicago' AS city FROM owners WHERE spelled IN ('CHICAGO', 'CHGO', 'CHICATO', 'CHICAGO IL')
+UNION ALL SELECT 'renter', c_custkey, c_acctbal, 'Chicago' FROM owners WHERE spelled IN ('CHICAGO', 'CHGO', 'CHICAGO IL', 'CHICAGO APT B')
+UNION ALL SELECT 'registration', c_custkey, c_acctbal, 'Chicago' FROM owners
+  WHERE spelled IN ('CHICAGO', 'CHGO', 'CHICATO', 'CHICAGO IL', 'CHICAGO APT B', 'CHG')""")
+def city_spellings(spark, folder):
+    """Rows under the city's name by the spellings each assistance table accepts."""
+    lists = {"owner": OWNER_CITY_SPELLINGS, "renter": RENTER_CITY_SPELLINGS, "registration": REGISTRATION_CITY_SPELLINGS}
+    owners = _spelled(spark, folder)
+    parts = [canonical_city(owners, "city", known).withColumn("list", F.lit(name)) for name, known in lists.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @query("""

@@ -9,11 +9,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.radar import (
+    ALTERNATIVE,
     CITY_BOX,
     CLARKE_1866,
     MARSHALL_PALMER,
     SCAN_HOURS,
     SPHERE_RADIUS,
+    STORM,
     TRIAL,
     plane_xy,
     scan_inches,
@@ -124,14 +126,13 @@ def gates_on_sphere(spark, folder):
     return points.select("vec_id", "gate", F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"))
 
 
-@query("""
-SELECT vec_id, round(64 * sin(radians(CAST(vec_id * 7 % 360 AS DOUBLE) + 0.5::DOUBLE)), 6) AS x,
-  round(64 * cos(radians(CAST(vec_id * 7 % 360 AS DOUBLE) + 0.5::DOUBLE)), 6) AS y FROM embeddings
-""")
+@query(f"""WITH {_GATES}
+SELECT vec_id, gate, round(metres / 1000 * sin(radians(azimuth)), 6) AS x, round(metres / 1000 * cos(radians(azimuth)), 6) AS y FROM gates""")
 def plane_positions(spark, folder):
-    """Where each ray ends on a flat plane."""
-    x, y = plane_xy("azimuth", F.lit(64.0))
-    return sweeps(spark, folder).select("vec_id", F.round(x, 6).alias("x"), F.round(y, 6).alias("y"))
+    """Where every gate lies on a flat plane."""
+    gates = sweeps(spark, folder).select("*", F.posexplode("gates").alias("gate", "dbz"))
+    x, y = plane_xy("azimuth", F.col("first_gate") + F.col("gate") * F.col("gate_width"))
+    return gates.select("vec_id", "gate", F.round(x, 6).alias("x"), F.round(y, 6).alias("y"))
 
 
 def _edges_sql() -> str:
@@ -192,12 +193,18 @@ def first_zone_counts(spark, folder):
     return found.groupBy("zone").agg(F.count("*").alias("points"))
 
 
+_OTHERS = {"trial": TRIAL, "alternative": ALTERNATIVE, "storm": STORM}
+_OTHERS_SQL = "(VALUES ('trial', 300.0::DOUBLE, 0.85::DOUBLE), ('alternative', 250.0::DOUBLE, 10::DOUBLE / 12), ('storm', 300.0::DOUBLE, 10::DOUBLE / 14)) o(relation, c, p)"
+
+
 @query(f"""WITH {_GATES},
-sums AS (SELECT label, sum(pow(pow(10.0::DOUBLE, dbz / 10) / 200, 0.625::DOUBLE)) * {SCAN_HOURS / 25.4!r}::DOUBLE AS a,
-    sum(pow(pow(10.0::DOUBLE, dbz / 10) / 300, 0.85::DOUBLE)) * {SCAN_HOURS / 25.4!r}::DOUBLE AS b FROM gates GROUP BY 1)
-SELECT label, round(a, 6) AS total_a, round(b, 6) AS total_b, round(abs(b - a) / a, 6) AS relative_difference FROM sums""")
+sums AS (SELECT label, relation, sum(pow(pow(10.0::DOUBLE, dbz / 10) / 200, 0.625::DOUBLE)) * {SCAN_HOURS / 25.4!r}::DOUBLE AS a,
+    sum(pow(pow(10.0::DOUBLE, dbz / 10) / c, p)) * {SCAN_HOURS / 25.4!r}::DOUBLE AS b FROM gates, {_OTHERS_SQL} GROUP BY 1, 2)
+SELECT label, relation, round(a, 6) AS total_a, round(b, 6) AS total_b, round(abs(b - a) / a, 6) AS relative_difference FROM sums""")
 def zr_compare(spark, folder):
-    """Totals per sweep under two reflectivity relations."""
+    """Totals per sweep under the usual reflectivity relation and three others, in one scan."""
     echoes = sweeps(spark, folder).select("label", F.explode("gates").alias("dbz"))
-    compared = spatial.compare_rates(echoes, ["label"], "dbz", MARSHALL_PALMER, TRIAL, factor=SCAN_HOURS / 25.4)
-    return compared.select("label", *[F.round(c, 6).alias(c) for c in compared.columns if c != "label"])
+    compared = spatial.compare_rates(echoes, ["label"], "dbz", MARSHALL_PALMER, _OTHERS, factor=SCAN_HOURS / 25.4)
+    return compared.select(
+        "label", "relation", *[F.round(c, 6).alias(c) for c in ("total_a", "total_b", "relative_difference")]
+    )

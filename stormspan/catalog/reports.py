@@ -16,7 +16,7 @@ from ..functions.calendar import (
 from ..operators import reshape, series, stats
 from .registry import query, table
 
-# The priorities that occur, under names that need no quoting.
+# The priorities that occur, under names that need no quoting; a null or any other goes to OTHER.
 PRIORITY = {
     "1-URGENT": "urgent",
     "2-HIGH": "high",
@@ -24,14 +24,16 @@ PRIORITY = {
     "4-NOT SPECIFIED": "not_specified",
     "5-LOW": "low",
 }
-NAMES = list(PRIORITY.values())
-PRIORITY_SQL = "CASE o_orderpriority " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in PRIORITY.items()) + " END"
+OTHER = "other"
+NAMES = [*PRIORITY.values(), OTHER]
+PRIORITY_SQL = "CASE o_orderpriority " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in PRIORITY.items()) + f" ELSE '{OTHER}' END"
+NAMES_SQL = "(VALUES " + ", ".join(f"('{n}')" for n in NAMES) + ") n(priority)"
 CELLS_SQL = ", ".join(f"count(*) FILTER ({PRIORITY_SQL} = '{n}') AS {n}" for n in NAMES)
 
 
 def priority_name(column="o_orderpriority"):
     pairs = [F.lit(x) for item in PRIORITY.items() for x in item]
-    return F.try_element_at(F.create_map(*pairs), F.col(column))
+    return F.coalesce(F.try_element_at(F.create_map(*pairs), F.col(column)), F.lit(OTHER))
 
 
 def dated_orders(spark, folder):
@@ -54,19 +56,22 @@ def year_grid(spark, folder):
 
 
 @query(f"WITH g AS ({_GRID}) SELECT {', '.join(f'CAST(sum({n}) AS BIGINT) AS {n}' for n in NAMES)}, "
-       f"CAST(sum({' + '.join(NAMES)}) AS BIGINT) AS total FROM g")
+       f"CAST(sum({' + '.join(NAMES)}) AS BIGINT) AS total, (SELECT count(*) FROM orders) AS orders FROM g")
 def grid_control_totals(spark, folder):
-    """Control sums of the grid: every order must be counted once."""
+    """Control sums of the grid beside the raw count: every order must be counted once."""
     grid = year_grid(spark, folder)
     total = sum((F.col(n) for n in NAMES[1:]), F.col(NAMES[0]))
-    return grid.agg(*[F.sum(n).alias(n) for n in NAMES], F.sum(total).alias("total"))
+    raw = table(spark, folder, "orders").agg(F.count("*").alias("orders"))
+    sums = grid.agg(*[F.sum(n).alias(n) for n in NAMES], F.sum(total).alias("total"))
+    return sums.withColumn("orders", raw.scalar())
 
 
 _YEARS = [f"y{y}" for y in range(1995, 2002)]
 
 
-@query("SELECT priority, " + ", ".join(f"count(*) FILTER (y = {c[1:]}) AS {c}" for c in _YEARS) +
-       f" FROM (SELECT {PRIORITY_SQL} AS priority, year(o_orderdate) AS y FROM orders) GROUP BY priority")
+@query("SELECT n.priority, " + ", ".join(f"count(*) FILTER (y = {c[1:]}) AS {c}" for c in _YEARS) +
+       f" FROM {NAMES_SQL} LEFT JOIN (SELECT {PRIORITY_SQL} AS priority, year(o_orderdate) AS y FROM orders) o"
+       " ON o.priority = n.priority GROUP BY 1")
 def transpose_grid(spark, folder):
     """The year grid turned so that priorities are rows and years are columns."""
     grid = reshape.count_grid(dated_orders(spark, folder), "year", 1995, 2001, "priority", NAMES)
@@ -126,7 +131,8 @@ def month_totals(spark, folder):
     return counted.fillna(0, NAMES)
 
 
-@query(f"SELECT {PRIORITY_SQL} AS priority, count(*) AS calls FROM orders GROUP BY 1")
+@query(f"SELECT n.priority, count(o.priority) AS calls FROM {NAMES_SQL} "
+       f"LEFT JOIN (SELECT {PRIORITY_SQL} AS priority FROM orders) o ON o.priority = n.priority GROUP BY 1")
 def column_totals(spark, folder):
     """Totals of every column of the monthly matrix, one row per column."""
     return reshape.column_totals(month_totals(spark, folder), NAMES, "priority", "calls")

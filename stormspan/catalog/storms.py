@@ -10,8 +10,8 @@ from .rain import hourly_cte
 from .registry import query, table
 
 SCALE = 100.0
-BANDS = bands(scale=SCALE, longest_hours=24)
-ONE_YEAR = {6: 188.0, 24: 251.0}
+BANDS = bands(scale=SCALE)
+ONE_YEAR = {band.hours: band.lowest for band in BANDS}
 
 
 def _user_series(spark, folder):
@@ -49,25 +49,21 @@ def band_counts(spark, folder):
 
 
 def _greedy_sql(part: str, rank: str, touch: str) -> str:
-    """SQL that walks candidates one rank at a time with the kept intervals in a list."""
-    same = " AND ".join(f"c.{k} = w.{k}" for k in part.split(", "))
-    carried = ", ".join(f"c.{k}" for k in part.split(", "))
+    """SQL that keeps the best candidate left of every part, round by round, and drops what it touches."""
+    best = f"""min(r) OVER (PARTITION BY {part}) AS best, first_value(start_time) OVER (PARTITION BY {part} ORDER BY r) AS s,
+      first_value(end_time) OVER (PARTITION BY {part} ORDER BY r) AS e"""
     return f"""
     ranked AS (SELECT *, row_number() OVER (PARTITION BY {part} ORDER BY {rank}) AS r FROM candidates),
     walk AS (
-      SELECT {part}, r, true AS kept, [{{'s': start_time, 'e': end_time}}] AS taken FROM ranked WHERE r = 1
+      SELECT *, {best} FROM ranked
       UNION ALL
-      SELECT {carried}, c.r,
-        len(list_filter(w.taken, lambda k: k.s {touch} c.end_time AND c.start_time {touch} k.e)) = 0,
-        CASE WHEN len(list_filter(w.taken, lambda k: k.s {touch} c.end_time AND c.start_time {touch} k.e)) = 0
-          THEN list_append(w.taken, {{'s': c.start_time, 'e': c.end_time}}) ELSE w.taken END
-      FROM walk w JOIN ranked c ON {same} AND c.r = w.r + 1)"""
+      SELECT * EXCLUDE (best, s, e), {best} FROM walk
+      WHERE NOT (s {touch} end_time AND start_time {touch} e))"""
 
 
 @query(f"""WITH RECURSIVE {hourly_cte('user_id')}, {candidate_cte()},
 {_greedy_sql('user_id', 'n DESC, duration_hrs DESC, inches DESC, end_time', '<=')}
-SELECT c.user_id, c.n, c.duration_hrs, c.start_time, c.end_time, c.inches
-FROM ranked c JOIN walk w ON c.user_id = w.user_id AND c.r = w.r WHERE w.kept""")
+SELECT user_id, n, duration_hrs, start_time, end_time, inches FROM walk WHERE r = best""")
 def unique_storms(spark, folder):
     return storms.unique_storms(_user_series(spark, folder), ["user_id"], "ts", "value", BANDS)
 
@@ -84,8 +80,7 @@ def _limit_cte() -> str:
 
 @query(f"""WITH RECURSIVE {hourly_cte('user_id')}, {_limit_cte()},
 {_greedy_sql('user_id, duration_hrs', 'inches DESC, end_time', '<')}
-SELECT c.user_id, c.duration_hrs, c.start_time, c.end_time, c.inches
-FROM ranked c JOIN walk w ON c.user_id = w.user_id AND c.duration_hrs = w.duration_hrs AND c.r = w.r WHERE w.kept""")
+SELECT user_id, duration_hrs, start_time, end_time, inches FROM walk WHERE r = best""")
 def storms_per_duration(spark, folder):
     hourly = _user_series(spark, folder)
     return storms.storms_per_duration(hourly, ["user_id"], "ts", "value", ONE_YEAR)

@@ -23,9 +23,9 @@ def long_to_wide(
 
 
 def transpose(wide: DataFrame, row_key: str, rows: Sequence, columns: Sequence[str], name: str) -> DataFrame:
-    """Swap rows and columns of a small table whose row keys are known."""
+    """Swap rows and columns of a small table whose row keys are known; cells of a repeated row key add up."""
     long = wide_to_long(wide, [row_key], columns, name, "_cell")
-    return long.groupBy(name).pivot(row_key, list(rows)).agg(F.first("_cell"))
+    return long.groupBy(name).pivot(row_key, list(rows)).agg(F.sum("_cell"))
 
 
 def column_totals(wide: DataFrame, columns: Sequence[str], name: str, value: str) -> DataFrame:

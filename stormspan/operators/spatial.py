@@ -8,7 +8,7 @@ ring array<struct<x, y>> (x = lon, y = lat; closed or not).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -191,14 +191,21 @@ def compare_rates(
     keys: Sequence[str],
     dbz: str,
     first: tuple[float, float],
-    second: tuple[float, float],
+    others: Mapping[str, tuple[float, float]],
     *,
     factor: float = 1.0,
 ) -> DataFrame:
-    """Totals under two reflectivity relations and their relative difference."""
+    """Totals under one reflectivity relation and under each of the named others, with their relative difference.
+
+    One row per key and other relation; the echoes are read once, whatever the number of relations.
+    """
+    names = list(others)
     totals = echoes.groupBy(*keys).agg(
         (F.sum(rain_rate(dbz, first)) * F.lit(factor)).alias("total_a"),
-        (F.sum(rain_rate(dbz, second)) * F.lit(factor)).alias("total_b"),
+        *[(F.sum(rain_rate(dbz, others[name])) * F.lit(factor)).alias(f"_total_{i}") for i, name in enumerate(names)],
     )
+    spread = F.array(*[
+        F.struct(F.lit(name).alias("relation"), F.col(f"_total_{i}").alias("total_b")) for i, name in enumerate(names)
+    ])
     change = F.try_divide(F.abs(F.col("total_b") - F.col("total_a")), F.col("total_a"))
-    return totals.withColumn("relative_difference", change)
+    return totals.select(*keys, "total_a", F.inline(spread)).withColumn("relative_difference", change)

@@ -265,33 +265,23 @@ def highest_storm_before(
         .withColumn("_inches", F.col("_units") / amount)
         .filter(F.col("_inches") >= F.col("limit_0"))
     )
-    # The preference order as one number, so that the aggregate is a hashed max
-    # of a long: n, duration, amount, hours between the window's end and the
-    # slice's end.
-    span, most = days * 24 + 1, 10**11
-    ahead = F.col("_slice") * 24 - F.col("_hour")
-    grade = _class_of("_inches", bands) * 1000 + F.col("duration_hrs")
-    code = (grade.cast("bigint") * most + F.col("_units")) * span + ahead
-    storms = rows.select(*keys, "_slice", code.alias("_code")).groupBy(*keys, "_slice").agg(
-        F.max("_code").alias("_code")
-    )
-    ahead, rest = F.col("_code") % span, F.expr(f"_code div {span}")
-    storms = storms.select(
-        *keys,
-        "_slice",
-        (F.col("_slice") * 24 - ahead).alias("_end"),
-        (rest % most / amount).alias("inches"),
-        F.expr(f"_code div {span * most}").cast("int").alias("_grade"),
+    # The preference order is the order of the struct's fields; any number of
+    # days, digits and hours fits.
+    best = F.max(
+        F.struct(
+            _class_of("_inches", bands).alias("n"), "duration_hrs", "_units", (-F.col("_hour")).alias("_ahead")
+        )
     )
+    storms = rows.groupBy(*keys, "_slice").agg(best.alias("_best"))
     found = events.withColumn("_slice", day_number(event_ts) + 1).join(
         storms, [*keys, "_slice"], "left"
     )
     return found.select(
         *events.columns,
-        F.expr("cast(_grade div 1000 as int)").alias("n"),
-        (F.col("_grade") % 1000).alias("duration_hrs"),
-        "inches",
-        hour_start("_end").alias("storm_end"),
+        F.col("_best.n").alias("n"),
+        F.col("_best.duration_hrs").alias("duration_hrs"),
+        (F.col("_best._units") / amount).alias("inches"),
+        hour_start(-F.col("_best._ahead")).alias("storm_end"),
     )
 
 

@@ -12,11 +12,11 @@ def write_csv(df: DataFrame, path: str, *, partition_by: Sequence[str] = (), mod
     """CSV with a header and no row index, optionally one folder per group value.
 
     Rows are clustered by the partition columns first, so each task writes few
-    folders.  A second hash on the rows spreads a folder that holds many of them.
+    folders.  The clustering is a rebalance, which adaptive execution splits
+    where a folder holds many rows, by their measured size.
     """
     if partition_by:
-        spread = F.pmod(F.xxhash64(*df.columns), F.lit(16))
-        df = df.repartition(*partition_by, spread)
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode).option("header", True)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
