@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import clean
 from ..functions.calendar import hour_number, hour_start, on_day, within_days
 from ..functions.lookups import WATERWAY_OF_SEGMENT, waterway_name
+from ..functions.radar import CITY_BOX
 from ..sources.readers import html_rows as rows_of_html
 from ..sources.readers import text_blocks as blocks_of_text
 from .registry import query, table
@@ -207,7 +208,8 @@ def segment_names(spark, folder):
 
 
 _HOLES = """holes AS (SELECT doc_id, CASE WHEN doc_id % 4 <> 0 THEN n_chars END AS n_chars, CASE WHEN doc_id % 6 <> 0 THEN lang END AS lang,
-    CASE WHEN doc_id % 5 = 0 THEN 0.0::DOUBLE WHEN doc_id % 7 = 0 THEN 'nan'::DOUBLE ELSE CAST(doc_id AS DOUBLE) END AS dbz FROM documents)"""
+    CASE WHEN doc_id % 5 = 0 THEN 0.0::DOUBLE WHEN doc_id % 7 = 0 THEN 'nan'::DOUBLE ELSE CAST(doc_id AS DOUBLE) END AS dbz,
+    41.5::DOUBLE + CAST(doc_id % 7 AS DOUBLE) / 10 AS lat, -88::DOUBLE + CAST(doc_id % 6 AS DOUBLE) / 10 AS lon FROM documents)"""
 
 
 @query(f"""WITH {_HOLES}
@@ -216,7 +218,7 @@ UNION ALL SELECT 'filled', CAST(sum(CASE WHEN coalesce(n_chars, 0) = 0 THEN 1 EL
 UNION ALL SELECT 'null_only', count(*) FILTER (lang IS NULL) FROM holes
 UNION ALL SELECT 'echo', count(*) FILTER (dbz <> 0 AND NOT isnan(dbz)) FROM holes
 UNION ALL SELECT 'above_floor', count(*) FILTER (dbz > 20 AND NOT isnan(dbz)) FROM holes
-UNION ALL SELECT 'in_box', count(*) FILTER (dbz BETWEEN 41.644335 AND 420.23) FROM holes""")
+UNION ALL SELECT 'in_box', count(*) FILTER (lat BETWEEN 41.644335 AND 42.0231311 AND lon BETWEEN -87.940267 AND -87.524044) FROM holes""")
 def null_rules(spark, folder):
     """Row counts left by each rule on missing values."""
     holes = table(spark, folder, "documents").select(
@@ -226,6 +228,8 @@ def null_rules(spark, folder):
         .when(F.col("doc_id") % 7 == 0, F.lit(float("nan")))
         .otherwise(F.col("doc_id").cast("double"))
         .alias("dbz"),
+        (F.lit(41.5) + (F.col("doc_id") % 7).cast("double") / 10).alias("lat"),
+        (F.lit(-88.0) + (F.col("doc_id") % 6).cast("double") / 10).alias("lon"),
     )
     echo = clean.present_or_missing("dbz")
     counted = holes.agg(
@@ -234,6 +238,6 @@ def null_rules(spark, folder):
         F.count_if(F.col("lang").isNull()).alias("null_only"),
         F.count(echo).alias("echo"),
         F.count_if(echo > 20).alias("above_floor"),
-        F.count_if(F.col("dbz").between(41.644335, 420.23)).alias("in_box"),
+        F.count_if(CITY_BOX.holds("lat", "lon")).alias("in_box"),
     )
     return counted.unpivot([], counted.columns, "rule", "rows")

@@ -172,7 +172,7 @@ SELECT t.ts, z.zone, coalesce(round(avg(precip), 9), 0) AS precip
 FROM times t CROSS JOIN (VALUES {_ZONE_LIST}) z(zone) LEFT JOIN hits h ON h.zone = z.zone AND h.ts = t.ts GROUP BY 1, 2""")
 def zone_means(spark, folder):
     """Mean per scan and zone, every zone in every scan."""
-    means = spatial.zone_means(_hits(spark, folder), zones(spark), "precip", by=["ts"])
+    means = spatial.zone_means(_hits(spark, folder), zones(spark), "precip", by=["ts"], zones=ZONE_NAMES)
     return means.select("ts", "zone", F.round("precip", 9).alias("precip"))
 
 

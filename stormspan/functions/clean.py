@@ -17,19 +17,28 @@ def unreadable(text: Column | str) -> Column:
     return text.isNotNull() & text.try_cast("double").isNull()
 
 
+def finite(value: Column | str) -> Column:
+    """The value, or null where it is NaN or infinite (NaN orders above infinity)."""
+    value = _col(value)
+    return F.when(F.abs(value) < F.lit(float("inf")), value)
+
+
 def strict_precip(df: DataFrame, value: str, ts: str, keys: Sequence[str] = ()) -> DataFrame:
     """Zero every reading whose timestamp carries an unreadable one.
 
     'T' (trace) and flagged values such as '0.05s' count as unreadable, and all
     rows that share their station and timestamp are zeroed with them.  Nulls on
-    other timestamps stay null.  Rows sharing a timestamp are found by a window
-    on (keys, ts), so no group grows beyond one instant of one station.
+    other timestamps stay null, and so do 'NaN' and infinite readings.  Null
+    keys and timestamps equal each other.  The instants are made distinct with
+    map-side aggregation before they meet the readings, so the raw rows are not
+    gathered per station.
     """
-    from pyspark.sql import Window
-
-    same_instant = Window.partitionBy(*keys, ts)
-    bad = F.max(unreadable(value)).over(same_instant)
-    return df.withColumn(value, F.when(bad, F.lit(0.0)).otherwise(F.col(value).try_cast("double")))
+    at = [*keys, ts]
+    bad = df.filter(unreadable(value)).select(*[F.col(c).alias(f"_bad_{i}") for i, c in enumerate(at)]).distinct()
+    met = [F.col(c).eqNullSafe(F.col(f"_bad_{i}")) for i, c in enumerate(at)]
+    marked = df.join(bad.withColumn("_bad", F.lit(True)), met, "left")
+    read = F.when(F.col("_bad"), F.lit(0.0)).otherwise(finite(F.col(value).try_cast("double")))
+    return marked.withColumn(value, read).select(*df.columns)
 
 
 def lenient_precip(text: Column | str) -> Column:

@@ -30,7 +30,8 @@ def with_neighbours(
 ) -> DataFrame:
     """Add ``prev_<c>`` / ``next_<c>`` for the timestamp and the ``carry`` columns.
 
-    Order is (ts, tie); rows without a timestamp are left out.  With nothing to
+    Order is (ts, tie); rows without a timestamp are left out; null keys equal
+    each other.  With nothing to
     carry the summary is a plain minimum and maximum of the timestamp, which is
     hashed; carried columns need a maximum over structs, which sorts.
     """
@@ -52,14 +53,14 @@ def with_neighbours(
         *[extreme.alias(f"_edge_{side}") for side, (_, extreme) in sides.items()]
     )
     edges = edges.select(
-        *keys,
-        "_chunk",
+        *[F.col(c).alias(f"_of_{i}") for i, c in enumerate((*keys, "_chunk"))],
         *[step(f"_edge_{side}").over(across).alias(f"_far_{side}") for side, (step, _) in sides.items()],
     )
     near = chunked.withColumns(
         {f"_near_{side}": step(place).over(inside) for side, (step, _) in sides.items()}
     )
-    joined = near.join(edges, [*keys, "_chunk"], "left")
+    met = [F.col(c).eqNullSafe(F.col(f"_of_{i}")) for i, c in enumerate((*keys, "_chunk"))]
+    joined = near.join(edges, met, "left")
 
     def found(side: str, field: str) -> Column:
         far = F.col(f"_far_{side}")
@@ -97,8 +98,3 @@ def rate_to_depth(
     return near.withColumn("hours", hours).withColumn("depth", depth_inches(rate, "hours")).select(
         *rows.columns, "hours", "depth"
     )
-
-
-def first_where(condition: Column, ts: Column | str) -> Column:
-    """Aggregate: the earliest timestamp at which the condition holds."""
-    return F.min(F.when(condition, F.col(ts) if isinstance(ts, str) else ts))

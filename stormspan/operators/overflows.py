@@ -63,7 +63,7 @@ def outfall_totals(
     """Minutes per located outfall; the ``top`` largest are coloured red, others blue.
 
     Events are summed per outfall before they meet the locations, and the top
-    rows come from a distributed top-k.  Only those ``top`` rows are broadcast.
+    rows come from a distributed top-k.
     """
     totals = (
         events.groupBy(outfall).agg(F.sum(minutes).alias("total_minutes")).join(locations, outfall)
@@ -71,7 +71,7 @@ def outfall_totals(
     largest = (
         totals.orderBy(F.desc("total_minutes"), outfall).limit(top).select(outfall, F.lit("red").alias("_top"))
     )
-    flagged = totals.join(F.broadcast(largest), outfall, "left")
+    flagged = totals.join(largest, outfall, "left")
     return flagged.withColumn("color", F.coalesce("_top", F.lit("blue"))).drop("_top")
 
 
@@ -113,11 +113,16 @@ def overlap_counts(intervals: DataFrame, keys: Sequence[str], start: str, end: s
     pairs are formed.  Starts and ends are counted per (key, time) first, so the
     running window holds one row per distinct time, which is bounded when times
     are calendar slots such as hours or days.
+
+    A null end is an interval still open: it overlaps whatever starts after it.
+    An interval without a start has a null count and counts for no other.  Null
+    keys equal each other.
     """
     keys = list(keys)
-    starts = intervals.select(*keys, F.col(start).alias("_t"), F.lit(1).alias("_s"), F.lit(0).alias("_e"))
-    ends = intervals.select(*keys, F.col(end).alias("_t"), F.lit(0).alias("_s"), F.lit(1).alias("_e"))
-    frame = Window.partitionBy(*keys).orderBy("_t").rowsBetween(Window.unboundedPreceding, 0)
+    known = intervals.filter(F.col(start).isNotNull())
+    starts = known.select(*keys, F.col(start).alias("_t"), F.lit(1).alias("_s"), F.lit(0).alias("_e"))
+    ends = known.select(*keys, F.col(end).alias("_t"), F.lit(0).alias("_s"), F.lit(1).alias("_e"))
+    frame = Window.partitionBy(*keys).orderBy(F.asc_nulls_last("_t")).rowsBetween(Window.unboundedPreceding, 0)
     times = (
         starts.unionByName(ends)
         .groupBy(*keys, "_t")
@@ -129,15 +134,12 @@ def overlap_counts(intervals: DataFrame, keys: Sequence[str], start: str, end: s
             (F.sum("_e").over(frame) - F.col("_e")).alias("_ended"),
         )
     )
-    at_end = times.select(*keys, F.col("_t").alias(end), "_started")
-    at_start = times.select(*keys, F.col("_t").alias(start), "_ended")
-    counted = intervals.join(at_end, [*keys, end]).join(at_start, [*keys, start])
-    return counted.select(
-        *intervals.columns, (F.col("_started") - F.col("_ended") - 1).alias("overlaps")
-    )
 
+    def looked_up(found: DataFrame, at: str, count: str) -> DataFrame:
+        names = [*keys, at]
+        side = times.select(*[F.col(c).alias(f"_{at}_{i}") for i, c in enumerate((*keys, "_t"))], count)
+        return found.join(side, [F.col(c).eqNullSafe(F.col(f"_{at}_{i}")) for i, c in enumerate(names)], "left")
 
-def overlaps(start_a, end_a, start_b, end_b, *, closed: bool = True) -> Column:
-    """Do two intervals overlap; touching counts when ``closed``."""
-    a0, a1, b0, b1 = (F.col(c) if isinstance(c, str) else c for c in (start_a, end_a, start_b, end_b))
-    return (a0 <= b1) & (b0 <= a1) if closed else (a0 < b1) & (b0 < a1)
+    counted = looked_up(looked_up(intervals, end, "_started"), start, "_ended")
+    others = F.when(F.col(start).isNotNull(), F.col("_started") - F.col("_ended") - 1)
+    return counted.select(*intervals.columns, others.alias("overlaps"))

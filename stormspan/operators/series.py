@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.calendar import hour_number, slot_number, slot_start
+from ..functions.clean import finite
 
 AGGREGATES = {"max": F.max, "sum": F.sum, "mean": F.avg, "count": F.count}
 
@@ -39,7 +40,7 @@ def resample(
     the ``max``.  Slots are [start, start + 1); ``label='right'`` stamps a slot
     with its end.  Slots between a key's first and last reading that hold none
     get ``fill`` (null by default); ``extend`` adds that many empty slots after
-    the last one.
+    the last one.  NaN and infinite readings count as missing.
 
     The gaps are generated from each row's distance to the next row of its key,
     so no calendar table is joined in and the raw readings are scanned once.
@@ -49,7 +50,7 @@ def resample(
     filled = (
         readings.filter(F.col(ts).isNotNull())
         .groupBy(*keys, slot_number(ts, unit).alias("_slot"))
-        .agg(AGGREGATES[how](value).alias(out))
+        .agg(AGGREGATES[how](finite(value)).alias(out))
         .withColumn("_next", F.lead("_slot").over(Window.partitionBy(*keys).orderBy("_slot")))
         .withColumn(
             "_at",
@@ -108,6 +109,11 @@ def with_halo(
     ).drop("_home")
 
 
+def whole_units(value: str, unit: int) -> Column:
+    """A reading in whole units of 1 / ``unit``; null for NaN and infinite ones."""
+    return F.round(finite(value) * unit).cast("bigint")
+
+
 def rolling_column(hours: int) -> str:
     return f"roll_{hours}"
 
@@ -143,10 +149,10 @@ def rolling_totals(
     window = Window.partitionBy(*parts).orderBy(ts)
     so_far = window.rowsBetween(Window.unboundedPreceding, 0)
     unit = 10**digits
-    units = F.round(F.col(value) * unit).cast("bigint")
+    units = whole_units(value, unit)
     running = {"_sum": F.coalesce(F.sum(units).over(so_far), F.lit(0).cast("bigint"))}
     if full:
-        running["_count"] = F.count(value).over(so_far)
+        running["_count"] = F.count(finite(value)).over(so_far)
     series = series.withColumns(running)
     zero = F.lit(0).cast("bigint")
     past = {f"_past_{k}": F.lag("_sum", k).over(window) for k in hours}
@@ -204,7 +210,7 @@ def cumulative_share(
     unit = 10**digits
     whole = Window.partitionBy(*keys)
     so_far = whole.orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
-    units = F.round(F.col(value) * unit).cast("bigint")
+    units = whole_units(value, unit)
     running, total = F.sum(units).over(so_far), F.sum(units).over(whole)
     return series.withColumns({
         "cumulative": running / F.lit(float(unit)),

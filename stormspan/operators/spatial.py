@@ -163,22 +163,25 @@ def first_polygon(
 
 
 def zone_means(
-    hits: DataFrame, polygons: DataFrame, value: str, *, by: Sequence[str] = ()
+    hits: DataFrame, polygons: DataFrame, value: str, *, by: Sequence[str] = (), zones: Sequence[str] = ()
 ) -> DataFrame:
     """Mean per polygon; a polygon without a point has mean 0.
 
-    With ``by`` (for example a scan time) every value of ``by`` that occurs gets
-    all polygons.  The hits are averaged first; only averages meet the polygons.
+    With ``by`` (for example a scan time) every value of ``by`` that occurs, null
+    included, gets all of ``zones``, the list of names that the caller passes.
+    The hits are averaged first; only averages meet the polygons.
     """
     by = list(by)
+    if by and not zones:
+        raise ValueError("means per scan need the list of zones")
     means = hits.groupBy(*by, "zone").agg(F.avg(value).alias(value))
-    zones = polygons.select("zone").distinct()
     if not by:
-        return zones.join(means, "zone", "left").fillna(0.0, [value])
-    listed = zones.agg(F.collect_set("zone").alias("zones"))
-    times = means.select(*by).distinct()
-    every = times.withColumn("zone", F.explode(listed.scalar()))
-    return every.join(means, [*by, "zone"], "left").fillna(0.0, [value])
+        return polygons.select("zone").distinct().join(means, "zone", "left").fillna(0.0, [value])
+    every = means.select(*by).distinct().withColumn("zone", F.explode(F.array(*[F.lit(z) for z in zones])))
+    names = [*by, "zone"]
+    side = means.select(*[F.col(c).alias(f"_of_{i}") for i, c in enumerate(names)], value)
+    joined = every.join(side, [F.col(c).eqNullSafe(F.col(f"_of_{i}")) for i, c in enumerate(names)], "left")
+    return joined.select(*names, value).fillna(0.0, [value])
 
 
 def zone_pivot(hits: DataFrame, by: Sequence[str], zones: Sequence[str], value: str) -> DataFrame:

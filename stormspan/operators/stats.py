@@ -12,7 +12,7 @@ PERCENTILE_BUCKETS = 4096
 
 
 def describe(df: DataFrame, column: str, probabilities: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
-    """One row: count, mean, sample deviation, min, percentiles, max."""
+    """One row: count, mean, sample deviation, min, percentiles, max; NaN counts as missing."""
     quantiles = exact_percentiles(df, column, probabilities)
     names = [f"p{round(p * 100)}" for p in probabilities]
     # One scalar subquery carries all percentiles.
@@ -22,9 +22,9 @@ def describe(df: DataFrame, column: str, probabilities: Sequence[float] = (0.25,
             for name, p in zip(names, probabilities)
         ]).alias("picked")
     ).scalar()
-    value = F.col(column).cast("double")
+    value = _known(column)
     basics = df.agg(
-        F.count(column).alias("count"),
+        F.count(value).alias("count"),
         F.avg(value).alias("mean"),
         F.stddev_samp(value).alias("std"),
         F.min(value).alias("min"),
@@ -42,7 +42,7 @@ def exact_percentiles(df: DataFrame, column: str, probabilities: Sequence[float]
     ``PERCENTILE_BUCKETS`` rows) tells which buckets hold the wanted ranks.  Only
     those few buckets are then ordered, each in a task of its own.
     """
-    value = F.col(column).cast("double").alias("value")
+    value = _known(column).alias("value")
     counts = df.select(value).filter(F.col("value").isNotNull()).groupBy("value").agg(F.count("*").alias("copies"))
     # One small job over the counted values gives the range and the row count.
     limits = counts.agg(
@@ -90,6 +90,11 @@ def exact_percentiles(df: DataFrame, column: str, probabilities: Sequence[float]
     )
 
 
+def _known(column: str) -> Column:
+    value = F.col(column).cast("double")
+    return F.when(~F.isnan(value), value)
+
+
 def _rank_struct(probability: float, side: int, total: Column) -> Column:
     place = F.lit(probability) * (total - 1)
     rank = F.floor(place) if side == 0 else F.ceil(place)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import day_number, hour_number, hour_start
 from ..functions.thresholds import Band
-from .series import rolling_column, rolling_totals
+from .series import rolling_column, rolling_totals, whole_units
 
 
 def classified_windows(
@@ -99,8 +99,9 @@ def choose_without_overlap(
     cannot conflict, so each island is walked by itself.  A window marks where
     islands open; its output is clustered by key and ordered by start within the
     same stage, so the Arrow function streams over it and holds one island plus
-    one batch, never a whole station.  An island has at most one candidate per
-    hour and duration of the wet spell that chains it.
+    one batch.  An island has at most one candidate per hour and duration of the
+    wet spell that chains it; with ten-day windows that spell can be most of a
+    station's history, which the calendar bounds.
     """
     keys = list(keys)
     ordered = Window.partitionBy(*keys).orderBy("_from", "_to")
@@ -227,6 +228,7 @@ def highest_storm_before(
     peaks on a wet hour, so dry hours are dropped first.  The total that a slice
     must not see, everything before its first label, is the running sum at a
     midnight: one carried column and its lags, all on the series' own window.
+    ``series`` must have a row for every hour, as ``resample`` gives.
     """
     keys = list(keys)
     unit = 10**digits
@@ -234,7 +236,7 @@ def highest_storm_before(
     so_far = window.rowsBetween(Window.unboundedPreceding, 0)
     zero = F.lit(0).cast("bigint")
     hours = [b.hours for b in bands]
-    rows = series.withColumn("_units", F.coalesce(F.round(F.col(value) * unit).cast("bigint"), zero))
+    rows = series.withColumn("_units", F.coalesce(whole_units(value, unit), zero))
     rows = rows.withColumns({"_sum": F.sum("_units").over(so_far), "_hour": hour_number(ts)})
     at_midnight = F.when(F.col("_hour") % 24 == 0, F.col("_sum") - F.col("_units"))
     rows = rows.withColumn("_before", F.coalesce(F.last(at_midnight, ignorenulls=True).over(so_far), zero))
@@ -314,7 +316,7 @@ def rain_events(
     backward = Window.partitionBy(*keys).orderBy(F.desc(ts)).rowsBetween(Window.unboundedPreceding, 0)
     zero = F.lit(0).cast("bigint")
     limit = F.lit(round(floor * unit))
-    rows = series.withColumn("_units", F.coalesce(F.round(F.col(value) * unit).cast("bigint"), zero))
+    rows = series.withColumn("_units", F.coalesce(whole_units(value, unit), zero))
     rows = rows.withColumn("_sum", F.sum("_units").over(so_far))
     rows = rows.withColumns({
         "_past": F.coalesce(F.lag("_sum", dry_hours).over(window), zero),
@@ -368,7 +370,7 @@ def rain_runs(
         .agg(
             F.min(ts).alias("first_label"),
             F.max(ts).alias("last_label"),
-            F.sum(F.round(F.col(value) * 10_000).cast("bigint")).alias("_units"),
+            F.sum(whole_units(value, 10_000)).alias("_units"),
         )
         .select(
             *keys,

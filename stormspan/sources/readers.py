@@ -14,11 +14,12 @@ from pyspark.sql import types as T
 
 from ..functions.clean import wall_clock
 
+CORRUPT_ROW = "corrupt_row"
 SWEEP_SCHEMA = (
     "path string, site_lat double, site_lon double, azimuth double, "
-    "first_gate double, gate_width double, gates array<double>"
+    "first_gate double, gate_width double, gates array<double>, error string"
 )
-SWEEP_FIELDS = ("path", "site_lat", "site_lon", "azimuth", "first_gate", "gate_width", "gates")
+SWEEP_FIELDS = ("path", "site_lat", "site_lon", "azimuth", "first_gate", "gate_width", "gates", "error")
 
 
 def read_csv(
@@ -26,17 +27,24 @@ def read_csv(
 ) -> DataFrame:
     """CSV with a header row.
 
-    ``skip_bad`` reads a set of files of which some may be unreadable: malformed
-    rows and corrupt or vanished files are passed over instead of ending the job.
+    A malformed row or an unreadable file ends the job.  With ``skip_bad``,
+    corrupt or vanished files are passed over, and every malformed row stays:
+    its text is in an added column ``corrupt_row``, null for readable rows, so
+    that the caller can count and drop them.
     """
-    reader = spark.read.schema(schema).option("header", True)
-    if skip_bad:
-        reader = (
-            reader.option("mode", "DROPMALFORMED")
-            .option("ignoreCorruptFiles", True)
-            .option("ignoreMissingFiles", True)
-        )
-    return reader.csv(path)
+    reader = spark.read.option("header", True)
+    if not skip_bad:
+        return reader.schema(schema).option("mode", "FAILFAST").csv(path)
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    kept = T.StructType([*schema.fields, T.StructField(CORRUPT_ROW, T.StringType())])
+    return (
+        reader.schema(kept)
+        .option("columnNameOfCorruptRecord", CORRUPT_ROW)
+        .option("ignoreCorruptFiles", True)
+        .option("ignoreMissingFiles", True)
+        .csv(path)
+    )
 
 
 def read_keys(spark: SparkSession, path: str) -> DataFrame:
@@ -62,26 +70,32 @@ def read_binary(spark: SparkSession, path: str, pattern: str = "*.gz") -> DataFr
 
 
 def decode_sweeps(files: DataFrame, decode: Callable[[str, bytes], Sequence[dict] | None]) -> DataFrame:
-    """Apply a caller's decoder to (path, content); files it cannot read give no rows.
+    """Apply a caller's decoder to (path, content).
 
     ``decode`` returns the rays of a file as dicts of ``SWEEP_SCHEMA`` (without
-    ``path``), or None.  It runs in the tasks, one file at a time.
+    ``path`` and ``error``), or None for a file without rays.  It runs in the
+    tasks, one file at a time.  A file on which it raises gives one row with
+    ``path`` and ``error`` alone; rays have a null ``error``.
     """
-    fields = list(SWEEP_FIELDS)
+    fields = SWEEP_FIELDS
 
     def to_rays(batches):
-        import pandas as pd
+        import pyarrow as pa
 
+        number = pa.float64()
+        kinds = {"path": pa.string(), "gates": pa.list_(number), "error": pa.string()}
+        schema = pa.schema([(name, kinds.get(name, number)) for name in fields])
         for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
+            for path, content in zip(batch.column("path"), batch.column("content")):
+                path = path.as_py()
                 try:
-                    rays = decode(path, content)
-                except Exception:
-                    rays = None
+                    rays = decode(path, content.as_py())
+                except Exception as problem:
+                    rays = [{"error": f"{type(problem).__name__}: {problem}"}]
                 if rays:
-                    yield pd.DataFrame([{"path": path, **ray} for ray in rays], columns=fields)
+                    yield pa.RecordBatch.from_pylist([{"path": path, **ray} for ray in rays], schema=schema)
 
-    return files.select("path", "content").mapInPandas(to_rays, SWEEP_SCHEMA)
+    return files.select("path", "content").mapInArrow(to_rays, SWEEP_SCHEMA)
 
 
 def is_product(path: Column | str, pattern: str) -> Column:

@@ -102,6 +102,9 @@ def test_points_in_polygons_against_brute_force(spark):
         assert firsts == {(i, next(n for n, _ in RINGS if (i, n) in want)) for i in {i for i, _ in want}}
     means = {r.zone: r.lat for r in spatial.zone_means(spatial.points_in_polygons(df, shapes), shapes, "lat").collect()}
     assert means["far"] == 0.0 and means["square"] > 3
+    timed = spark.createDataFrame([(None, "square", 5.0), (1, "bowl", 2.0)], "t int, zone string, v double")
+    by_time = {(r.t, r.zone): r.v for r in spatial.zone_means(timed, shapes, "v", by=["t"], zones=["bowl", "square"]).collect()}
+    assert by_time == {(None, "square"): 5.0, (None, "bowl"): 0.0, (1, "bowl"): 2.0, (1, "square"): 0.0}
 
 
 def test_rates(spark):
@@ -123,6 +126,9 @@ def test_sweep_files_to_grid(spark, tmp_path):
         return [dict(site_lat=41.7, site_lon=-87.9, azimuth=90.0, first_gate=5.0, gate_width=1.0, gates=gates)]
 
     sweeps = readers.decode_sweeps(readers.read_binary(spark, str(tmp_path)), decode)
+    failed = sweeps.filter("error is not null").collect()
+    assert [r.path.endswith("011203.gz") for r in failed] == [True]
+    assert failed[0].error.startswith("BadGzipFile") and failed[0].gates is None
     shapes = polygons(spark, [("z", [(-87.94, 41.65), (-87.6, 41.65), (-87.6, 41.9), (-87.94, 41.9)])])
     rows = rain_grid(sweeps, shapes, ["z"], cell=0.2).collect()
     assert [r.timestamp for r in rows] == [datetime(2016, 8, 11, 20, 2, 3)]
@@ -143,7 +149,9 @@ def test_csv_round_trip_and_bad_rows(spark, tmp_path):
     (folder / "1.csv").write_text("t,v\n1,2.5\nnot a number,3\n")
     (folder / "2.csv").write_text("t,v\n7,1.0\n")
     many = readers.read_csv(spark, str(folder), "t int, v double", skip_bad=True)
-    assert sorted(r.t for r in many.collect()) == [1, 7]
+    assert {(r.t, r.corrupt_row) for r in many.collect()} == {(1, None), (7, None), (None, "not a number,3")}
+    with pytest.raises(Exception, match="MALFORMED|malformed|FAILFAST"):
+        readers.read_csv(spark, str(folder), "t int, v double").collect()
     (tmp_path / "keys.csv").write_text("key\n2016/a.gz\n2016/b.gz\n")
     assert [r.key for r in readers.read_keys(spark, str(tmp_path / "keys.csv")).collect()] == ["2016/a.gz", "2016/b.gz"]
 

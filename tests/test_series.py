@@ -106,3 +106,45 @@ def test_overlap_counts_against_pairs(spark):
     got = {r.id: r.overlaps for r in overflows.overlap_counts(df, ["k"], "s", "e").collect()}
     want = {i: sum(1 for _, j, s2, e2 in rows if j != i and s <= e2 and s2 <= e) for _, i, s, e in rows}
     assert got == want
+
+
+def test_rows_with_a_null_key_keep_their_neighbours(spark):
+    rows = [(None, at("2020-01-01 00:10:00"), 1), (None, at("2020-01-01 05:10:00"), 2), ("a", at("2020-01-01 03:00:00"), 3)]
+    df = frame(spark, rows, "s string, ts timestamp_ntz, id int")
+    out = {r.id: r.prev_ts for r in neighbours.with_neighbours(df, ["s"], "ts", "id").collect()}
+    assert out == {1: None, 2: at("2020-01-01 00:10:00"), 3: None}
+
+
+def test_overlaps_of_open_unkeyed_and_undated_intervals(spark):
+    day = lambda d: at(f"2020-01-{d:02d} 00:00:00")
+    rows = [
+        (1, "a", day(1), None), (2, "a", day(5), day(6)), (3, "a", day(6), day(9)), (4, "a", None, day(5)),
+        (5, None, day(1), day(3)), (6, None, day(2), None), (7, None, day(4), day(4)),
+    ]
+    df = frame(spark, rows, "id int, k string, s timestamp_ntz, e timestamp_ntz")
+    out = {r.id: r.overlaps for r in overflows.overlap_counts(df, ["k"], "s", "e").collect()}
+
+    def meet(a, b):
+        return a[1] == b[1] and a[2] and b[2] and a[2] <= (b[3] or datetime.max) and b[2] <= (a[3] or datetime.max)
+
+    want = {a[0]: sum(bool(meet(a, b)) for b in rows if b is not a) if a[2] else None for a in rows}
+    assert out == want
+
+
+def test_nan_and_infinite_readings_count_as_missing(spark):
+    values = [1.0, float("nan"), float("inf"), 2.0]
+    rows = [("a", at("2020-01-01 00:00:00") + timedelta(hours=h), v) for h, v in enumerate(values)]
+    df = frame(spark, rows, "s string, ts timestamp_ntz, value double")
+    assert [r.value for r in series.hourly_max(df, ["s"]).orderBy("ts").collect()] == [1.0, 0.0, 0.0, 2.0]
+    rolled = series.rolling_totals(df, ["s"], "ts", "value", [3], full=False).orderBy("ts").collect()
+    assert [r.roll_3 for r in rolled] == [1.0, 1.0, 1.0, 2.0]
+    from stormspan.functions.clean import strict_precip
+    from stormspan.operators.stats import describe
+
+    described = describe(spark.createDataFrame([(1.0,), (2.0,), (float("nan"),), (3.0,)], "v double"), "v").first()
+    assert (described["count"], described.p50, described.max) == (3, 2.0, 3.0)
+    texts = [("a", 1, "NaN"), ("a", 2, "0.5"), (None, 3, "T"), (None, 3, "0.7"), ("b", None, "0.1s"), ("b", None, "1"), ("b", 4, None)]
+    cleaned = strict_precip(frame(spark, texts, "s string, ts int, v string"), "v", "ts", ["s"]).collect()
+    assert sorted((str(r.s), str(r.ts), str(r.v)) for r in cleaned) == sorted(
+        [("a", "1", "None"), ("a", "2", "0.5"), ("None", "3", "0.0"), ("None", "3", "0.0"), ("b", "None", "0.0"), ("b", "None", "0.0"), ("b", "4", "None")]
+    )

@@ -135,3 +135,29 @@ def test_storms_from_raw_readings(spark):
     assert [(r.n, r.duration_hrs, r.inches, r.year) for r in found] == [(100, 18, 7.0, 1987)]
     grid = {r.year: r.asDict() for r in storms_by_year(station_storms(clean_readings(raw)), 1986, 1988).collect()}
     assert sum(v for y in grid for k, v in grid[y].items() if k != "year") == 1 and sum(grid[1986].values()) == 1986
+
+
+def test_look_back_with_many_days_digits_and_long_durations(spark):
+    from datetime import datetime, timedelta
+
+    from stormspan.functions.thresholds import Band
+
+    first = datetime(2020, 1, 1, 1)
+    rain = {1200: 60.0, 1210: 3.0, 300: 45.5}
+    rows = [("a", first + timedelta(hours=h), rain.get(h, 0.0)) for h in range(1500)]
+    hourly = spark.createDataFrame(rows, "k string, ts timestamp_ntz, v double")
+    bands = [Band(1, ((1, 2.0), (2, 50.0))), Band(1000, ((1, 20.0), (2, 100.0)))]
+    when = first + timedelta(hours=1300)
+    events = spark.createDataFrame([("a", when)], "k string, at timestamp_ntz")
+    got = storms.highest_storm_before(events, ["k"], "at", hourly, "ts", "v", bands, days=60, digits=10).first()
+    end = datetime(when.year, when.month, when.day) + timedelta(days=1)
+    seen = [r for r in rows if end - timedelta(days=60) <= r[1] <= end]
+    best = None
+    for band in bands:
+        for i in range(len(seen)):
+            inches = sum(r[2] for r in seen[max(0, i + 1 - band.hours) : i + 1])
+            n = max((n for n, limit in band.limits if inches >= limit), default=None)
+            if n and (best is None or (n, band.hours, inches, -i) > best[0]):
+                best = ((n, band.hours, inches, -i), seen[i][1])
+    assert (got.n, got.duration_hrs, got.storm_end) == (best[0][0], best[0][1], best[1])
+    assert got.inches == best[0][2]
