@@ -32,8 +32,10 @@ RARE = 2.0**-21
 SLACK = 1.15
 QUANTILE = 0.999
 UNKNOWN = "und"
-#: Characters handled at once.
-CHUNK = 1_000_000
+#: Characters handled at once; a character takes about a hundred bytes meanwhile.
+CHUNK = 1 << 18
+#: N-grams that a counting task holds per language before it hands them on.
+HELD = 1_000_000
 SHARPNESS = (0.5, 1.0, 2.0, 5.0, 10.0, 20.0, 50.0)
 
 
@@ -108,7 +110,7 @@ def counted(docs: DataFrame, text: str, lang: str) -> DataFrame:
                         sums = np.concatenate([held[lang_][1], many])
                         grams, where = np.unique(keys, return_inverse=True)
                         many = np.bincount(where, sums).astype(np.int64)
-                    if len(grams) > CHUNK:
+                    if len(grams) > HELD:
                         yield out(lang_, grams, many)
                         grams, many = grams[:0], many[:0]
                     held[lang_] = (grams, many)

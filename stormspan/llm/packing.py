@@ -25,13 +25,13 @@ import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .shared import Recent
+from .shared import Bounded
 
 WINDOW = 2048
 END = 1
 VOCABULARY = "word_bpe_49k.json"
-#: Words remembered by a worker, at most.
-REMEMBERED = 400_000
+#: Bytes of each of the two tables of words that a task keeps.
+REMEMBERED = 32 << 20
 
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 #: Words the quick way reads: letters up to U+024F, which no normal form and no case rule
@@ -49,12 +49,16 @@ class Words:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenize = self.tokenizer.model.tokenize
-        self.pieces = Recent(self.piece, REMEMBERED)
-        self.words = Recent(self.word, REMEMBERED)
+        self.pieces = Bounded(self.piece, REMEMBERED)
+        self.words = Bounded(self.word, REMEMBERED)
         keep = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in keep]
         self.visible = {b: chr(b) for b in keep} | {b: chr(256 + n) for n, b in enumerate(rest)}
 
+    def forget(self) -> None:
+        self.pieces.clear()
+        self.words.clear()
+
     def piece(self, text: str) -> bytes:
         shown = text.encode().decode("latin-1").translate(self.visible)
         return array("I", [t.id for t in self.tokenize(shown)]).tobytes()
@@ -183,14 +187,17 @@ def pack(
             return batch
 
         windows, key_type = Windows(window, close), None
-        for batch in batches:
-            key_type = batch.schema.field(0).type
-            for doc, value in zip(batch.column(0).to_pylist(), batch.column(1)):
-                windows.add(doc, token_ids(value.as_py(), path) + tail)
-            yield flush(key_type)
-        if key_type is not None:
-            windows.finish()
-            yield flush(key_type)
+        try:
+            for batch in batches:
+                key_type = batch.schema.field(0).type
+                for doc, value in zip(batch.column(0).to_pylist(), batch.column(1)):
+                    windows.add(doc, token_ids(value.as_py(), path) + tail)
+                yield flush(key_type)
+            if key_type is not None:
+                windows.finish()
+                yield flush(key_type)
+        finally:
+            word_ids(path).forget()
 
     longs = ", ".join(f"{n} long" for n in names[1:])
     return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, {longs}")

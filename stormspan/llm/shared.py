@@ -3,6 +3,7 @@ groups, connected components."""
 
 from __future__ import annotations
 
+import sys
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -60,6 +61,32 @@ class Recent(dict):
         return found
 
 
+class Bounded(dict):
+    """A table of results by key, made by ``make`` where they are missing, of at most ``most``
+    bytes by its own count; a full one starts anew.  Whoever fills it in a task clears it when
+    the task ends, as workers live on."""
+
+    #: Of an entry, besides what its key and result hold.
+    ENTRY = 100
+
+    def __init__(self, make: Callable, most: int):
+        self.make, self.most, self.held = make, most, 0
+
+    def __missing__(self, key):
+        found = self.make(key)
+        size = sys.getsizeof(key) + sys.getsizeof(found) + self.ENTRY
+        if self.held + size > self.most:
+            self.clear()
+        if size <= self.most:
+            self.held += size
+            self[key] = found
+        return found
+
+    def clear(self):
+        super().clear()
+        self.held = 0
+
+
 def fold(key: Column) -> Column:
     """crc32 of the key as text, modulo 4; null for a null key."""
     return F.crc32(key.cast("string").cast("binary")) % 4

@@ -233,7 +233,7 @@ def test_query_equals_sql(spark, folder, name):
     import duckdb
 
     connection = duckdb.connect()
-    for table in ("pages", "embeddings", "documents"):
+    for table in ("pages", "embeddings", "documents", "benchmark"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet'")
     theirs = connection.sql(queries.ORACLES[name]).to_arrow_table().to_pylist()
     mine = queries.QUERIES[name](spark, folder).toArrow().to_pylist()
@@ -255,3 +255,26 @@ def test_pipeline(spark, folder):
     assert kept[0] >= kept[1] >= kept[2] >= kept[3] == kept[4] > 0
     assert {r["doc_id"] for r in rows} == {r["doc_id"] for r in frame.collect()}
     assert not any(re.search(r"[\w.]+@[\w-]+\.\w", r["text"]) for r in frame.collect())
+
+
+def test_word_tables_are_bounded_in_bytes_and_freed(spark):
+    from stormspan.llm import packing, shared
+
+    table = shared.Bounded(lambda k: k.encode() * 10, 100_000)
+    for k in range(5000):
+        assert table[f"w{k}"] == f"w{k}".encode() * 10
+        assert table.held <= 100_000
+    assert 0 < len(table) < 5000
+    assert table["x" * 50_000] and "x" * 50_000 not in table
+
+    def left(batches):
+        import pyarrow as pa
+
+        for _ in batches:
+            pass
+        words = packing.word_ids(packing.public_tokenizers.path(packing.VOCABULARY))
+        yield pa.RecordBatch.from_arrays([pa.array([len(words.words) + len(words.pieces)])], ["left"])
+
+    docs = spark.range(2000).selectExpr("id AS doc_id", "concat('some words of ', id) AS text").coalesce(1)
+    packing.pack(docs).collect()  # the same worker is used again below
+    assert docs.select("doc_id").mapInArrow(left, "left long").first()[0] == 0
