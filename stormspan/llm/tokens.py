@@ -22,6 +22,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import regex
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,8 +31,9 @@ from .shared import spill
 
 VOCABULARY = "word_bpe_49k.json"
 LIMIT = 2048
-#: Bytes of text that share one list of pre-tokens; a longer text has a list of its own.
-BLOCK = 4 << 20
+#: Bytes of text that share one list of pre-tokens; a longer text has a list of its own.  The
+#: longer the block, the fewer blocks list a pre-token; a task holds about eight times as much.
+BLOCK = 32 << 20
 
 #: The pattern of the vocabulary whose pre-tokens are also found the quick way, a fixed value.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -86,6 +88,17 @@ class PreTokens:
         return 1 if token in self.special else len(self.tokenizer.model.tokenize(token))
 
 
+def packed(values: np.ndarray) -> bytes:
+    """Whole numbers below 2**32, byte planes apart, compressed."""
+    planes = np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return zstandard.ZstdCompressor(3).compress(planes.tobytes())
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
+
+
 @lru_cache(maxsize=1)
 def pre_tokens(path: str) -> PreTokens:
     return PreTokens(path)
@@ -93,7 +106,8 @@ def pre_tokens(path: str) -> PreTokens:
 
 def frequencies(docs: DataFrame, key: str, text: str, path: str, block: int = BLOCK) -> DataFrame:
     """One row per block: its distinct pre-tokens, and of its documents the keys, the number of
-    distinct pre-tokens, and flat arrays of their places and frequencies."""
+    distinct pre-tokens, and their places (each as the distance from the last, anew for every
+    document) and frequencies, packed."""
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,8 +139,8 @@ def frequencies(docs: DataFrame, key: str, text: str, path: str, block: int = BL
                 one(pa.array(list(places), pa.string())),
                 one(pa.array(keys, key_type)),
                 one(pa.array(sizes, pa.int32())),
-                one(pa.array(np.concatenate(at) if at else [], pa.int32())),
-                one(pa.array(np.concatenate(many) if many else [], pa.int64())),
+                pa.array([packed(np.concatenate(at))], pa.binary()),
+                pa.array([packed(np.concatenate(many))], pa.binary()),
             ]
             for kept in (places, known, keys, sizes, at, many):
                 kept.clear()
@@ -140,18 +154,19 @@ def frequencies(docs: DataFrame, key: str, text: str, path: str, block: int = BL
                     yield flush()
                     name, read = name + 1, 0
                 found = list(parts(data))
-                pairs = np.array(found, np.int64).reshape(-1, 2)
+                pairs = np.array(found, np.uint32).reshape(-1, 2)
+                pairs = pairs[np.argsort(pairs[:, 0])]
                 keys.append(doc)
                 sizes.append(len(found))
-                at.append(pairs[:, 0])
-                many.append(pairs[:, 1])
+                at.append(np.diff(pairs[:, 0], prepend=np.uint32(0)))
+                many.append(pairs[:, 1].copy())
                 read += len(data) + 1
         if keys:
             yield flush()
 
     return docs.select(key, F.col(text).cast("binary")).mapInArrow(
         run,
-        f"block long, tokens array<string>, keys array<{kind}>, sizes array<int>, places array<int>, times array<long>",
+        f"block long, tokens array<string>, keys array<{kind}>, sizes array<int>, places binary, times binary",
     )
 
 
@@ -192,8 +207,9 @@ def count(
     """
     path = vocabulary or public_tokenizers.path(VOCABULARY)
     kind = docs.schema[key].dataType.simpleString()
-    places = docs.select(F.struct(F.col(key).alias("key"), F.coalesce(F.octet_length(text), F.lit(0)).cast("long").alias("n_bytes")).alias("_doc"), text)
-    made = spill(frequencies(places, "_doc", text, path, block))
+    size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
+    rows = docs.select(F.struct(F.col(key).alias("key"), size.alias("n_bytes")).alias("doc"), F.col(text).alias("text"))
+    made = spill(frequencies(rows, "doc", "text", path, block))
     tokens = made.select("block", F.posexplode("tokens").alias("place", "token"))
     counted = pieces(tokens, path).groupBy("block").agg(
         F.sort_array(F.collect_list(F.struct("place", "pieces"))).getField("pieces").alias("pieces")
@@ -203,15 +219,16 @@ def count(
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                row = [c[k].values for c in batch.columns]
-                docs_, sizes, at, times = row[0], *(np.asarray(c) for c in row[1:4])
-                worth = np.asarray(row[4]) if row[4] is not None else np.empty(0, np.int32)
-                sums = np.concatenate([[0], np.cumsum(worth[at] * times)])
+                keys, sizes, at, times, worth = (c[k] for c in batch.columns)
+                sizes = np.asarray(sizes.values)
                 ends = np.cumsum(sizes)
-                tokens_ = sums[ends] - sums[ends - sizes]
-                yield pa.RecordBatch.from_arrays(
-                    [*docs_.flatten(), pa.array(tokens_.astype(np.int64))], ["key", "n_bytes", "n_tokens"]
-                )
+                at, times = np.cumsum(unpacked(at.as_py())), unpacked(times.as_py())
+                # The distances of all documents are summed in one go; take off what came before.
+                before = np.concatenate([[0], at])[ends - sizes]
+                worth = np.asarray(worth.values) if worth.is_valid else np.empty(0, np.int32)
+                sums = np.concatenate([[0], np.cumsum(worth[at - np.repeat(before, sizes)] * times)])
+                counted_ = pa.array((sums[ends] - sums[ends - sizes]).astype(np.int64))
+                yield pa.RecordBatch.from_arrays([*keys.values.flatten(), counted_], ["key", "n_bytes", "n_tokens"])
 
     summed = joined.mapInArrow(total, f"key {kind}, n_bytes long, n_tokens long")
     return summed.select(F.col("key").alias(key), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
