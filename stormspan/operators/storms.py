@@ -86,8 +86,17 @@ def band_counts(
     return found.groupBy("duration_hrs", "n").agg(F.count("*").alias("windows"))
 
 
+#: Candidates gathered before the next settling, and rounds of it before walking the rest.
+HOLD, ROUNDS = 20_000, 40
+
+
 def choose_without_overlap(
-    candidates: DataFrame, keys: Sequence[str], rank: Sequence[tuple[str, bool]], *, closed: bool = True
+    candidates: DataFrame,
+    keys: Sequence[str],
+    rank: Sequence[tuple[str, bool]],
+    *,
+    closed: bool = True,
+    hold: int = HOLD,
 ) -> DataFrame:
     """Walk candidates in rank order, keeping each that overlaps none kept before.
 
@@ -95,31 +104,27 @@ def choose_without_overlap(
     overlapping; otherwise an interval owns its hours and may touch another.
     ``start_time`` and ``end_time`` must lie on whole hours.
 
-    Intervals of different islands (maximal runs of overlapping candidates)
-    cannot conflict, so each island is walked by itself.  A window marks where
-    islands open; its output is clustered by key and ordered by start within the
-    same stage, so the Arrow function streams over it and holds one island plus
-    one batch.  An island has at most one candidate per hour and duration of the
-    wet spell that chains it; with ten-day windows that spell can be most of a
-    station's history, which the calendar bounds.
+    The walk is not needed as such.  A candidate that is the best in all of its
+    hours is kept whatever happens elsewhere, and what it touches goes; that is
+    repeated.  Candidates arrive by start, so one that ends before the next start
+    has met all it can meet: it can be settled at once, for all stations and
+    hours held, by sliding maxima.  Only what still waits for a better,
+    unfinished neighbour is held on, so a task holds about ``hold`` candidates
+    and a few storms more, however long a station's history is.
     """
     keys = list(keys)
     ordered = Window.partitionBy(*keys).orderBy("_from", "_to")
-    last_end = F.max("_to").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
-    apart = F.col("_from") > F.col("_last") if closed else F.col("_from") >= F.col("_last")
     marked = (
         candidates.withColumns({"_from": hour_number("start_time"), "_to": hour_number("end_time")})
-        .withColumn("_last", last_end)
-        .withColumn("_opens", F.coalesce(apart, F.lit(True)))
-        .drop("_last")
+        .withColumn("_next", F.lead("_from").over(ordered))
         .sortWithinPartitions(*keys, "_from", "_to")
     )
-    kept = marked.mapInArrow(_first_free(tuple(rank), closed), marked.schema)
+    kept = marked.mapInArrow(_settled(tuple(rank), closed, hold), marked.schema)
     return kept.select(*candidates.columns)
 
 
-def _first_free(rank: tuple[tuple[str, bool], ...], closed: bool):
-    """Chooser over a partition's islands: mark hours as taken in rank order.
+def _settled(rank: tuple[tuple[str, bool], ...], closed: bool, hold: int, rounds: int = ROUNDS):
+    """Chooser over a stream ordered by key and start; ``_next`` is the key's next start.
 
     A nested function travels to the workers by value, so they need no copy of
     this package.
@@ -129,46 +134,102 @@ def _first_free(rank: tuple[tuple[str, bool], ...], closed: bool):
         import numpy as np
         import pyarrow as pa
 
-        def walk(islands):
-            start = islands.column("_from").to_numpy()
-            stop = islands.column("_to").to_numpy() + (1 if closed else 0)
-            # Lay the islands end to end on one axis of hours.
-            first_row = np.flatnonzero(islands.column("_opens").to_numpy())
-            first_hour = start[first_row]
-            length = np.maximum.reduceat(stop, first_row) - first_hour
-            begin = np.concatenate(([0], np.cumsum(length)))
-            rows = np.diff(np.append(first_row, len(start)))
-            shift = np.repeat(begin[:-1] - first_hour, rows)
-            start, stop = start + shift, stop + shift
-            order = []
+        def best_in_all(first, last, worth, size):
+            """Whether each interval (cells first to last - 1) has the highest worth of all its cells."""
+            level = np.frexp(last - first)[1] - 1
+            most = level.max(initial=0)
+            tables = [np.zeros(size, np.int64) for _ in range(most + 1)]
+            by_level = [np.flatnonzero(level == k) for k in range(most + 1)]
+            for k, own in enumerate(by_level):
+                np.maximum.at(tables[k], first[own], worth[own])
+                np.maximum.at(tables[k], last[own] - (1 << k), worth[own])
+            for k in range(most, 0, -1):  # an interval of 2^k cells is two of half the size
+                half = 1 << (k - 1)
+                np.maximum(tables[k - 1], tables[k], out=tables[k - 1])
+                np.maximum(tables[k - 1][half:], tables[k][:-half], out=tables[k - 1][half:])
+            highest = tables[0]
+            found = np.empty(len(first), np.int64)
+            for k, own in enumerate(by_level):
+                found[own] = np.maximum(highest[first[own]], highest[last[own] - (1 << k)])
+                if k < most:
+                    highest = np.maximum(highest[: -(1 << k)], highest[1 << k :])
+            return found == worth
+
+        def settle(rows, held, more):
+            """Row numbers kept, and of the last key those that still wait."""
+            start = rows.column("_from").to_numpy()
+            stop = rows.column("_to").to_numpy() + (1 if closed else 0)
+            opens = np.zeros(len(start), bool)
+            opens[1:] = rows.column("_next").is_null().to_numpy()[:-1]
+            opens[: held + 1] = False  # what was held belongs to the key that goes on
+            key = np.cumsum(opens)
+            frontier = rows.column("_next")[-1].as_py() if more else None
+            waits = (key == key[-1]) & (stop > frontier) if more else np.zeros(len(start), bool)
+            # All keys on one axis of cells between the ends that occur.
+            low = min(start.min(), stop.min())
+            axis = key * (max(start.max(), stop.max()) - low + 1) - low
+            points = np.unique(np.concatenate([start + axis, stop + axis]))
+            first, last = np.searchsorted(points, start + axis), np.searchsorted(points, stop + axis)
+            columns = []
             for name, descending in reversed(rank):
-                column = islands.column(name)
+                column = rows.column(name)
                 if pa.types.is_timestamp(column.type):
                     column = column.cast(pa.int64())
                 values = column.to_numpy()
-                order.append(-values if descending else values)
-            taken = np.zeros(begin[-1], dtype=bool)
-            keep = np.zeros(len(start), dtype=bool)
-            for i in np.lexsort(order):
-                hours = taken[start[i] : stop[i]]
-                if not hours.any():
-                    hours[:] = True
-                    keep[i] = True
-            return islands.filter(pa.array(keep)).to_batches()
-
-        waiting = []
+                columns.append(-values if descending else values)
+            order = np.lexsort(columns)
+            worth = np.empty(len(start), np.int64)
+            worth[order] = np.arange(len(start), 0, -1)
+            keep = last <= first
+            alive = np.flatnonzero(~keep)
+            size = len(points)
+            for _ in range(rounds):
+                if not len(alive):
+                    break
+                a, b = first[alive], last[alive]
+                wins = best_in_all(a, b, worth[alive], size) & ~waits[alive]
+                if not wins.any():
+                    break
+                keep[alive[wins]] = True
+                edges = np.zeros(size + 1, np.int64)
+                edges[a[wins]] += 1
+                edges[b[wins]] -= 1
+                taken = np.concatenate([[0], np.cumsum(np.cumsum(edges[:-1]))])
+                alive = alive[taken[b] == taken[a]]
+            else:  # a long chain: walk it, the unsettled marking what they may take
+                taken, open_ = np.zeros(size, bool), np.zeros(size, bool)
+                left = []
+                for i in alive[np.argsort(-worth[alive])]:
+                    cells = slice(first[i], last[i])
+                    if taken[cells].any():
+                        continue
+                    if waits[i] or open_[cells].any():
+                        open_[cells] = True
+                        left.append(i)
+                    else:
+                        taken[cells] = keep[i] = True
+                alive = np.sort(np.array(left, np.int64))
+            return np.flatnonzero(keep), alive
+
+        waiting, held, gathered = [], 0, 0
+
+        def flush(more):
+            nonlocal waiting, held, gathered
+            rows = pa.Table.from_batches(waiting)
+            kept, left = settle(rows, held, more)
+            waiting = rows.take(left).to_batches() if len(left) else []
+            held, gathered = len(left), 0
+            return rows.take(kept).to_batches()
+
         for batch in batches:
-            opens = np.flatnonzero(batch.column("_opens").to_numpy(zero_copy_only=False))
-            if len(opens) == 0:
-                waiting.append(batch)
+            if not batch.num_rows:
                 continue
-            waiting.append(batch.slice(0, opens[-1]))
-            done = pa.Table.from_batches(waiting)
-            if done.num_rows:
-                yield from walk(done)
-            waiting = [batch.slice(opens[-1])]
-        if waiting:
-            yield from walk(pa.Table.from_batches(waiting))
+            waiting.append(batch)
+            gathered += batch.num_rows
+            if gathered >= max(hold, held):
+                yield from flush(batch.column("_next")[-1].is_valid)
+        if gathered or held:
+            yield from flush(False)
 
     return choose
 

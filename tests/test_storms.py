@@ -25,8 +25,9 @@ def brute_choice(rows, key, closed):
     return kept
 
 
+@pytest.mark.parametrize("hold", [1, 30, 20_000])
 @pytest.mark.parametrize("closed", [True, False])
-def test_choice_equals_a_plain_walk(spark, closed):
+def test_choice_equals_a_plain_walk(spark, closed, hold):
     rng = np.random.default_rng(11)
     rows = []
     for station in ("a", "b", "c"):
@@ -39,7 +40,7 @@ def test_choice_equals_a_plain_walk(spark, closed):
             rows.append((station, int(rng.choice([1, 2, 5])), d, START + timedelta(hours=e - d), START + timedelta(hours=e), round(float(rng.random()), 2)))
     df = spark.createDataFrame(rows, "station string, n int, duration_hrs int, start_time timestamp_ntz, end_time timestamp_ntz, inches double")
     rank = [("n", True), ("duration_hrs", True), ("inches", True), ("end_time", False)]
-    got = storms.choose_without_overlap(df, ["station"], rank, closed=closed).collect()
+    got = storms.choose_without_overlap(df, ["station"], rank, closed=closed, hold=hold).collect()
     want = brute_choice(
         [r.asDict() for r in df.collect()],
         lambda r: (-r["n"], -r["duration_hrs"], -r["inches"], r["end_time"]),
@@ -48,6 +49,70 @@ def test_choice_equals_a_plain_walk(spark, closed):
     assert sorted(tuple(r) for r in got) == sorted(tuple(r.values()) for r in want)
 
 
+def candidate_batches(rng, hours, per_batch, longest, chained=False):
+    """One station's candidates by start, as the chooser gets them, and as plain tuples."""
+    import pyarrow as pa
+
+    made = []
+    for at in range(hours):
+        for _ in range(int(rng.integers(0, 3)) if not chained else 1):
+            size = int(rng.integers(0, longest)) if not chained else 2
+            made.append((at, at + size, hours - at if chained else int(rng.integers(0, 50))))
+    made.sort()
+    starts = [m[0] for m in made]
+    table = pa.table({
+        "_from": pa.array(starts, pa.int64()), "_to": pa.array([m[1] for m in made], pa.int64()),
+        "_next": pa.array([*starts[1:], None], pa.int64()), "inches": pa.array([m[2] for m in made], pa.int64()),
+    })
+    return made, table.to_batches(max_chunksize=per_batch)
+
+
+def plain_kept(made, closed):
+    kept = []
+    for s, e, x in sorted(made, key=lambda m: (-m[2], m[0], m[1])):
+        reach = e + 1 if closed else e
+        if s < reach and all(reach <= a or b <= s for a, b in kept):
+            kept.append((s, reach))
+    return sorted((s, r - 1 if closed else r) for s, r in kept)
+
+
+@pytest.mark.parametrize("closed", [True, False])
+@pytest.mark.parametrize("rounds", [0, 1, 40])
+@pytest.mark.parametrize("seed", range(3))
+def test_settling_a_stream_equals_a_plain_walk(closed, rounds, seed):
+    rng = np.random.default_rng(seed)
+    rank = (("inches", True), ("_from", False), ("_to", False))
+    made, batches = candidate_batches(rng, 400, 16, [3, 12, 60][seed])
+    choose = storms._settled(rank, closed, 20, rounds)
+    got = sorted((f, t) for b in choose(iter(batches)) for f, t in zip(b["_from"].to_pylist(), b["_to"].to_pylist()))
+    want = plain_kept(made, closed)
+    if not closed:  # spans of no hour take nothing and all stay
+        assert sum(s == e for s, e in got) == sum(s == e for s, e, _ in made)
+        got = [x for x in got if x[0] < x[1]]
+    assert got == want
+
+
+def test_long_chains_and_bounded_holding():
+    """Ranks that fall along a chain settle one by one; a long history is given out as it comes."""
+    rng = np.random.default_rng(1)
+    rank = (("inches", True), ("_from", False))
+    made, batches = candidate_batches(rng, 3000, 64, 0, chained=True)
+    got = sorted(f for b in storms._settled(rank, True, 100)(iter(batches)) for f in b["_from"].to_pylist())
+    assert got == [s for s, _ in plain_kept(made, True)]
+
+    made, batches = candidate_batches(rng, 20_000, 64, 12)
+    read = 0
+
+    def reading():
+        nonlocal read
+        for batch in batches:
+            read += batch.num_rows
+            yield batch
+
+    behind = [made[read - 1][0] - b["_from"].to_pylist()[-1] for b in storms._settled(rank, True, 500)(reading())]
+    assert len(behind) > 20 and max(behind) < 1500  # of 20,000 hours
+
+
 def test_islands_longer_than_an_arrow_batch(spark):
     rows = [("a", 1, 6, START + timedelta(hours=h - 6), START + timedelta(hours=h), float(h % 17)) for h in range(300)]
     df = spark.createDataFrame(rows, "station string, n int, duration_hrs int, start_time timestamp_ntz, end_time timestamp_ntz, inches double")
