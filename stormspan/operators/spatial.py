@@ -3,14 +3,15 @@
 A sweep table has one row per ray: site_lat, site_lon, azimuth (degrees),
 first_gate and gate_width (km), gates array<double> (dBZ, 0 or NaN = missing).
 A polygon table has one row per polygon: zone, pos (its place in the list) and
-ring array<struct<x, y>> (x = lon, y = lat; closed or not).
+either ring array<struct<x, y>> (x = lon, y = lat; closed or not) or parts, an
+array of polygons of which each is an array of rings, the outer one and holes.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.radar import (
@@ -63,53 +64,81 @@ def gates_to_points(
     return points.filter(box.holds("lat", "lon")) if box else points
 
 
-def with_edges(polygons: DataFrame, ring: str = "ring") -> DataFrame:
-    """Add ``edges`` (closed ring as point pairs) and the ring's bounding box."""
-    points = F.col(ring)
-    count = F.size(points)
+#: Fine cells along a side of a coarse one, and the share of a cell by which edges are widened.
+FINER, MARGIN = 8, 1e-6
+
+
+def edges(polygons: DataFrame) -> DataFrame:
+    """One row per edge of any ring of any part: pos, zone, x1, y1, x2, y2."""
+    rings = F.flatten("parts") if "parts" in polygons.columns else F.array("ring")
+    points = F.col("_ring")
     follower = F.transform(
-        F.sequence(F.lit(0), count - 1),
-        lambda i: F.struct(
-            F.get(points, i).getField("x").alias("x1"),
-            F.get(points, i).getField("y").alias("y1"),
-            F.get(points, F.pmod(i + 1, count)).getField("x").alias("x2"),
-            F.get(points, F.pmod(i + 1, count)).getField("y").alias("y2"),
+        points,
+        lambda p, i: F.struct(
+            p.getField("x").cast("double").alias("x1"),
+            p.getField("y").cast("double").alias("y1"),
+            F.get(points, F.pmod(i + 1, F.size(points))).getField("x").cast("double").alias("x2"),
+            F.get(points, F.pmod(i + 1, F.size(points))).getField("y").cast("double").alias("y2"),
         ),
     )
-    xs = F.transform(points, lambda p: p.getField("x"))
-    ys = F.transform(points, lambda p: p.getField("y"))
-    return polygons.withColumns({
-        "edges": follower,
-        "min_x": F.array_min(xs), "max_x": F.array_max(xs),
-        "min_y": F.array_min(ys), "max_y": F.array_max(ys),
-    })
+    return polygons.select("pos", "zone", F.explode(rings).alias("_ring")).select("pos", "zone", F.inline(follower))
 
 
-def inside(edges: Column, x: Column, y: Column) -> Column:
-    """Ray casting: an odd number of edges lies to the right of the point.
+def crosses(x: Column, y: Column, of: Callable[[str], Column] = F.col) -> Column:
+    """Whether an edge (``of`` gives its x1, y1, x2, y2) lies to the right of the point.
 
-    Upper and right borders count as inside, lower and left ones as outside.
+    A point with an odd number of such edges is inside.  Upper and right borders
+    count as inside, lower and left ones as outside.  Holes and further parts
+    need nothing else: their edges are counted with the others.
     """
-
-    def crosses(edge: Column) -> Column:
-        x1, y1, x2, y2 = (edge.getField(c) for c in ("x1", "y1", "x2", "y2"))
-        at = F.try_divide((y - y1) * (x2 - x1), y2 - y1) + x1
-        in_band = (y > F.least(y1, y2)) & (y <= F.greatest(y1, y2))
-        return in_band & (x <= F.greatest(x1, x2)) & ((x1 == x2) | F.coalesce(x <= at, F.lit(False)))
-
-    return F.aggregate(edges, F.lit(False), lambda odd, edge: odd != crosses(edge))
+    x1, y1, x2, y2 = (of(c) for c in ("x1", "y1", "x2", "y2"))
+    at = F.try_divide((y - y1) * (x2 - x1), y2 - y1) + x1
+    in_band = (y > F.least(y1, y2)) & (y <= F.greatest(y1, y2))
+    return in_band & (x <= F.greatest(x1, x2)) & ((x1 == x2) | F.coalesce(x <= at, F.lit(False)))
 
 
 def _cell(value: Column, size: float) -> Column:
     return F.floor(value / F.lit(size)).cast("bigint")
 
 
-def _polygon_cells(polygons: DataFrame, size: float) -> DataFrame:
-    """One row per polygon and grid cell its bounding box touches."""
-    shaped = with_edges(polygons)
-    columns = F.sequence(_cell(F.col("min_x"), size), _cell(F.col("max_x"), size))
-    lines = F.sequence(_cell(F.col("min_y"), size), _cell(F.col("max_y"), size))
-    return shaped.withColumn("cell_x", F.explode(columns)).withColumn("cell_y", F.explode(lines))
+def edge_bands(sides: DataFrame, size: float) -> DataFrame:
+    """Each edge in every line of cells that it touches (``cell_y``)."""
+    slack = F.lit(size * MARGIN)
+    low, high = F.least("y1", "y2") - slack, F.greatest("y1", "y2") + slack
+    return sides.withColumn("cell_y", F.explode(F.sequence(_cell(low, size), _cell(high, size))))
+
+
+def covering(bands: DataFrame, size: float) -> DataFrame:
+    """(pos, zone, cell_x, cell_y, sure) of the cells that a polygon's edges touch
+    (not sure) and of cells wholly inside it (sure); of equal cells, not sure holds.
+
+    An edge touches the cells along its stretch within a line of cells.  Any other
+    cell is inside or outside as a whole, as its middle is: the crossings of a
+    line's middle, in order, open and close the polygon in turn.
+    """
+    slack = F.lit(size * MARGIN)
+    low, high = F.col("cell_y") * F.lit(size) - slack, (F.col("cell_y") + 1) * F.lit(size) + slack
+
+    def on_edge(y: Column) -> Column:
+        share = F.try_divide(y - F.col("y1"), F.col("y2") - F.col("y1"))
+        at = F.col("x1") + share * (F.col("x2") - F.col("x1"))
+        return F.least(F.greatest(at, F.least("x1", "x2")), F.greatest("x1", "x2"))
+
+    level = F.col("y1") == F.col("y2")
+    ends = [F.when(level, F.col(corner)).otherwise(on_edge(y)) for corner, y in (("x1", low), ("x2", high))]
+    along = F.sequence(_cell(F.least(*ends) - slack, size), _cell(F.greatest(*ends) + slack, size))
+    touched = bands.select("pos", "zone", F.explode(along).alias("cell_x"), "cell_y", F.lit(False).alias("sure"))
+    middle = (F.col("cell_y") + 0.5) * F.lit(size)
+    crossed = bands.filter((middle > F.least("y1", "y2")) & (middle <= F.greatest("y1", "y2"))).withColumn("_x", on_edge(middle))
+    line = Window.partitionBy("pos", "zone", "cell_y").orderBy("_x")
+    spans = crossed.withColumns({"_n": F.row_number().over(line), "_until": F.lead("_x").over(line)}).filter("_n % 2 = 1")
+    between = F.sequence(_cell(F.col("_x"), size), _cell(F.col("_until"), size))
+    inner = spans.select("pos", "zone", F.explode(between).alias("cell_x"), "cell_y", F.lit(True).alias("sure"))
+    return touched.unionByName(inner)
+
+
+def _odd(sides: Column, x: Column, y: Column) -> Column:
+    return F.size(F.filter(sides, lambda e: crosses(x, y, e.getField))) % 2 == 1
 
 
 def points_in_polygons(
@@ -117,19 +146,16 @@ def points_in_polygons(
 ) -> DataFrame:
     """Every (point, polygon) hit: the point's columns and ``zone``.
 
-    Equi-join on grid cells, then bounding box, then ray casting.  ``cell`` should
-    be about the size of a polygon.  There is no broadcast hint: adaptive
-    execution broadcasts the polygon side when its measured size allows, and a
-    sort-merge join with skew splitting takes over when it does not.
+    Holes are outside, all parts of a polygon count.  Equi-joins on grid cells
+    tell most hits at once: a cell wholly inside a polygon, coarse or fine, needs
+    no ray.  Only a point in a fine cell on a border meets edges, those of the
+    polygon's line of fine cells, and counts their crossings; no row carries a
+    polygon.  ``cell`` should be about the size of a polygon.  Points are not
+    shuffled where the covering is small: there is no broadcast hint, adaptive
+    execution broadcasts it when its measured size allows, and a sort-merge join
+    with skew splitting takes over when it does not.
     """
-    sides = _polygon_cells(polygons, cell).select(
-        "zone", "edges", "min_x", "max_x", "min_y", "max_y", "cell_x", "cell_y"
-    )
-    placed = points.withColumns({"cell_x": _cell(F.col(x), cell), "cell_y": _cell(F.col(y), cell)})
-    near = placed.join(sides, ["cell_x", "cell_y"]).filter(
-        F.col(x).between(F.col("min_x"), F.col("max_x")) & F.col(y).between(F.col("min_y"), F.col("max_y"))
-    )
-    return near.filter(inside(F.col("edges"), F.col(x), F.col(y))).select(*points.columns, "zone")
+    return _hits(points, polygons, x, y, cell).select("_point.*", "zone")
 
 
 def first_polygon(
@@ -137,29 +163,62 @@ def first_polygon(
 ) -> DataFrame:
     """Each point with the first polygon (by ``pos``) that holds it; others drop out.
 
-    The polygons of a cell ride along as one ordered array, so a point meets one
-    row, keeps one row, and is not shuffled again to settle the first match.
+    As :func:`points_in_polygons`; a minimum over the hits of a point, combined
+    before it is shuffled, settles which is first.  Points are told apart by their
+    place, so they must come in a repeatable order, as from files.
     """
-    shape = F.struct("pos", "zone", "edges", "min_x", "max_x", "min_y", "max_y")
+    numbered = points.select(F.struct(*points.columns).alias("_given"), x, y).withColumn("_id", F.monotonically_increasing_id())
+    hits = _hits(numbered, polygons, x, y, cell)
+    firsts = hits.groupBy("_point._id").agg(
+        F.min(F.struct("pos", "zone")).alias("_first"), F.first("_point._given").alias("_given")
+    )
+    return firsts.select("_given.*", F.col("_first.zone").alias("zone"))
+
+
+def _hits(points: DataFrame, polygons: DataFrame, x: str, y: str, cell: float) -> DataFrame:
+    """(_point, pos, zone) of every hit."""
+    fine = cell / FINER
+    polygon, block = ["pos", "zone"], ["pos", "zone", "cell_x", "cell_y"]
+    # One exchange serves a line's edges and its crossings, another the cells and their blocks.
+    lines = edge_bands(edges(polygons), fine).repartition(*polygon, "cell_y")
     cells = (
-        _polygon_cells(polygons, cell)
-        .groupBy("cell_x", "cell_y")
-        .agg(F.sort_array(F.collect_list(F.struct("pos", shape.alias("shape")))).alias("shapes"))
+        covering(lines, fine)
+        .withColumnsRenamed({"cell_x": "_fx", "cell_y": "_fy"})
+        .withColumns({"cell_x": F.floor(F.col("_fx") / FINER), "cell_y": F.floor(F.col("_fy") / FINER)})
+        .repartition(*block)
+        .groupBy(*block, "_fx", "_fy")
+        .agg(F.min("sure").alias("_sure"))
     )
-    placed = points.withColumns({"cell_x": _cell(F.col(x), cell), "cell_y": _cell(F.col(y), cell)})
-
-    def holds(entry: Column) -> Column:
-        s = entry.getField("shape")
-        boxed = F.col(x).between(s.getField("min_x"), s.getField("max_x")) & F.col(y).between(
-            s.getField("min_y"), s.getField("max_y")
-        )
-        return boxed & inside(s.getField("edges"), F.col(x), F.col(y))
-
-    hits = F.filter("shapes", holds)
-    found = placed.join(cells, ["cell_x", "cell_y"]).withColumn("_hit", F.get(hits, F.lit(0)))
-    return found.filter(F.col("_hit").isNotNull()).select(
-        *points.columns, F.col("_hit.shape.zone").alias("zone")
+    all_sure = F.sum(F.col("_sure").cast("int")).over(Window.partitionBy(*block)) == FINER * FINER
+    cells = cells.withColumn("_whole", all_sure)
+    coarse = cells.select(*polygon, "cell_x", "cell_y", "_whole").distinct()
+    finer = cells.filter(~F.col("_whole")).select(*polygon, "_fx", "_fy", "_sure")
+    bands = lines.groupBy(*polygon, "cell_y").agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("_sides"))
+    bands = bands.withColumnRenamed("cell_y", "_fy")
+    placed = points.select(
+        F.struct(*points.columns).alias("_point"),
+        F.col(x).cast("double").alias("_x"),
+        F.col(y).cast("double").alias("_y"),
+        _cell(F.col(x), fine).alias("_fx"),
+        _cell(F.col(y), fine).alias("_fy"),
+    ).withColumns({"cell_x": F.floor(F.col("_fx") / FINER), "cell_y": F.floor(F.col("_fy") / FINER)})
+
+    def on(right: DataFrame, names: list[str], open_: Column) -> tuple[DataFrame, Column]:
+        """Other names for the keys of ``right``, and the condition; settled rows need no match."""
+        right = right.withColumnsRenamed({n: f"_of_{n}" for n in names})
+        met = open_
+        for n in names:
+            met = met & F.col(n).eqNullSafe(F.col(f"_of_{n}"))
+        return right, met
+
+    near = placed.join(coarse, ["cell_x", "cell_y"])
+    right, met = on(finer, [*polygon, "_fx", "_fy"], ~F.col("_whole"))
+    near = near.join(right, met, "left").filter("_whole OR _sure IS NOT NULL").select(
+        "_point", "_x", "_y", "_fy", *polygon, (F.col("_whole") | F.col("_sure")).alias("_settled")
     )
+    right, met = on(bands, [*polygon, "_fy"], ~F.col("_settled"))
+    near = near.join(right, met, "left")
+    return near.filter(F.col("_settled") | _odd(F.col("_sides"), F.col("_x"), F.col("_y"))).select("_point", *polygon)
 
 
 def zone_means(

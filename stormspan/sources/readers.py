@@ -111,44 +111,56 @@ def time_from_name(path: Column | str) -> Column:
     return wall_clock(F.regexp_replace(text, shape, "$1-$2-$3 $4:$5:$6"))
 
 
-def _features(spark: SparkSession, path: str, properties: str, geometry: str) -> DataFrame:
-    schema = (
-        f"features array<struct<properties: struct<{properties}>, "
-        f"geometry: struct<type: string, coordinates: {geometry}>>>"
-    )
-    return (
-        spark.read.schema(schema).option("multiLine", True).json(path).select(F.explode("features").alias("f"))
-    )
+def _features(spark: SparkSession, path: str, properties: str, lines: bool) -> DataFrame:
+    """(pos, f) per GeoJSON feature, coordinates as JSON text.
 
+    ``lines``: one feature per line, as ``write_features`` writes; a file is read
+    by several tasks.  Otherwise a file is one document with a list of features.
+    """
+    geometry = "struct<type: string, coordinates: string>"
+    if lines:
+        found = spark.read.schema(f"properties struct<{properties}>, geometry {geometry}").json(path)
+        return found.select(F.monotonically_increasing_id().alias("pos"), F.struct("properties", "geometry").alias("f"))
+    one = f"struct<properties: struct<{properties}>, geometry: {geometry}>"
+    found = spark.read.schema(f"features array<{one}>").option("multiLine", True).json(path)
+    return found.select(F.posexplode("features").alias("pos", "f"))
 
-def read_feature_properties(spark: SparkSession, path: str, properties: str) -> DataFrame:
+
+def read_feature_properties(spark: SparkSession, path: str, properties: str, *, lines: bool = False) -> DataFrame:
     """Properties of every GeoJSON feature; ``properties`` is DDL such as 'id: string'."""
-    return _features(spark, path, properties, "string").select("f.properties.*")
+    return _features(spark, path, properties, lines).select("f.properties.*")
 
 
-def read_feature_points(spark: SparkSession, path: str, properties: str) -> DataFrame:
+def read_feature_points(spark: SparkSession, path: str, properties: str, *, lines: bool = False) -> DataFrame:
     """Properties plus ``lat`` and ``lon`` of every GeoJSON point feature."""
-    return _features(spark, path, properties, "array<double>").select(
-        "f.properties.*",
-        F.get("f.geometry.coordinates", F.lit(1)).alias("lat"),
-        F.get("f.geometry.coordinates", F.lit(0)).alias("lon"),
+    place = F.from_json("f.geometry.coordinates", "array<double>")
+    return _features(spark, path, properties, lines).select(
+        "f.properties.*", F.get(place, F.lit(1)).alias("lat"), F.get(place, F.lit(0)).alias("lon")
     )
 
 
-def read_polygons(spark: SparkSession, path: str, id_field: str = "id") -> DataFrame:
-    """(zone, pos, ring) per GeoJSON polygon, outer ring only, in file order."""
-    schema = (
-        f"features array<struct<properties: struct<`{id_field}`: string>, "
-        "geometry: struct<coordinates: array<array<array<double>>>>>>"
-    )
-    listed = spark.read.schema(schema).option("multiLine", True).json(path).select(
-        F.posexplode("features").alias("pos", "f")
-    )
-    ring = F.transform(
-        F.get("f.geometry.coordinates", F.lit(0)),
-        lambda p: F.struct(F.get(p, F.lit(0)).alias("x"), F.get(p, F.lit(1)).alias("y")),
-    )
-    return listed.select(F.col("f.properties")[id_field].alias("zone"), "pos", ring.alias("ring"))
+def polygon_parts(kind: Column, coordinates: Column) -> Column:
+    """Parts, each a list of rings, of a Polygon's or MultiPolygon's coordinates in JSON text.
+
+    No geometry gives null; another kind of geometry is an error.
+    """
+    ring = "array<array<double>>"
+    one = F.array(F.from_json(coordinates, f"array<{ring}>"))
+    many = F.from_json(coordinates, f"array<array<{ring}>>")
+    other = F.raise_error(F.concat(F.lit("not a polygon: "), kind)).cast(f"array<array<{ring}>>")
+    listed = F.when(kind == "Polygon", one).when(kind == "MultiPolygon", many).when(kind.isNotNull(), other)
+
+    def point(p: Column) -> Column:
+        return F.struct(F.get(p, F.lit(0)).alias("x"), F.get(p, F.lit(1)).alias("y"))
+
+    return F.transform(listed, lambda part: F.transform(part, lambda r: F.transform(r, point)))
+
+
+def read_polygons(spark: SparkSession, path: str, id_field: str = "id", *, lines: bool = False) -> DataFrame:
+    """(zone, pos, parts) per GeoJSON polygon or multi-polygon, holes included, in file order."""
+    listed = _features(spark, path, f"`{id_field}`: string", lines)
+    parts = polygon_parts(F.col("f.geometry.type"), F.col("f.geometry.coordinates"))
+    return listed.select(F.col("f.properties")[id_field].alias("zone"), "pos", parts.alias("parts"))
 
 
 def read_text_whole(spark: SparkSession, path: str) -> DataFrame:

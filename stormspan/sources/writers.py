@@ -48,6 +48,13 @@ def polygon_geometry(ring: str = "ring") -> Column:
     return F.struct(F.lit("Polygon").alias("type"), F.array(corners).alias("coordinates"))
 
 
+def parts_geometry(parts: str = "parts") -> Column:
+    """Every part with all its rings."""
+    corner = lambda p: F.array(p.getField("x"), p.getField("y"))
+    rings = F.transform(parts, lambda part: F.transform(part, lambda ring: F.transform(ring, corner)))
+    return F.struct(F.lit("MultiPolygon").alias("type"), rings.alias("coordinates"))
+
+
 def write_features(df: DataFrame, geometry: Column, properties: Sequence[str], path: str, *, mode: str = "errorifexists") -> None:
     """Line-delimited GeoJSON: one feature per line, written in parallel.
 

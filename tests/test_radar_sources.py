@@ -167,7 +167,8 @@ def test_geojson(spark, tmp_path):
     ring = [[0, 0], [1, 0], [1, 1], [0, 0]]
     shape.write_text(json.dumps({"features": [{"properties": {"id": "z1"}, "geometry": {"type": "Polygon", "coordinates": [ring]}}]}, indent=1))
     zones = readers.read_polygons(spark, str(shape))
-    assert [(r.zone, r.pos, [[p.x, p.y] for p in r.ring]) for r in zones.collect()] == [("z1", 0, ring)]
+    assert [(r.zone, r.pos, [[p.x, p.y] for p in r.parts[0][0]]) for r in zones.collect()] == [("z1", 0, ring)]
+    zones = zones.select("zone", "pos", F.col("parts")[0][0].alias("ring"))
     out = tmp_path / "out"
     writers.write_features(zones.withColumn("precip", F.lit(25.4) / 25.4), writers.polygon_geometry(), ["zone", "precip"], str(out))
     lines = [json.loads(x) for f in out.glob("part-*") for x in f.read_text().splitlines()]
@@ -187,3 +188,84 @@ def test_html_table_and_file_names(spark, tmp_path):
     assert [(r.block, r.a, r.e) for r in blocks.collect()] == [(0, "1", "5"), (1, "6", None)]
     named = spark.createDataFrame([("s3/KLOT20150801_000411_V06.gz",), ("none",)], "p string")
     assert [r[0] for r in named.select(readers.time_from_name("p")).collect()] == [datetime(2015, 8, 1, 0, 4, 11), None]
+
+
+#: Two parts, the first with a hole that holds an island, and a shape with a slit.
+PARTED = {
+    "two": [[[(0, 0), (6, 0), (6, 6), (0, 6)], [(1, 1), (5, 1), (5, 5), (1, 5)], [(2, 2), (4, 2), (4, 4), (2, 4)]], [[(8, 1), (9.5, 2), (8.5, 4)]]],
+    "slit": [[[(3, -3), (10, -3), (10, 3), (6.5, 3), (6.4, -2), (6.3, 3), (3, 3)]]],
+}
+
+
+def parted(spark):
+    rows = [
+        (zone, pos, [[[{"x": float(x), "y": float(y)} for x, y in ring] for ring in part] for part in parts])
+        for pos, (zone, parts) in enumerate(PARTED.items())
+    ]
+    rows.append(("nothing", 9, []))
+    return spark.createDataFrame(rows, "zone string, pos int, parts array<array<array<struct<x: double, y: double>>>>")
+
+
+@pytest.mark.parametrize("cell", [0.3, 2.0, 40.0])
+def test_parts_and_holes_against_brute_force(spark, cell):
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    points = [(float(x), float(y)) for x, y in np.concatenate([rng.uniform(-1, 11, (400, 2)), rng.integers(-4, 12, (200, 2)), rng.integers(-8, 24, (200, 2)) / 2])]
+    points += points[:20]  # equal points stay apart
+    df = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(points)] + [(-1, None, 1.0)], "id int, lon double, lat double")
+
+    def holds(parts, x, y):
+        return sum(ray_cast(x, y, ring) for part in parts for ring in part) % 2 == 1
+
+    want = sorted((i, zone) for i, (x, y) in enumerate(points) for zone, parts in PARTED.items() if holds(parts, x, y))
+    shapes = parted(spark)
+    got = spatial.points_in_polygons(df, shapes, cell=cell)
+    assert got.columns == ["id", "lon", "lat", "zone"]
+    assert sorted((r.id, r.zone) for r in got.collect()) == want
+    firsts = {}
+    for i, zone in want:
+        firsts[i] = min(firsts.get(i, zone), zone, key=list(PARTED).index)
+    assert {r.id: r.zone for r in spatial.first_polygon(df, shapes, cell=cell).collect()} == firsts
+
+
+def test_cells_wholly_inside_need_no_ray(spark):
+    sides = spatial.edges(parted(spark).filter("zone = 'two'"))
+    cells = spatial.covering(spatial.edge_bands(sides, 0.5), 0.5).collect()
+    touched = {(r.cell_x, r.cell_y) for r in cells if not r.sure}
+    sure = {(r.cell_x, r.cell_y) for r in cells if r.sure} - touched
+    for x, y in sure:  # all of its points are inside
+        for a in (0.01, 0.25, 0.49):
+            point = (x * 0.5 + a, y * 0.5 + a)
+            assert sum(ray_cast(*point, ring) for part in PARTED["two"] for ring in part) % 2 == 1
+    assert (5, 5) in sure and (2, 2) in touched and (13, 5) not in sure | touched
+
+
+def test_multi_polygons_are_read_written_and_read_by_lines(spark, tmp_path):
+    outer, hole = [[0, 0], [4, 0], [4, 4], [0, 4], [0, 0]], [[1, 1], [2, 1], [2, 2], [1, 1]]
+    far = [[9, 9], [10, 9], [10, 10], [9, 9]]
+    features = [
+        {"properties": {"id": "m"}, "geometry": {"type": "MultiPolygon", "coordinates": [[outer, hole], [far]]}},
+        {"properties": {"id": "p"}, "geometry": {"type": "Polygon", "coordinates": [outer, hole]}},
+        {"properties": {"id": "n"}, "geometry": None},
+    ]
+    whole = tmp_path / "whole.json"
+    whole.write_text(json.dumps({"features": features}, indent=1))
+    zones = readers.read_polygons(spark, str(whole))
+    plain = {r.zone: r.parts and [[[[p.x, p.y] for p in ring] for ring in part] for part in r.parts] for r in zones.collect()}
+    assert plain == {"m": [[outer, hole], [far]], "p": [[outer, hole]], "n": None}
+    points = spark.createDataFrame([(3.0, 3.0), (1.9, 1.2), (9.9, 9.5), (6.0, 6.0)], "lon double, lat double")
+    hits = spatial.points_in_polygons(points, zones).collect()
+    assert sorted((r.zone, r.lon) for r in hits) == [("m", 3.0), ("m", 9.9), ("p", 3.0)]
+    out = str(tmp_path / "lines")
+    writers.write_features(zones.filter("parts is not null").withColumnRenamed("zone", "id"), writers.parts_geometry(), ["id"], out)
+    again = readers.read_polygons(spark, out, lines=True)
+    assert {r.zone: r.parts for r in again.collect()} == {r.zone: r.parts for r in zones.collect() if r.parts}
+    dots = spark.createDataFrame([("a", 1.0, 2.0), ("b", None, 3.0)], "id string, lon double, lat double")
+    writers.write_features(dots, writers.point_geometry(), ["id"], str(tmp_path / "dots"))
+    back = readers.read_feature_points(spark, str(tmp_path / "dots"), "id: string", lines=True)
+    assert {r.id: (r.lon, r.lat) for r in back.collect()} == {"a": (1.0, 2.0), "b": (None, 3.0)}
+    odd = tmp_path / "odd.json"
+    odd.write_text(json.dumps({"features": [{"properties": {"id": "x"}, "geometry": {"type": "LineString", "coordinates": far}}]}))
+    with pytest.raises(Exception, match="not a polygon: LineString"):
+        readers.read_polygons(spark, str(odd)).collect()
