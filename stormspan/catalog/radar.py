@@ -6,6 +6,8 @@ azimuth and ``label`` the sweep.  The zones are a fixed handful of polygons.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from ..functions.radar import (
@@ -21,6 +23,7 @@ from ..functions.radar import (
     scan_inches,
 )
 from ..operators import spatial
+from ..sources.readers import polygon_parts
 from .registry import query, table
 
 SITE_LAT, SITE_LON = 41.60444, -88.08472
@@ -135,10 +138,10 @@ def plane_positions(spark, folder):
     return gates.select("vec_id", "gate", F.round(x, 6).alias("x"), F.round(y, 6).alias("y"))
 
 
-def _edges_sql() -> str:
+def _edges_sql(listed=tuple((name, [ring]) for name, ring in ZONES)) -> str:
     rows = []
-    for pos, (name, ring) in enumerate(ZONES):
-        for (x1, y1), (x2, y2) in zip(ring, ring[1:] + ring[:1]):
+    for pos, (name, rings) in enumerate(listed):
+        for (x1, y1), (x2, y2) in (side for ring in rings for side in zip(ring, ring[1:] + ring[:1])):
             rows.append(f"('{name}', {pos}, {x1}::DOUBLE, {y1}::DOUBLE, {x2}::DOUBLE, {y2}::DOUBLE)")
     return f"""edges(zone, pos, x1, y1, x2, y2) AS (VALUES {', '.join(rows)}),
 hits AS (SELECT vec_id, gate, label, ts, dbz, lat, lon, zone, pos,
@@ -193,6 +196,36 @@ def first_zone_counts(spark, folder):
     return found.groupBy("zone").agg(F.count("*").alias("points"))
 
 
+# GeoJSON geometries: a square with a hole that holds a smaller square, and two triangles.
+GEOMETRIES = [
+    ("ringed", "MultiPolygon", [
+        [[[-87.94, 41.64], [-87.54, 41.64], [-87.54, 42.0], [-87.94, 42.0]], [[-87.85, 41.7], [-87.62, 41.7], [-87.62, 41.9], [-87.85, 41.9]]],
+        [[[-87.76, 41.74], [-87.7, 41.74], [-87.7, 41.82], [-87.76, 41.82]]],
+    ]),
+    ("twofold", "MultiPolygon", [[[[-87.9, 41.66], [-87.8, 41.8], [-87.9, 41.95]]], [[[-87.56, 41.66], [-87.7, 41.8], [-87.56, 41.95]]]]),
+    ("plain", "Polygon", [[[-87.8, 41.7], [-87.6, 41.75], [-87.7, 41.95], [-87.8, 41.7]]]),
+]
+_GEOMETRY_RINGS = tuple(
+    (name, [[tuple(p) for p in ring] for part in (shape if kind == "MultiPolygon" else [shape]) for ring in part])
+    for name, kind, shape in GEOMETRIES
+)
+
+
+@query(f"""{_POINTS}, {_edges_sql(_GEOMETRY_RINGS)}
+SELECT zone, label, count(*) AS points, round(avg(precip), 9) AS precip FROM hits GROUP BY 1, 2""")
+def parted_zone_means(spark, folder):
+    """Points and mean rain per scan in zones of several parts and with holes, given as GeoJSON text."""
+    given = F.array(*[
+        F.struct(F.lit(name).alias("zone"), F.lit(pos).alias("pos"), F.lit(kind).alias("kind"), F.lit(json.dumps(shape)).alias("shape"))
+        for pos, (name, kind, shape) in enumerate(GEOMETRIES)
+    ])
+    shapes = spark.range(1, numPartitions=1).select(F.inline(given))
+    shapes = shapes.select("zone", "pos", polygon_parts(F.col("kind"), F.col("shape")).alias("parts"))
+    hits = spatial.points_in_polygons(_points(spark, folder), shapes, cell=0.1).withColumn("precip", scan_inches("dbz"))
+    means = hits.groupBy("zone", "label").agg(F.count("*").alias("points"), F.avg("precip").alias("precip"))
+    return means.select("zone", "label", "points", F.round("precip", 9).alias("precip"))
+
+
 _OTHERS = {"trial": TRIAL, "alternative": ALTERNATIVE, "storm": STORM}
 _OTHERS_SQL = "(VALUES ('trial', 300.0::DOUBLE, 0.85::DOUBLE), ('alternative', 250.0::DOUBLE, 10::DOUBLE / 12), ('storm', 300.0::DOUBLE, 10::DOUBLE / 14)) o(relation, c, p)"
 

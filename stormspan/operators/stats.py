@@ -8,80 +8,127 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PERCENTILE_BUCKETS = 4096
+#: Steps of the first look, rows per wrong place that it may be off, and ordered pieces per bracket.
+GRID, ACCURACY, PIECES = 1000, 10_000, 256
 
 
 def describe(df: DataFrame, column: str, probabilities: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
-    """One row: count, mean, sample deviation, min, percentiles, max; NaN counts as missing."""
-    quantiles = exact_percentiles(df, column, probabilities)
-    names = [f"p{round(p * 100)}" for p in probabilities]
-    # One scalar subquery carries all percentiles.
-    picked = quantiles.agg(
-        F.struct(*[
-            F.max(F.when(F.col("probability") == F.lit(p), F.col("value"))).alias(name)
-            for name, p in zip(names, probabilities)
-        ]).alias("picked")
-    ).scalar()
-    value = _known(column)
-    basics = df.agg(
+    """One row: count, mean, sample deviation, min, percentiles, max; NaN counts as missing.
+
+    The table is scanned twice: once for the plain figures and the percentiles'
+    brackets together, once to count within the brackets.
+    """
+    value = F.col("value")
+    known = _known_rows(df, column)
+    first = _first_look(
+        known,
+        probabilities,
         F.count(value).alias("count"),
         F.avg(value).alias("mean"),
         F.stddev_samp(value).alias("std"),
         F.min(value).alias("min"),
         F.max(value).alias("max"),
-    ).withColumn("_picked", picked)
-    return basics.select("count", "mean", "std", "min", *[F.col("_picked")[n].alias(n) for n in names], "max")
+    )
+    quantiles = _within_brackets(known, first, probabilities)
+    names = [f"p{round(p * 100)}" for p in probabilities]
+    picked = quantiles.agg(*[
+        F.max(F.when(F.col("probability") == F.lit(p), F.col("value"))).alias(name)
+        for name, p in zip(names, probabilities)
+    ]).withColumn("_first", first)
+    plain = {c: F.col("_first")[c].alias(c) for c in ("count", "mean", "std", "min", "max")}
+    return picked.select(*[plain[c] for c in ("count", "mean", "std", "min")], *names, plain["max"])
 
 
 def exact_percentiles(df: DataFrame, column: str, probabilities: Sequence[float]) -> DataFrame:
     """Exact, linearly interpolated percentiles: (probability, value).
 
     The built-in exact ``percentile`` keeps every distinct value in one task.
-    Here equal values are counted first, the counts are laid over equal-width
-    buckets, and a running total of the bucket counts (at most
-    ``PERCENTILE_BUCKETS`` rows) tells which buckets hold the wanted ranks.  Only
-    those few buckets are then ordered, each in a task of its own.
+    Here a quantile sketch with a bounded rank error gives each wanted rank a
+    bracket of values that must hold it, a few thousandths of the rows whatever
+    their spread.  Then rows are counted: one by one inside the brackets, in one
+    sum between them, so that little is shuffled.  A second sketch cuts each
+    bracket into ``PIECES`` of about equal numbers of distinct values; running
+    totals of the pieces tell which hold the wanted ranks, and only those few are
+    ordered, each in a task of its own.  The table is scanned twice.
     """
-    value = _known(column).alias("value")
-    counts = df.select(value).filter(F.col("value").isNotNull()).groupBy("value").agg(F.count("*").alias("copies"))
-    # One small job over the counted values gives the range and the row count.
-    limits = counts.agg(
-        F.struct(
-            F.min("value").alias("low"), F.max("value").alias("high"), F.sum("copies").alias("total")
-        ).alias("limits")
-    ).scalar()
-    # The limits are attached once and read as columns from there.
-    counts = counts.withColumn("_limits", limits)
-    low, high = F.col("_limits.low"), F.col("_limits.high")
-    share = F.coalesce(F.try_divide(F.col("value") - low, high - low), F.lit(0.0))
-    bucket = F.least(F.floor(share * PERCENTILE_BUCKETS), F.lit(PERCENTILE_BUCKETS - 1))
-    counts = counts.select("value", "copies", bucket.alias("bucket"))
-    ordered = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    buckets = counts.groupBy("bucket").agg(F.sum("copies").alias("copies")).select(
-        "bucket",
+    known = _known_rows(df, column)
+    return _within_brackets(known, _first_look(known, probabilities), probabilities)
+
+
+def _known_rows(df: DataFrame, column: str) -> DataFrame:
+    return df.select(_known(column).alias("value")).filter(F.col("value").isNotNull())
+
+
+def _first_look(known: DataFrame, probabilities: Sequence[float], *more: Column) -> Column:
+    """One row as a scalar: ``total``, ``low`` and ``high`` per probability, and ``more``."""
+    grid = F.percentile_approx("value", [i / GRID for i in range(GRID + 1)], ACCURACY)
+    looked = known.agg(F.count("value").alias("total"), grid.alias("_grid"), *more)
+    slack = 2 / ACCURACY
+
+    def at(place: Column) -> Column:
+        step = F.greatest(F.least(place, F.lit(GRID)), F.lit(0))
+        return F.get("_grid", step.cast("int"))
+
+    total = F.col("total")
+    ranks = [F.lit(p) * (total - 1) for p in probabilities]
+    low = [at(F.floor(((F.floor(r) - 1) / total - slack) * GRID)) for r in ranks]
+    high = [at(F.ceil(((F.ceil(r) + 2) / total + slack) * GRID)) for r in ranks]
+    kept = [c for c in looked.columns if c not in ("_grid", "total")]
+    return looked.select(F.struct("total", F.array(*low).alias("low"), F.array(*high).alias("high"), *kept)).scalar()
+
+
+def _within_brackets(known: DataFrame, first: Column, probabilities: Sequence[float]) -> DataFrame:
+    value = F.col("value")
+    lows = [F.get("_first.low", F.lit(i)) for i in range(len(probabilities))]
+    highs = [F.get("_first.high", F.lit(i)) for i in range(len(probabilities))]
+    held, gap = F.lit(False), F.lit(0)
+    for low, high in zip(lows, highs):
+        held = held | value.between(low, high)
+        gap = gap + (value > high).cast("int")
+    # Between brackets only the number of rows matters; a gap's rows come before its bracket's.
+    counts = (
+        known.withColumn("_first", first)
+        .select(gap.alias("gap"), F.when(held, value).alias("value"))
+        .groupBy("gap", "value")
+        .agg(F.count("*").alias("copies"))
+    )
+    cuts = counts.filter(value.isNotNull()).groupBy("gap").agg(
+        F.percentile_approx("value", [i / PIECES for i in range(1, PIECES)], ACCURACY).alias("cuts")
+    )
+    piece = F.when(value.isNull(), F.lit(-1)).otherwise(F.size(F.filter("cuts", lambda c: c < value)))
+    # At most one row per bracket, and one of cut points.
+    counts = counts.join(F.broadcast(cuts), "gap", "left").select("gap", "value", "copies", piece.alias("piece"))
+    ordered = Window.orderBy("gap", "piece").rowsBetween(Window.unboundedPreceding, 0)
+    pieces = counts.groupBy("gap", "piece").agg(F.sum("copies").alias("copies")).select(
+        "gap",
+        "piece",
         (F.sum("copies").over(ordered) - F.col("copies")).alias("before"),
         F.sum("copies").over(ordered).alias("through"),
-        limits.alias("_limits"),
+        first.alias("_first"),
     )
     # Two ranks per probability: the rows below and above the interpolated place.
-    wanted = F.array(*[_rank_struct(p, side, F.col("_limits.total")) for p in probabilities for side in (0, 1)])
-    hit = buckets.select("bucket", "before", "through", F.inline(wanted)).filter(
+    wanted = F.array(*[_rank_struct(p, side, F.col("_first.total")) for p in probabilities for side in (0, 1)])
+    hit = pieces.select("gap", "piece", "before", "through", F.inline(wanted)).filter(
         (F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("through"))
     )
-    inside = Window.partitionBy("bucket").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    touched = hit.select("bucket", "before").distinct()
-    fine = counts.join(F.broadcast(touched), "bucket").select(
-        "bucket",
+    inside = Window.partitionBy("gap", "piece").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    # At most two rows per probability.
+    touched = hit.select("gap", "piece", "before").distinct()
+    fine = counts.join(F.broadcast(touched), ["gap", "piece"]).select(
+        "gap",
+        "piece",
         "value",
         (F.col("before") + F.sum("copies").over(inside) - F.col("copies")).alias("lo"),
         (F.col("before") + F.sum("copies").over(inside)).alias("hi"),
     )
-    found = fine.join(F.broadcast(hit), "bucket").filter(
+    found = fine.join(F.broadcast(hit), ["gap", "piece"]).filter(
         (F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi"))
     )
+    # The sketch's error is bounded; should a rank lie outside all the same, the job ends.
+    sure = F.coalesce("value", F.raise_error(F.lit("a rank lies outside of its bracket")).cast("double"))
     ends = found.groupBy("probability").agg(
-        F.max(F.when(F.col("side") == 0, F.col("value"))).alias("_below"),
-        F.max(F.when(F.col("side") == 1, F.col("value"))).alias("_above"),
+        F.max(F.when(F.col("side") == 0, sure)).alias("_below"),
+        F.max(F.when(F.col("side") == 1, sure)).alias("_above"),
         F.max("weight").alias("_weight"),
     )
     return ends.select(
