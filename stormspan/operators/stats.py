@@ -56,12 +56,19 @@ def exact_percentiles(df: DataFrame, column: str, probabilities: Sequence[float]
 
 
 def _known_rows(df: DataFrame, column: str) -> DataFrame:
-    return df.select(_known(column).alias("value")).filter(F.col("value").isNotNull())
+    """The values; a generator keeps what made them from being computed in every comparison."""
+    return df.select(F.explode(F.array(_known(column))).alias("value")).filter(F.col("value").isNotNull())
+
+
+def _sketch(steps: Sequence[int], whole: int) -> Column:
+    """Values near the given shares of the rows; written as one text, as each literal costs a call."""
+    shares = ", ".join(f"{step / whole!r}D" for step in steps)
+    return F.expr(f"percentile_approx(value, array({shares}), {ACCURACY})")
 
 
 def _first_look(known: DataFrame, probabilities: Sequence[float], *more: Column) -> Column:
     """One row as a scalar: ``total``, ``low`` and ``high`` per probability, and ``more``."""
-    grid = F.percentile_approx("value", [i / GRID for i in range(GRID + 1)], ACCURACY)
+    grid = _sketch(range(GRID + 1), GRID)
     looked = known.agg(F.count("value").alias("total"), grid.alias("_grid"), *more)
     slack = 2 / ACCURACY
 
@@ -93,7 +100,7 @@ def _within_brackets(known: DataFrame, first: Column, probabilities: Sequence[fl
         .agg(F.count("*").alias("copies"))
     )
     cuts = counts.filter(value.isNotNull()).groupBy("gap").agg(
-        F.percentile_approx("value", [i / PIECES for i in range(1, PIECES)], ACCURACY).alias("cuts")
+        _sketch(range(1, PIECES), PIECES).alias("cuts")
     )
     piece = F.when(value.isNull(), F.lit(-1)).otherwise(F.size(F.filter("cuts", lambda c: c < value)))
     # At most one row per bracket, and one of cut points.
@@ -111,19 +118,11 @@ def _within_brackets(known: DataFrame, first: Column, probabilities: Sequence[fl
     hit = pieces.select("gap", "piece", "before", "through", F.inline(wanted)).filter(
         (F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("through"))
     )
-    inside = Window.partitionBy("gap", "piece").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    # At most two rows per probability.
-    touched = hit.select("gap", "piece", "before").distinct()
-    fine = counts.join(F.broadcast(touched), ["gap", "piece"]).select(
-        "gap",
-        "piece",
-        "value",
-        (F.col("before") + F.sum("copies").over(inside) - F.col("copies")).alias("lo"),
-        (F.col("before") + F.sum("copies").over(inside)).alias("hi"),
-    )
-    found = fine.join(F.broadcast(hit), ["gap", "piece"]).filter(
-        (F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi"))
-    )
+    # At most two rows per probability; a piece is ordered once for each rank that it holds.
+    inside = Window.partitionBy("probability", "side").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    through = F.col("before") + F.sum("copies").over(inside)
+    fine = counts.join(F.broadcast(hit), ["gap", "piece"]).withColumn("_hi", through)
+    found = fine.filter((F.col("rank") >= F.col("_hi") - F.col("copies")) & (F.col("rank") < F.col("_hi")))
     # The sketch's error is bounded; should a rank lie outside all the same, the job ends.
     sure = F.coalesce("value", F.raise_error(F.lit("a rank lies outside of its bracket")).cast("double"))
     ends = found.groupBy("probability").agg(
