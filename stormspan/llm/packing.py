@@ -30,8 +30,8 @@ from .shared import Bounded
 WINDOW = 2048
 END = 1
 VOCABULARY = "word_bpe_49k.json"
-#: Bytes of each of the two tables of words that a task keeps.
-REMEMBERED = 32 << 20
+#: Bytes of the two tables that a task keeps, of words and of their pieces.
+REMEMBERED, REMEMBERED_PIECES = 96 << 20, 48 << 20
 
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 #: Words the quick way reads: letters up to U+024F, which no normal form and no case rule
@@ -49,7 +49,7 @@ class Words:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenize = self.tokenizer.model.tokenize
-        self.pieces = Bounded(self.piece, REMEMBERED)
+        self.pieces = Bounded(self.piece, REMEMBERED_PIECES)
         self.words = Bounded(self.word, REMEMBERED)
         keep = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in keep]
