@@ -25,13 +25,14 @@ import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .shared import Bounded
+from .shared import Bounded, Recent
 
 WINDOW = 2048
 END = 1
 VOCABULARY = "word_bpe_49k.json"
-#: Bytes of the two tables that a task keeps, of words and of their pieces.
-REMEMBERED, REMEMBERED_PIECES = 96 << 20, 48 << 20
+#: Bytes of each of the two tables of words that a task keeps, and words of each where the
+#: tables outlive it.
+REMEMBERED, LASTING = 32 << 20, 400_000
 
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 #: Words the quick way reads: letters up to U+024F, which no normal form and no case rule
@@ -43,14 +44,14 @@ SPLIT = re.compile(r"[ \t\n\r\f\v]+")
 class Words:
     """Ids of white-space separated words as little-endian bytes, made when first asked for."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, lasting: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenize = self.tokenizer.model.tokenize
-        self.pieces = Bounded(self.piece, REMEMBERED_PIECES)
-        self.words = Bounded(self.word, REMEMBERED)
+        self.pieces = Recent(self.piece, LASTING) if lasting else Bounded(self.piece, REMEMBERED)
+        self.words = Recent(self.word, LASTING) if lasting else Bounded(self.word, REMEMBERED)
         keep = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in keep]
         self.visible = {b: chr(b) for b in keep} | {b: chr(256 + n) for n, b in enumerate(rest)}
@@ -74,16 +75,16 @@ class Words:
 
 
 @lru_cache
-def word_ids(path: str) -> Words:
-    return Words(path)
+def word_ids(path: str, lasting: bool = False) -> Words:
+    return Words(path, lasting)
 
 
-def token_ids(text: str | None, path: str) -> bytes:
+def token_ids(text: str | None, path: str, lasting: bool = False) -> bytes:
     """Ids of a whole text, four bytes each; the tokenizer drops white space between words."""
     text = text or ""
     # str.split also parts at these four, which are no white space for the tokenizer.
     words = SPLIT.split(text.strip(" \t\n\r\f\v")) if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()
-    return b"".join(map(word_ids(path).words.__getitem__, words))
+    return b"".join(map(word_ids(path, lasting).words.__getitem__, words))
 
 
 class Windows:
@@ -150,6 +151,7 @@ def pack(
     window: int = WINDOW,
     vocabulary: str | None = None,
     end: int = END,
+    lasting: bool = False,
 ) -> DataFrame:
     """One row per piece: key, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
@@ -157,6 +159,9 @@ def pack(
     alone.  Every row is packed, equal rows, null keys and repeated keys as well; other columns
     are not looked at.  ``sequence_id`` is the stream's number times 2**32 plus a count.  An
     empty table gives no rows.
+
+    With ``lasting`` the tables of words stay in the workers after a task, a few hundred
+    megabytes each, which halves the work where packing is all that a session does.
     """
     path = vocabulary or public_tokenizers.path(VOCABULARY)
     tail = np.array([end], "<u4").tobytes()
@@ -191,13 +196,14 @@ def pack(
             for batch in batches:
                 key_type = batch.schema.field(0).type
                 for doc, value in zip(batch.column(0).to_pylist(), batch.column(1)):
-                    windows.add(doc, token_ids(value.as_py(), path) + tail)
+                    windows.add(doc, token_ids(value.as_py(), path, lasting) + tail)
                 yield flush(key_type)
             if key_type is not None:
                 windows.finish()
                 yield flush(key_type)
         finally:
-            word_ids(path).forget()
+            if not lasting:
+                word_ids(path).forget()
 
     longs = ", ".join(f"{n} long" for n in names[1:])
     return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, {longs}")

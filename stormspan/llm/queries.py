@@ -60,7 +60,7 @@ def op8_personal_data(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack(read(spark, folder, "documents"))
+    return packing.pack(read(spark, folder, "documents"), lasting=True)
 
 
 def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
