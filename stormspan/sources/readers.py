@@ -53,18 +53,19 @@ def read_keys(spark: SparkSession, path: str) -> DataFrame:
     return lines.filter(F.col("key").isNotNull())
 
 
-def read_binary(spark: SparkSession, path: str, pattern: str = "*.gz") -> DataFrame:
-    """Whole binary files (path, modificationTime, length, content), unreadable ones skipped.
+def read_binary(spark: SparkSession, path: str, pattern: str = "*.gz", *, skip_bad: bool = False) -> DataFrame:
+    """Whole binary files (path, modificationTime, length, content).
 
-    Radar files are a few megabytes each, so a row per file is small; the number
-    of tasks follows from the file sizes.
+    An unreadable or vanished file ends the job; with ``skip_bad`` it is passed
+    over.  Radar files are a few megabytes each, so a row per file is small; the
+    number of tasks follows from the file sizes.
     """
     return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", True)
-        .option("ignoreCorruptFiles", True)
-        .option("ignoreMissingFiles", True)
+        .option("ignoreCorruptFiles", skip_bad)
+        .option("ignoreMissingFiles", skip_bad)
         .load(path)
     )
 

@@ -269,3 +269,16 @@ def test_multi_polygons_are_read_written_and_read_by_lines(spark, tmp_path):
     odd.write_text(json.dumps({"features": [{"properties": {"id": "x"}, "geometry": {"type": "LineString", "coordinates": far}}]}))
     with pytest.raises(Exception, match="not a polygon: LineString"):
         readers.read_polygons(spark, str(odd)).collect()
+
+
+def test_vanished_binary_files_end_the_job_or_are_passed_over(spark, tmp_path):
+    for name in ("a.gz", "b.gz"):
+        (tmp_path / name).write_bytes(name.encode())
+    strict = readers.read_binary(spark, str(tmp_path)).select("content")
+    lenient = readers.read_binary(spark, str(tmp_path), skip_bad=True).select("content")
+    assert strict.count() == lenient.count() == 2
+    strict, lenient = strict.select("*"), lenient.select("*")
+    (tmp_path / "b.gz").unlink()
+    assert [bytes(r.content) for r in lenient.collect()] == [b"a.gz"]
+    with pytest.raises(Exception, match="b.gz|FILE_NOT_EXIST"):
+        strict.collect()
