@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.calendar import day_number, end_of_day, minutes_between, top_of_next_hour
 from ..functions.clean import close_time, date_and_time, period_seconds, us_timestamp
 from ..functions.lookups import waterway_name
+from .scan import running_sums
 from .series import resample, rolling_column, rolling_totals
 
 FEED_COLUMNS = (
@@ -106,34 +108,36 @@ def rain_before(
     return found.select(*events.columns, F.coalesce(out, F.lit(0.0)).alias(out))
 
 
-def overlap_counts(intervals: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
+def overlap_counts(
+    intervals: DataFrame, keys: Sequence[str], start: str, end: str, *, chunk: int = 366
+) -> DataFrame:
     """How many other intervals of its key each interval overlaps (closed ends).
 
     Counted as starts up to my end, less ends before my start, less myself: no
-    pairs are formed.  Starts and ends are counted per (key, time) first, so the
-    running window holds one row per distinct time, which is bounded when times
-    are calendar slots such as hours or days.
+    pairs are formed.  Starts and ends are counted per (key, time) first; the
+    running counts over the distinct times of a key are made per ``chunk`` (of
+    days, or of a numeric time's own units) with what the chunks before it hold,
+    so a hot key's times are shared by many tasks.
 
     A null end is an interval still open: it overlaps whatever starts after it.
     An interval without a start has a null count and counts for no other.  Null
     keys equal each other.
     """
     keys = list(keys)
-    known = intervals.filter(F.col(start).isNotNull())
-    starts = known.select(*keys, F.col(start).alias("_t"), F.lit(1).alias("_s"), F.lit(0).alias("_e"))
-    ends = known.select(*keys, F.col(end).alias("_t"), F.lit(0).alias("_s"), F.lit(1).alias("_e"))
-    frame = Window.partitionBy(*keys).orderBy(F.asc_nulls_last("_t")).rowsBetween(Window.unboundedPreceding, 0)
+    numeric = isinstance(intervals.schema[start].dataType, T.NumericType)
+    place = F.floor((F.col("_t") if numeric else day_number("_t")) / chunk)
+
+    def at(time: str, started: int) -> Column:
+        return F.struct(F.col(time).alias("_t"), F.lit(started).alias("_s"), F.lit(1 - started).alias("_e"))
+
     times = (
-        starts.unionByName(ends)
-        .groupBy(*keys, "_t")
+        intervals.filter(F.col(start).isNotNull())
+        .select(*keys, F.inline(F.array(at(start, 1), at(end, 0))))
+        .groupBy(*keys, place.alias("_chunk"), "_t")
         .agg(F.sum("_s").alias("_s"), F.sum("_e").alias("_e"))
-        .select(
-            *keys,
-            "_t",
-            F.sum("_s").over(frame).alias("_started"),
-            (F.sum("_e").over(frame) - F.col("_e")).alias("_ended"),
-        )
     )
+    counts = {"_started": F.col("_s"), "_ended": F.col("_e")}
+    times = running_sums(times, keys, "_chunk", "_t", counts).withColumn("_ended", F.col("_ended") - F.col("_e"))
 
     def looked_up(found: DataFrame, at: str, count: str) -> DataFrame:
         names = [*keys, at]

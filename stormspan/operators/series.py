@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from ..functions.calendar import hour_number, slot_number, slot_start
 from ..functions.clean import finite
 
+#: Slots of a gap generated at a time.
+GAP_SLOTS = 10_000
 AGGREGATES = {"max": F.max, "sum": F.sum, "mean": F.avg, "count": F.count}
 
 
@@ -43,7 +45,9 @@ def resample(
     the last one.  NaN and infinite readings count as missing.
 
     The gaps are generated from each row's distance to the next row of its key,
-    so no calendar table is joined in and the raw readings are scanned once.
+    so no calendar table is joined in and the raw readings are scanned once.  A
+    gap is laid out in pieces of ``GAP_SLOTS``: one far-off timestamp makes many
+    rows, never one row with a long array.
     """
     out = out or value
     keys = list(keys)
@@ -52,9 +56,10 @@ def resample(
         .groupBy(*keys, slot_number(ts, unit).alias("_slot"))
         .agg(AGGREGATES[how](finite(value)).alias(out))
         .withColumn("_next", F.lead("_slot").over(Window.partitionBy(*keys).orderBy("_slot")))
+        .withColumn("_last", F.coalesce(F.col("_next") - 1, F.col("_slot") + extend))
+        .withColumn("_from", F.explode(F.sequence("_slot", "_last", F.lit(GAP_SLOTS).cast("bigint"))))
         .withColumn(
-            "_at",
-            F.explode(F.sequence("_slot", F.coalesce(F.col("_next") - 1, F.col("_slot") + extend))),
+            "_at", F.explode(F.sequence("_from", F.least(F.col("_from") + (GAP_SLOTS - 1), F.col("_last"))))
         )
     )
     shift = {"left": 0, "right": 1}[label]

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import day_number, hour_number, hour_start
 from ..functions.thresholds import Band
-from .series import rolling_column, rolling_totals, whole_units
+from .scan import fold_segments
+from .series import rolling_column, rolling_totals, whole_units, with_halo
 
 
 def classified_windows(
@@ -348,6 +349,28 @@ def highest_storm_before(
     )
 
 
+#: Hours of a station's history that one task scans by itself: a year.
+CHUNK_HOURS = 366 * 24
+
+
+def _rolled(
+    series: DataFrame, keys: Sequence[str], ts: str, value: str, hours: int, digits: int, chunk_hours: int
+) -> DataFrame:
+    """Whole units, their total over ``hours`` rows, and both of the row before, per time chunk.
+
+    Every chunk sees the ``hours`` + 1 rows before it, so no total needs another chunk.
+    """
+    window = Window.partitionBy(*keys, "_chunk").orderBy(ts)
+    zero = F.lit(0).cast("bigint")
+    # Rows that come partitioned by the keys alone would stay so without being asked.
+    rows = with_halo(series, ts, chunk_hours, hours + 1).repartition(*keys, "_chunk")
+    rows = rows.withColumn("_units", F.coalesce(whole_units(value, 10**digits), zero))
+    rows = rows.withColumn("_sum", F.sum("_units").over(window.rowsBetween(Window.unboundedPreceding, 0)))
+    rows = rows.withColumn("_roll", F.col("_sum") - F.coalesce(F.lag("_sum", hours).over(window), zero))
+    before = {f"{c}_before": F.coalesce(F.lag(c).over(window), zero) for c in ("_units", "_roll")}
+    return rows.withColumns(before).filter(~F.col("_halo"))
+
+
 def rain_events(
     series: DataFrame,
     keys: Sequence[str],
@@ -357,8 +380,9 @@ def rain_events(
     dry_hours: int = 12,
     floor: float = 0.04,
     digits: int = 4,
+    chunk_hours: int = CHUNK_HOURS,
 ) -> DataFrame:
-    """Rain events between dry spells of ``dry_hours``.
+    """Rain events between dry spells of ``dry_hours``, over a series without gaps.
 
     An event starts in an hour with more than ``floor`` of rain whose previous
     row's rolling total is below ``floor``; it ends ``dry_hours`` before the
@@ -367,38 +391,34 @@ def rain_events(
     closed range [start, end].  Labels are hour ends, so a start is one hour
     before its label.
 
-    The forward search is a running ``last`` over the reversed series: a frame
-    from the current row to the end would visit the rest of the series per row.
+    A row below the floor closes a segment, so an event is a segment whose first
+    row starts one.  Segments are folded per (key, chunk of hours) and merged
+    over chunks: a station's history is scanned by many tasks, once, forwards.
     """
     keys = list(keys)
     unit = 10**digits
-    window = Window.partitionBy(*keys).orderBy(ts)
-    so_far = window.rowsBetween(Window.unboundedPreceding, 0)
-    backward = Window.partitionBy(*keys).orderBy(F.desc(ts)).rowsBetween(Window.unboundedPreceding, 0)
-    zero = F.lit(0).cast("bigint")
     limit = F.lit(round(floor * unit))
-    rows = series.withColumn("_units", F.coalesce(whole_units(value, unit), zero))
-    rows = rows.withColumn("_sum", F.sum("_units").over(so_far))
-    rows = rows.withColumns({
-        "_past": F.coalesce(F.lag("_sum", dry_hours).over(window), zero),
-        "_before_start": F.coalesce(F.lag("_sum", 2).over(window), zero),
-    })
-    rows = rows.withColumn("_roll", F.col("_sum") - F.col("_past"))
-    rows = rows.withColumn("_roll_prev", F.coalesce(F.lag("_roll").over(window), zero))
-    dry = F.when(
-        F.col("_roll") < limit, F.struct(F.col(ts).alias("label"), F.col("_past").alias("sum"))
-    )
-    rows = rows.withColumn("_end", F.last(dry, ignorenulls=True).over(backward))
-    starts = rows.filter((F.col("_units") > limit) & (F.col("_roll_prev") < limit))
+    rows = _rolled(series, keys, ts, value, dry_hours, digits, chunk_hours)
+    opens, dry = F.col("_roll_before") < limit, F.col("_roll") < limit
+    started = F.struct(F.col(ts).alias("label"), F.col("_units_before").alias("units"))
+    closed = F.struct(F.col(ts).alias("label"), F.col("_roll").alias("units"))
+    folds = {
+        "_start": ("max", F.when(opens & (F.col("_units") > limit), started)),
+        "_end": ("max", F.when(dry, closed)),
+        "_sum": ("sum", F.col("_units")),
+    }
+    # A dry row after a dry row is a segment by itself and no event.
+    found = fold_segments(rows, keys, "_chunk", ts, opens, ~(opens & dry), folds).filter("_start is not null")
     hour = F.make_dt_interval(F.lit(0), F.lit(1))
     end = F.col("_end.label") - F.make_dt_interval(F.lit(0), F.lit(dry_hours))
-    starts = starts.withColumns({"start_time": F.col(ts) - hour, "end_time": end})
-    return starts.select(
+    found = found.withColumns({"start_time": F.col("_start.label") - hour, "end_time": end})
+    units = F.col("_start.units") + F.col("_sum") - F.col("_end.units")
+    return found.select(
         *keys,
         "start_time",
         "end_time",
         (hour_number("end_time") - hour_number("start_time")).alias("duration_hrs"),
-        ((F.col("_end.sum") - F.col("_before_start")) / F.lit(float(unit))).alias("total_precip"),
+        (units / F.lit(float(unit))).alias("total_precip"),
     )
 
 
@@ -410,33 +430,22 @@ def rain_runs(
     *,
     dry_hours: int = 12,
     floor: float = 0.04,
+    digits: int = 4,
+    chunk_hours: int = CHUNK_HOURS,
 ) -> DataFrame:
     """Events as maximal runs of rows whose rolling total is at least ``floor``.
 
     Unlike :func:`rain_events` this also catches a downpour that follows drizzle.
+    The series has no gaps; it is scanned in chunks like there.
     """
     keys = list(keys)
-    window = Window.partitionBy(*keys).orderBy(ts)
-    so_far = window.rowsBetween(Window.unboundedPreceding, 0)
-    rolled = rolling_totals(series, keys, ts, value, [dry_hours])
-    wet = F.col(rolling_column(dry_hours)) >= F.lit(floor)
-    rolled = rolled.withColumn("_wet", wet)
-    opens = F.col("_wet") & ~F.coalesce(F.lag("_wet").over(window), F.lit(False))
-    rolled = rolled.withColumn("_opens", opens).withColumn(
-        "_run", F.sum(F.col("_opens").cast("int")).over(so_far)
-    )
-    return (
-        rolled.filter("_wet")
-        .groupBy(*keys, "_run")
-        .agg(
-            F.min(ts).alias("first_label"),
-            F.max(ts).alias("last_label"),
-            F.sum(whole_units(value, 10_000)).alias("_units"),
-        )
-        .select(
-            *keys,
-            "first_label",
-            "last_label",
-            (F.col("_units") / F.lit(10_000.0)).alias("total_precip"),
-        )
-    )
+    unit = F.lit(float(10**digits))
+    wet, wet_before = (F.col(c) / unit >= F.lit(floor) for c in ("_roll", "_roll_before"))
+    rows = _rolled(series, keys, ts, value, dry_hours, digits, chunk_hours)
+    folds = {
+        "first_label": ("min", F.col(ts)),
+        "last_label": ("max", F.col(ts)),
+        "_sum": ("sum", F.col("_units")),
+    }
+    found = fold_segments(rows, keys, "_chunk", ts, wet & ~wet_before, wet, folds)
+    return found.select(*keys, "first_label", "last_label", (F.col("_sum") / unit).alias("total_precip"))

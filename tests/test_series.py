@@ -106,6 +106,18 @@ def test_overlap_counts_against_pairs(spark):
     got = {r.id: r.overlaps for r in overflows.overlap_counts(df, ["k"], "s", "e").collect()}
     want = {i: sum(1 for _, j, s2, e2 in rows if j != i and s <= e2 and s2 <= e) for _, i, s, e in rows}
     assert got == want
+    for chunk in (1, 7):
+        pieces = overflows.overlap_counts(df, ["k"], "s", "e", chunk=chunk).collect()
+        assert {r.id: r.overlaps for r in pieces} == want
+    assert overflows.overlap_counts(df.limit(0), ["k"], "s", "e").count() == 0
+
+
+def test_a_far_off_time_is_filled_in_pieces(spark):
+    rows = [("a", at("1820-01-01 00:10:00"), 1.0), ("a", at("2020-01-01 00:10:00"), 2.0)]
+    out = series.hourly_max(frame(spark, rows, "s string, ts timestamp_ntz, value double"), ["s"], label="left")
+    got = out.agg(F.count("*"), F.countDistinct("ts"), F.sum("value"), F.min("ts"), F.max("ts")).first()
+    hours = int((at("2020-01-01 00:00:00") - at("1820-01-01 00:00:00")).total_seconds() // 3600) + 1
+    assert tuple(got) == (hours, hours, 3.0, at("1820-01-01 00:00:00"), at("2020-01-01 00:00:00"))
 
 
 def test_rows_with_a_null_key_keep_their_neighbours(spark):

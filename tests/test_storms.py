@@ -157,6 +157,65 @@ def test_rain_event_spans(spark):
     assert out[1].end_time is None and out[1].total_precip is None
 
 
+def walked_events(values, dry_hours=12, floor=400):
+    """Events of one series in whole units, by a plain walk: (start, end, units), hours from the first label."""
+    roll = [sum(values[max(0, i + 1 - dry_hours) : i + 1]) for i in range(len(values))]
+    found = []
+    for i, amount in enumerate(values):
+        if amount > floor and (i == 0 or roll[i - 1] < floor):
+            dry = next((j for j in range(i, len(values)) if roll[j] < floor), None)
+            end = None if dry is None else dry - dry_hours
+            found.append((i - 1, end, None if end is None else sum(values[max(0, i - 1) : end + 1])))
+    return found
+
+
+def walked_runs(values, dry_hours=12, floor=400):
+    roll = [sum(values[max(0, i + 1 - dry_hours) : i + 1]) for i in range(len(values))]
+    found = []
+    for i, total in enumerate(roll):
+        if total >= floor:
+            if i and roll[i - 1] >= floor:
+                first, _, units = found.pop()
+                found.append((first, i, units + values[i]))
+            else:
+                found.append((i, i, values[i]))
+    return found
+
+
+@pytest.mark.parametrize("chunk_hours", [13, 24, 100, 10_000])
+def test_rain_events_and_runs_do_not_depend_on_chunks(spark, chunk_hours):
+    rng = np.random.default_rng(11)
+    series, kept = [], {}
+    for station, wet in (("a", 0.05), ("b", 0.3), (None, 0.02), ("soaked", 0.9)):
+        units = np.where(rng.random(900) < wet, rng.integers(1, 900, 900), 0)
+        units[400:640] = np.where(units[400:640] > 0, units[400:640], 50) if station == "b" else units[400:640]
+        kept[station] = units.tolist()
+        series += [(station, START + timedelta(hours=h), float(u) / 10_000) for h, u in enumerate(kept[station])]
+    df = spark.createDataFrame(series, "station string, ts timestamp_ntz, value double")
+    hour = lambda t: None if t is None else int((t - START).total_seconds() // 3600)
+    units = lambda x: None if x is None else round(x * 10_000)
+    events = storms.rain_events(df, ["station"], "ts", "value", chunk_hours=chunk_hours).collect()
+    runs = storms.rain_runs(df, ["station"], "ts", "value", chunk_hours=chunk_hours).collect()
+    for station, values in kept.items():
+        got = [(hour(r.start_time), hour(r.end_time), units(r.total_precip)) for r in events if r.station == station]
+        assert sorted(got) == sorted(walked_events(values))
+        got = [(hour(r.first_label), hour(r.last_label), units(r.total_precip)) for r in runs if r.station == station]
+        assert sorted(got) == walked_runs(values)
+    assert storms.rain_events(df.limit(0), ["station"], "ts", "value").count() == 0
+
+
+def test_one_station_is_scanned_by_several_tasks(spark):
+    values = np.where(np.random.default_rng(4).random(6_000) < 0.1, 0.3, 0.0)
+    df = series_of(spark, values)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rolled = storms._rolled(df, ["station"], "ts", "value", 12, 4, 500)
+        busy = rolled.groupBy(F.spark_partition_id()).count().count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert busy > 1 and rolled.count() == 6_000
+
+
 def test_downpour_after_drizzle_is_only_a_run(spark):
     values = [0, 0.03, 0.03, 0.5] + [0] * 14
     df = series_of(spark, values)
