@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.thresholds import INCHES, RETURN_PERIODS, HOURS, bands, hours_to_class
 from ..operators import series, storms
+from ..operators.bands import windows_in_bands
 from .rain import hourly_cte
 from .registry import query, table
 
@@ -48,6 +49,29 @@ def band_counts(spark, folder):
     return storms.band_counts(_user_series(spark, folder), ["user_id"], "ts", "value", BANDS)
 
 
+_TABLE_HOURS = (1, 6, 24)
+_TABLE_LIMITS = """limits AS (SELECT CASE s_suppkey % 3 WHEN 0 THEN 1 WHEN 1 THEN 6 ELSE 24 END AS duration_hrs,
+  abs(s_acctbal) / 10 AS low, max(s_suppkey) AS n FROM supplier GROUP BY 1, 2)"""
+_TABLE_WINDOWS = " UNION ALL ".join(
+    f"""SELECT {k} AS duration_hrs, CAST(sum(CAST(value AS DECIMAL(18, 4))) {_frame(k, 'user_id')} AS DOUBLE) AS x FROM hourly"""
+    for k in _TABLE_HOURS
+)
+
+
+@query(f"""WITH {hourly_cte('user_id')}, {_TABLE_LIMITS}, totals AS ({_TABLE_WINDOWS})
+SELECT CAST(t.duration_hrs AS INTEGER) AS duration_hrs, l.n, count(*) AS windows
+FROM totals t ASOF JOIN limits l ON t.duration_hrs = l.duration_hrs AND t.x >= l.low GROUP BY 1, 2""")
+def table_band_counts(spark, folder):
+    """Window ends per duration and class, the limits read from a table."""
+    limits = table(spark, folder, "supplier").select(
+        F.when(F.col("s_suppkey") % 3 == 0, 1).when(F.col("s_suppkey") % 3 == 1, 6).otherwise(24).alias("duration_hrs"),
+        F.col("s_suppkey").alias("n"),
+        (F.abs("s_acctbal") / 10).alias("limit"),
+    )
+    found = windows_in_bands(_user_series(spark, folder), ["user_id"], "ts", "value", _TABLE_HOURS, limits)
+    return found.groupBy("duration_hrs", "n").agg(F.count("*").alias("windows"))
+
+
 def _greedy_sql(part: str, rank: str, touch: str) -> str:
     """SQL that keeps the best candidate left of every part, round by round, and drops what it touches."""
     best = f"""min(r) OVER (PARTITION BY {part}) AS best, first_value(start_time) OVER (PARTITION BY {part} ORDER BY r) AS s,

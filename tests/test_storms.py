@@ -5,6 +5,7 @@ import pytest
 
 from stormspan.functions.thresholds import Band, INCHES, bands, hours_to_class, threshold
 from stormspan.operators import storms
+from stormspan.operators.bands import in_bands
 from stormspan.plans.n_year import clean_readings, station_storms, storms_by_year
 from pyspark.sql import functions as F
 
@@ -285,3 +286,29 @@ def test_look_back_with_many_days_digits_and_long_durations(spark):
                 best = ((n, band.hours, inches, -i), seen[i][1])
     assert (got.n, got.duration_hrs, got.storm_end) == (best[0][0], best[0][1], best[1])
     assert got.inches == best[0][2]
+
+
+def test_bands_from_a_table_against_a_search(spark):
+    rng = np.random.default_rng(8)
+    limits = [(k, float(x), i) for i, (k, x) in enumerate(
+        [("a", v) for v in np.round(rng.random(300) * 50, 1)] + [(None, 2.0), (None, 2.0), ("far", 1e12), ("far", 1.0)]
+        + [("far", v) for v in np.round(rng.random(40), 3)] + [("a", float("nan"))]
+    )]
+    values = [(i, k, float(v)) for i, (k, v) in enumerate(
+        [("a", v) for v in np.round(rng.random(500) * 60 - 3, 1)]
+        + [(k, v) for k in (None, "far", "none") for v in (1.0, 2.0, 0.5, 1e13, float("nan"))] + [(None, 2.0)] * 3
+    )]
+    limits_df = spark.createDataFrame(limits, "k string, lim double, n int")
+    rows = spark.createDataFrame(values, "id int, k string, v double")
+
+    def band(k, v):
+        reached = [(x, n) for key, x, n in limits if key == k and x <= v]
+        return max(reached)[1] if reached else None
+
+    want = {i: band(k, v) for i, k, v in values}
+    for more in ({}, {"per_band": 4}, {"scale": lambda x: F.log(x + 4)}):
+        found = in_bands(rows, ["k"], "v", limits_df, "lim", "n", **more).collect()
+        assert len(found) == len(values) and {r.id: r.n for r in found} == want
+    assert {r.n for r in in_bands(rows, ["k"], "v", limits_df.limit(0), "lim", "n").collect()} == {None}
+    plan = in_bands(rows, ["k"], "v", limits_df, "lim", "n")._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
