@@ -8,6 +8,7 @@ from ..functions import clean
 from ..functions.calendar import hour_number, hour_start, on_day, within_days
 from ..functions.lookups import WATERWAY_OF_SEGMENT, waterway_name
 from ..functions.radar import CITY_BOX
+from ..sources.readers import html_elements as elements_of_html
 from ..sources.readers import html_rows as rows_of_html
 from ..sources.readers import text_blocks as blocks_of_text
 from .registry import query, table
@@ -121,6 +122,15 @@ def html_rows(spark, folder):
     )
 
 
+@query(r"""
+WITH i AS (SELECT page_id, regexp_extract_all(html, '(?s)<div class="ad">.*?</div>') AS items FROM pages)
+SELECT page_id, CAST(generate_subscripts(items, 1) - 1 AS INTEGER) AS element_no, unnest(items) AS element FROM i
+""")
+def html_elements(spark, folder):
+    """Elements of pages chosen by tag and attribute."""
+    return elements_of_html(table(spark, folder, "pages").select("page_id", "html"), "html", "div", "class", "ad").drop("html")
+
+
 @query("""
 SELECT event_id, CASE WHEN user_id % 9 = 0 THEN '0' ELSE CAST(60600 + user_id AS VARCHAR) END AS zip,
   CAST(user_id AS INTEGER) AS ward, event_id % 90000 AS open_seconds,

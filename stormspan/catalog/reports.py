@@ -237,6 +237,24 @@ def correlations(spark, folder):
     return stats.correlations(table(spark, folder, "lineitem"), _MEASURES).withColumn("r", F.round("r", 6))
 
 
+_MONTHS = tuple(f"m{k}" for k in range(1, 13))
+
+
+@query("""WITH areas AS (SELECT o_custkey % 97 AS area, """ + ", ".join(
+    f"sum(o_totalprice) FILTER (month(o_orderdate) = {k + 1}) AS {m}" for k, m in enumerate(_MONTHS)
+) + " FROM orders GROUP BY 1) " + " UNION ALL ".join(
+    f"SELECT '{a}' AS column_a, '{b}' AS column_b, round(corr({a}, {b}), 6) AS r FROM areas"
+    for i, a in enumerate(_MONTHS) for b in _MONTHS[i + 1:]
+))
+def month_correlations(spark, folder):
+    """How the totals of an area's months go together, over areas; a month without orders is unknown."""
+    months = [
+        F.sum(F.when(F.month("o_orderdate") == k + 1, F.col("o_totalprice"))).alias(m) for k, m in enumerate(_MONTHS)
+    ]
+    areas = table(spark, folder, "orders").groupBy((F.col("o_custkey") % 97).alias("area")).agg(*months)
+    return stats.correlation_matrix(areas, _MONTHS).withColumn("r", F.round("r", 6))
+
+
 _POINTS = """points AS (SELECT o_custkey % 97 AS area, count(*)::DOUBLE AS calls,
     (count(*) FILTER (o_orderstatus = 'F'))::DOUBLE AS approved FROM orders GROUP BY 1)"""
 

@@ -8,6 +8,8 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.clean import finite
+
 #: Steps of the first look, rows per wrong place that it may be off, and ordered pieces per bracket.
 GRID, ACCURACY, PIECES = 1000, 10_000, 256
 
@@ -172,6 +174,60 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return measured.select(F.inline(rows))
 
 
+def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Pearson correlation of every pair of many columns: (column_a, column_b, r).
+
+    For dozens of columns and more, where an aggregate expression per pair would not compile.
+    Each task multiplies blocks of rows with masks of what is known, and what leaves it is one
+    row of sums per pair; a task holds four square matrices of the number of columns.  Values
+    are taken relative to a median of their column, so that large offsets cancel nothing.
+
+    A row counts for the pairs whose two values it has; NaN and infinite values are missing.
+    r is null for fewer than two such rows and where a column does not vary over them.
+    """
+    columns = list(columns)
+    size = len(columns)
+    rows = df.select(*[finite(F.col(c).cast("double")).alias(f"c{i}") for i, c in enumerate(columns)])
+    middle = rows.agg(*[F.percentile_approx(f"c{i}", 0.5, 100).alias(f"c{i}") for i in range(size)]).first()
+    offsets = [value or 0.0 for value in middle]
+    sums = ("n", "sx", "sy", "sxx", "syy", "sxy")
+
+    def products(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        known, first, second, cross = (np.zeros((size, size)) for _ in range(4))
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns]) - offsets
+            there = np.isfinite(x)
+            x[~there] = 0.0
+            mask = there.astype(float)
+            known += mask.T @ mask
+            first += x.T @ mask
+            second += (x * x).T @ mask
+            cross += x.T @ x
+        a, b = np.triu_indices(size, 1)
+        values = (known[a, b], first[a, b], first[b, a], second[a, b], second[b, a], cross[a, b])
+        arrays = [pa.array(i.astype("int32")) for i in (a, b)] + [pa.array(v) for v in values]
+        yield pa.RecordBatch.from_arrays(arrays, ["a", "b", *sums])
+
+    parts = rows.mapInArrow(products, "a int, b int, " + ", ".join(f"{c} double" for c in sums))
+    whole = parts.groupBy("a", "b").agg(*[F.sum(c).alias(c) for c in sums])
+
+    def spread(of: str) -> Column:
+        total = F.col("n") * F.col(f"s{of}{of}")
+        left = total - F.col(f"s{of}") * F.col(f"s{of}")
+        return F.when(left > total * 1e-13, left)
+
+    r = (F.col("n") * F.col("sxy") - F.col("sx") * F.col("sy")) / (F.sqrt(spread("x")) * F.sqrt(spread("y")))
+    names = F.array(*[F.lit(c) for c in columns])
+    return whole.select(
+        F.get(names, "a").alias("column_a"),
+        F.get(names, "b").alias("column_b"),
+        F.when((F.col("n") >= 2) & r.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r))).alias("r"),
+    )
+
+
 def linear_fit(df: DataFrame, x: str, y: str) -> DataFrame:
     """Least squares of y on x: (slope, intercept, r2), one row."""
     return df.agg(

@@ -6,7 +6,9 @@ mis-types columns with stray texts.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import re
+import zlib
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,6 +72,69 @@ def read_binary(spark: SparkSession, path: str, pattern: str = "*.gz", *, skip_b
     )
 
 
+def file_inventory(spark: SparkSession, path: str, store: str, pattern: str = "*") -> DataFrame:
+    """(path, length) of the files under ``path``, kept in the folder ``store``.
+
+    Taken before files are read, it tells afterwards which of them gave nothing; a list made
+    later would lack what has vanished meanwhile.  Contents are not read.
+    """
+    _listed(spark, path, pattern).write.mode("overwrite").parquet(store)
+    return spark.read.parquet(store)
+
+
+def _listed(spark: SparkSession, path: str, pattern: str) -> DataFrame:
+    files = read_binary(spark, path, pattern, skip_bad=True)
+    return files.select(F.col("_metadata.file_path").alias("path"), "length")
+
+
+def skipped_files(spark: SparkSession, inventory: DataFrame, path: str, read: DataFrame, pattern: str = "*") -> DataFrame:
+    """(path, length, reason) of the files of an inventory that gave no row.
+
+    ``read`` holds the paths of rows that were read, in its first column, for example
+    ``read_csv(..., skip_bad=True).select("_metadata.file_path")``.  The reason is 'vanished'
+    or 'no readable row'.  A compressed file that breaks off after some rows is not among
+    them (see :func:`broken_gzip`), and neither is an empty file, which Spark never lists.
+    """
+    seen = read.select(F.col(read.columns[0]).alias("path")).distinct()
+    now = _listed(spark, path, pattern).select("path", F.lit(True).alias("_there"))
+    reason = F.when(F.col("_there").isNull(), "vanished").otherwise("no readable row")
+    return inventory.join(seen, "path", "left_anti").join(now, "path", "left").select("path", "length", reason.alias("reason"))
+
+
+def broken_gzip(files: DataFrame) -> DataFrame:
+    """(path, reason) of the gzip files of ``read_binary`` whose content is no whole gzip stream.
+
+    Each file is inflated once in pieces of a megabyte, so a task holds a file and one piece.
+    """
+
+    def reason(content: bytes) -> str | None:
+        """None for a whole stream."""
+        rest = content
+        while rest:
+            inflate = zlib.decompressobj(31)
+            try:
+                while not inflate.eof and rest:
+                    inflate.decompress(rest, 1 << 20)
+                    rest = inflate.unconsumed_tail or inflate.unused_data
+            except zlib.error as problem:
+                return str(problem)
+            if not inflate.eof:
+                return "breaks off"
+            rest = rest.lstrip(b"\0")  # padding after the last member
+        return None
+
+    def check(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            for path, content in zip(batch.column("path"), batch.column("content")):
+                found = reason(content.as_py())
+                if found:
+                    yield pa.RecordBatch.from_pydict({"path": [path.as_py()], "reason": [found]})
+
+    return files.select("path", "content").mapInArrow(check, "path string, reason string")
+
+
 def decode_sweeps(files: DataFrame, decode: Callable[[str, bytes], Sequence[dict] | None]) -> DataFrame:
     """Apply a caller's decoder to (path, content).
 
@@ -198,6 +263,53 @@ def html_text(fragment: Column) -> Column:
     return F.regexp_replace(text, r"^\s+|\s+$", "")
 
 
+def has_attribute(tag: Column, name: str, value: str) -> Column:
+    """True where an opening tag has the attribute with that value, quoted or not."""
+    shape = rf"(?i)\s{re.escape(name)}\s*=\s*([\"']?){re.escape(value)}\1(?=[\s/>])"
+    return tag.rlike(shape)
+
+
+def html_elements(
+    pages: DataFrame, html: str, tag: str, name: str, value: str, out: str = "element", *, nested: bool = False
+) -> DataFrame:
+    """One row per element ``<tag name=value>`` of a page, in page order: ``element_no`` and ``out``.
+
+    An element reaches to the end tag of its own depth, or to the page's end without one.
+    Elements of the same tag inside of it are cut out, so that the rows of an outer table are
+    its own; ``nested`` leaves them in.  A chosen element inside a chosen one is no row of its
+    own.  The page is cut at the tag's start and end tags, and depth is a running sum over the
+    pieces within the row: nothing is shuffled.  A page without such an element, or a null one,
+    gives no row.
+    """
+    start = rf"(?i)^<{tag}(?=[\s/>])[^>]*>"
+    pieces = F.split(F.col(html), rf"(?i)(?=<{tag}[\s/>])|(?<=</{tag}\s{{0,9}}>)")
+    fresh = F.array().cast("array<string>")
+    state = F.struct(
+        F.lit(0).alias("depth"), F.lit(0).alias("at"), fresh.alias("text"), fresh.alias("found")
+    )
+
+    def step(state: Column, piece: Column) -> Column:
+        opening = F.regexp_extract(piece, start, 0)
+        depth = state["depth"] + F.when(opening != "", 1).otherwise(0)
+        begins = (state["at"] == 0) & has_attribute(opening, name, value)
+        at = F.when(begins, depth).otherwise(state["at"])
+        inside = (at > 0) if nested else (at > 0) & (depth == at)
+        text = F.when(inside, F.concat(state["text"], F.array(piece))).otherwise(state["text"])
+        after = F.greatest(depth - F.when(piece.rlike(rf"(?i)</{tag}\s{{0,9}}>$"), 1).otherwise(0), F.lit(0))
+        ends = (at > 0) & (after < at)
+        return F.struct(
+            after.alias("depth"),
+            F.when(ends, 0).otherwise(at).alias("at"),
+            F.when(ends, fresh).otherwise(text).alias("text"),
+            F.when(ends, F.concat(state["found"], F.array(F.array_join(text, "")))).otherwise(state["found"]).alias("found"),
+        )
+
+    def finish(state: Column) -> Column:
+        return F.when(state["at"] > 0, F.concat(state["found"], F.array(F.array_join(state["text"], "")))).otherwise(state["found"])
+
+    return pages.select("*", F.posexplode(F.aggregate(pieces, state, step, finish)).alias("element_no", out))
+
+
 def html_rows(pages: DataFrame, html: str, row: str, cell: str) -> DataFrame:
     """Rows of an HTML table: adds ``row_no`` and ``cells`` (array of texts).
 
