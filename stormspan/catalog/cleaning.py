@@ -10,7 +10,9 @@ from ..functions.lookups import WATERWAY_OF_SEGMENT, waterway_name
 from ..functions.radar import CITY_BOX
 from ..sources.readers import html_elements as elements_of_html
 from ..sources.readers import html_rows as rows_of_html
+from ..sources.readers import is_product, time_from_name
 from ..sources.readers import text_blocks as blocks_of_text
+from ..sources.writers import feature, point_geometry
 from .registry import query, table
 
 _DIRTY = """dirty AS (SELECT event_id, user_id, date_trunc('hour', ts) AS ts, value,
@@ -251,3 +253,29 @@ def null_rules(spark, folder):
         F.count_if(CITY_BOX.holds("lat", "lon")).alias("in_box"),
     )
     return counted.unpivot([], counted.columns, "rule", "rows")
+
+
+@query("""
+SELECT event_id, 'DAALOT' AS product, date_trunc('second', ts) AS scanned FROM events WHERE event_id % 3 = 0
+""")
+def product_times(spark, folder):
+    """Files of one product by their names, and the times written there; events stand for files."""
+    product = F.when(F.col("event_id") % 3 == 0, "DAALOT").otherwise("N0RLOT")
+    name = F.concat(F.lit("radar/"), product, F.lit("_"), F.date_format("ts", "yyyyMMdd_HHmmss"), F.lit(".gz"))
+    files = table(spark, folder, "events").select("event_id", name.alias("path"))
+    return files.filter(is_product("path", "DAALOT")).select(
+        "event_id", F.lit("DAALOT").alias("product"), time_from_name("path").alias("scanned")
+    )
+
+
+@query("""
+SELECT c_custkey, '{"type":"Feature","geometry":{"type":"Point","coordinates":[' || (c_custkey % 360 - 180) || ','
+  || (c_custkey % 180 - 90) || ']},"properties":{"c_custkey":' || c_custkey || ',"c_mktsegment":"' || c_mktsegment || '"}}' AS feature
+FROM customer
+""")
+def point_features(spark, folder):
+    """Customers as GeoJSON point features, one text per row."""
+    customers = table(spark, folder, "customer").withColumns({
+        "lon": F.col("c_custkey") % 360 - 180, "lat": F.col("c_custkey") % 180 - 90,
+    })
+    return customers.select("c_custkey", feature(point_geometry(), ["c_custkey", "c_mktsegment"]).alias("feature"))

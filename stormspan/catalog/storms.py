@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.thresholds import INCHES, RETURN_PERIODS, HOURS, bands, hours_to_class
+from ..functions.thresholds import INCHES, RETURN_PERIODS, HOURS, bands, hours_to_class, threshold
 from ..operators import series, storms
 from ..operators.bands import windows_in_bands
 from .rain import hourly_cte
@@ -49,6 +49,21 @@ def band_counts(spark, folder):
     return storms.band_counts(_user_series(spark, folder), ["user_id"], "ts", "value", BANDS)
 
 
+@query(" UNION ALL ".join(f"""SELECT '{duration}' AS duration, CAST({n} AS INTEGER) AS n, count(DISTINCT user_id) AS users, count(*) AS readings
+FROM events WHERE value >= {INCHES[duration][i] * SCALE}::DOUBLE""" for duration in ("1-hr", "24-hr") for i, n in enumerate(RETURN_PERIODS)))
+def readings_over_threshold(spark, folder):
+    """Readings that alone reach a named duration's n-year threshold."""
+    named = [(duration, n) for duration in ("1-hr", "24-hr") for n in RETURN_PERIODS]
+    limits = F.array(*[
+        F.struct(F.lit(d).alias("duration"), F.lit(n).alias("n"), F.lit(threshold(d, n) * SCALE).alias("low")) for d, n in named
+    ])
+    spread = table(spark, folder, "events").select("user_id", "value", F.inline(limits))
+    over = F.col("value") >= F.col("low")
+    return spread.groupBy("duration", "n").agg(
+        F.count_distinct(F.when(over, F.col("user_id"))).alias("users"), F.count_if(over).alias("readings")
+    )
+
+
 _TABLE_HOURS = (1, 6, 24)
 _TABLE_LIMITS = """limits AS (SELECT CASE s_suppkey % 3 WHEN 0 THEN 1 WHEN 1 THEN 6 ELSE 24 END AS duration_hrs,
   abs(s_acctbal) / 10 AS low, max(s_suppkey) AS n FROM supplier GROUP BY 1, 2)"""

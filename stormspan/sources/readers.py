@@ -177,30 +177,39 @@ def time_from_name(path: Column | str) -> Column:
     return wall_clock(F.regexp_replace(text, shape, "$1-$2-$3 $4:$5:$6"))
 
 
-def _features(spark: SparkSession, path: str, properties: str, lines: bool) -> DataFrame:
+def _features(spark: SparkSession, path: str, properties: str, lines: bool, start: str | None) -> DataFrame:
     """(pos, f) per GeoJSON feature, coordinates as JSON text.
 
-    ``lines``: one feature per line, as ``write_features`` writes; a file is read
-    by several tasks.  Otherwise a file is one document with a list of features.
+    ``lines``: one feature per line, as ``write_features`` writes; a file is read by several
+    tasks.  Otherwise a file is one document with a list of features, which one task parses,
+    unless ``start`` gives the text every feature begins with, exactly as written, such as
+    ``{"type":"Feature",``: the document is then cut where it occurs, by several tasks, and
+    each piece is parsed by itself.  The text must occur nowhere else; a piece that is no
+    feature ends the job.
     """
     geometry = "struct<type: string, coordinates: string>"
+    one = f"struct<properties: struct<{properties}>, geometry: {geometry}>"
     if lines:
         found = spark.read.schema(f"properties struct<{properties}>, geometry {geometry}").json(path)
         return found.select(F.monotonically_increasing_id().alias("pos"), F.struct("properties", "geometry").alias("f"))
-    one = f"struct<properties: struct<{properties}>, geometry: {geometry}>"
+    if start is not None:
+        cut = spark.read.option("lineSep", start).text(path)
+        head = ~F.col("value").contains('"geometry"')  # what stands before the first feature
+        kept = cut.select(F.monotonically_increasing_id().alias("pos"), "value").filter(~head)
+        return kept.select("pos", F.from_json(F.concat(F.lit(start), "value"), one, {"mode": "FAILFAST"}).alias("f"))
     found = spark.read.schema(f"features array<{one}>").option("multiLine", True).json(path)
     return found.select(F.posexplode("features").alias("pos", "f"))
 
 
-def read_feature_properties(spark: SparkSession, path: str, properties: str, *, lines: bool = False) -> DataFrame:
+def read_feature_properties(spark: SparkSession, path: str, properties: str, *, lines: bool = False, start: str | None = None) -> DataFrame:
     """Properties of every GeoJSON feature; ``properties`` is DDL such as 'id: string'."""
-    return _features(spark, path, properties, lines).select("f.properties.*")
+    return _features(spark, path, properties, lines, start).select("f.properties.*")
 
 
-def read_feature_points(spark: SparkSession, path: str, properties: str, *, lines: bool = False) -> DataFrame:
+def read_feature_points(spark: SparkSession, path: str, properties: str, *, lines: bool = False, start: str | None = None) -> DataFrame:
     """Properties plus ``lat`` and ``lon`` of every GeoJSON point feature."""
     place = F.from_json("f.geometry.coordinates", "array<double>")
-    return _features(spark, path, properties, lines).select(
+    return _features(spark, path, properties, lines, start).select(
         "f.properties.*", F.get(place, F.lit(1)).alias("lat"), F.get(place, F.lit(0)).alias("lon")
     )
 
@@ -222,9 +231,11 @@ def polygon_parts(kind: Column, coordinates: Column) -> Column:
     return F.transform(listed, lambda part: F.transform(part, lambda r: F.transform(r, point)))
 
 
-def read_polygons(spark: SparkSession, path: str, id_field: str = "id", *, lines: bool = False) -> DataFrame:
+def read_polygons(
+    spark: SparkSession, path: str, id_field: str = "id", *, lines: bool = False, start: str | None = None
+) -> DataFrame:
     """(zone, pos, parts) per GeoJSON polygon or multi-polygon, holes included, in file order."""
-    listed = _features(spark, path, f"`{id_field}`: string", lines)
+    listed = _features(spark, path, f"`{id_field}`: string", lines, start)
     parts = polygon_parts(F.col("f.geometry.type"), F.col("f.geometry.coordinates"))
     return listed.select(F.col("f.properties")[id_field].alias("zone"), "pos", parts.alias("parts"))
 

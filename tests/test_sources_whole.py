@@ -1,6 +1,7 @@
 """Files that give nothing, elements chosen in pages, correlations of many columns."""
 
 import gzip
+import json
 import os
 
 import numpy as np
@@ -98,3 +99,33 @@ def test_correlation_matrix_equals_pairwise(spark):
     odd = df.select("v0", F.when(F.col("v1") > 1e6, float("nan")).otherwise(F.col("v1")).alias("v1"))
     clean = df.select("v0", F.when(F.col("v1") > 1e6, None).otherwise(F.col("v1")).alias("v1"))
     assert stats.correlation_matrix(odd, ["v0", "v1"]).first().r == stats.correlation_matrix(clean, ["v0", "v1"]).first().r
+
+
+def test_one_document_of_features_is_read_by_several_tasks(spark, tmp_path):
+    def written(i):
+        shape = {"type": "Polygon", "coordinates": [[[i, 0], [i + 1, 0], [i + 1, 1.5], [i, 0]]]}
+        return {"type": "Feature", "properties": {"id": f"zöne, {i} {{}}]", "size": i}, "geometry": shape}
+
+    path = tmp_path / "zones.json"
+    path.write_text(json.dumps({"type": "FeatureCollection", "name": "zones", "features": [written(i) for i in range(3000)]}, ensure_ascii=False))
+    start = '{"type": "Feature",'
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        split = readers.read_polygons(spark, str(path), start=start)
+        assert split.rdd.getNumPartitions() > 4
+        rows = split.orderBy("pos").collect()
+        sizes = readers.read_feature_properties(spark, str(path), "id: string, size: int", start=start).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    whole = readers.read_polygons(spark, str(path)).orderBy("pos").collect()
+    assert [(r.zone, r.parts) for r in rows] == [(r.zone, r.parts) for r in whole]
+    assert sorted(r.size for r in sizes) == list(range(3000)) and sizes[0].id.startswith("zöne")
+    none = tmp_path / "none.json"
+    none.write_text('{"type": "FeatureCollection", "features": []}')
+    assert readers.read_polygons(spark, str(none), start=start).count() == 0
+    broken = tmp_path / "broken.json"
+    broken.write_text('{"features": [' + start + ' "geometry": {"type": }]}')
+    with pytest.raises(Exception, match="MALFORMED"):
+        readers.read_polygons(spark, str(broken), start=start).collect()
