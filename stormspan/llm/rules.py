@@ -1,15 +1,20 @@
 """Quality rules with risk-controlled cutoffs.
 
 Each rule is a share of a text's words or lines that is high in bad texts.  Per stratum (length
-band) and rule, cutoffs are tried from the mildest to the strictest on labelled texts: a cutoff
-holds while the exact binomial (Clopper-Pearson) bound on the share of good texts it rejects
-stays below the rule's part of the allowed risk.  Trying stops at the first that fails (fixed
-sequence, no price for the number of cutoffs); the confidence is split evenly over strata and
-rules (Bonferroni).  So with probability 1 - DELTA no stratum loses more than RISK of its good
-texts to all rules together, whichever of the cutoffs that hold are taken.  Of those, the one
-that rejects most bad texts is taken, a good one weighing as much as PRICE bad ones; ties go to
-the mildest, and a rule that is worth nothing gets none.  A stratum with too few labels gets no
-cutoff: it loses nothing.
+band) a joint cutoff, one per rule that is of use, is proposed and then certified as a whole:
+
+1. One good labelled text in TUNE, and all bad ones, propose.  A rule's cutoff is the strictest
+   that its share of the risk allows on these good texts, moved away by MARGIN.  Rules are then
+   taken greedily while the next one rejects bad texts, missed by those before, worth more than
+   the good ones it costs and one more, a good one weighing PRICE; ties go to the order of RULES.
+2. The other good labelled texts, which had no say in the proposal, certify: a stratum's cutoffs
+   hold if the exact binomial (Clopper-Pearson) bound on the share of good texts that any of its
+   rules rejects is at most RISK.  There is one hypothesis per stratum, and Holm's procedure
+   over the strata corrects for their number.
+
+So with probability 1 - DELTA no stratum loses more than RISK of its good texts to all rules
+together.  A stratum with too few labels (149 to 217 good ones that certify, at the defaults
+and without a loss) gets no cutoff: it loses nothing.
 """
 
 from __future__ import annotations
@@ -17,6 +22,7 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +34,10 @@ from .shared import held_out, spill
 RISK = 0.02
 DELTA = 0.05
 PRICE = 10
+#: One good labelled text in so many proposes cutoffs; the others certify them.
+TUNE = 5
+#: A proposed cutoff lies this much, and one step, above what the proposing good texts need.
+MARGIN = 0.1
 MIN_WORDS = 50
 #: Upper ends of the length bands in words; the last band is open.
 BANDS = (100, 300, 1000)
@@ -123,10 +133,56 @@ def at_most(k: int, n: int, p: float) -> float:
     return min(1.0, total)
 
 
-def certified(rejected: int, good: int, risk: float, delta: float) -> bool:
-    """The upper Clopper-Pearson bound at confidence 1 - delta is at most ``risk``.  Above the
-    allowed count no tail can be small enough, which also keeps the sum descending."""
-    return good > 0 and rejected < good * risk and at_most(rejected, good, risk) <= delta
+def p_value(rejected: int, good: int, risk: float) -> float:
+    """Of the hypothesis that more than ``risk`` of the good texts are rejected, exactly.  From
+    the allowed count on it is not worth telling from 1, which also keeps the sum descending."""
+    return at_most(rejected, good, risk) if good > 0 and rejected < good * risk else 1.0
+
+
+def holm(p: dict[int, float], delta: float) -> set[int]:
+    """The hypotheses that Holm's step-down procedure rejects at level ``delta``."""
+    held = set()
+    for place, (name, value) in enumerate(sorted(p.items(), key=lambda item: (item[1], item[0]))):
+        if value > delta / (len(p) - place):
+            break
+        held.add(name)
+    return held
+
+
+def propose(steps: dict[tuple[int, int], int], risk: float) -> int | None:
+    """A rule's cutoff in steps from {(step, good): texts}; None without good texts."""
+    total = sum(n for (_, good), n in steps.items() if good)
+    if not total:
+        return None
+    allowed, lost, cutoff = int(total * risk), 0, STEPS
+    while cutoff > 0 and lost + steps.get((cutoff, 1), 0) <= allowed:  # rejected: step > cutoff
+        lost += steps.get((cutoff, 1), 0)
+        cutoff -= 1
+    return math.ceil(cutoff * (1 + MARGIN)) + 1
+
+
+def useful(patterns: dict[tuple[int, int], int], rules: int) -> int:
+    """The rules worth taking, as bits, from {(bits of the rules a text is over, good): texts}."""
+    taken = 0
+    while True:
+        worth = []
+        for k in range(rules):
+            fresh = {kind: sum(n for (bits, good), n in patterns.items() if good == kind and bits >> k & 1 and not bits & taken) for kind in (0, 1)}
+            worth.append((fresh[0] - PRICE * (fresh[1] + 1), -k))
+        best, k = max(worth)
+        if best <= 0:
+            return taken
+        taken |= 1 << -k
+
+
+def over(cutoffs: dict[tuple[int, str], float]) -> Column:
+    """True where a rule's rate is over its cutoff in the text's band."""
+    found = F.lit(False)
+    values = rates()
+    for (stratum, rule), cutoff in sorted(cutoffs.items()):
+        steps = F.least(F.ceil(values[rule] / STEP), F.lit(STEPS))
+        found = found | ((band() == stratum) & (steps > round(cutoff / STEP)))
+    return found
 
 
 def choose(
@@ -136,43 +192,49 @@ def choose(
 
     From labels outside the held-out fold; a key is good if any of its labels is 1, and bad if
     all are 0.  Base rules come first: texts they fail do not count here.  Only counts leave
-    the executors: bands x rules x steps x 2 of them at most.
+    the executors: bands x rules x steps x 2 of them at most, then bands x sets of rules x 3.
     """
     known = labels.filter(F.col(label).isNotNull() & ~held_out(F.col(key)))
     known = known.groupBy(F.col(key).alias("known_key")).agg(F.max((F.col(label) == 1).cast("int")).alias("good"))
+    proposes = F.crc32(F.concat(F.lit("tune"), F.col("known_key").cast("string"))) % TUNE == 0
+    known = known.withColumn("proposes", (F.col("good") == 0) | proposes)
     own = table.filter(~failed()).join(known, F.col(key) == F.col("known_key"))
     rules = F.array(*(F.struct(F.lit(n).alias("rule"), F.least(F.ceil(r / STEP), F.lit(STEPS)).alias("step")) for n, r in rates().items()))
     counted = (
-        own.select("good", band().alias("band"), F.explode(rules).alias("r"))
+        own.filter("proposes")
+        .select("good", band().alias("band"), F.explode(rules).alias("r"))
         .groupBy("band", "r.rule", "r.step", "good")
         .count()
     )
     at: dict[tuple[int, str], dict[tuple[int, int], int]] = defaultdict(dict)
     for row in counted.collect():
         at[row["band"], row["rule"]][row["step"], row["good"]] = row["count"]
-    cutoffs = {}
-    tests = (len(BANDS) + 1) * len(RULES)
-    for (stratum, rule), steps in at.items():
-        total = sum(n for (_, good), n in steps.items() if good)
-        lost = gained = best = 0
-        for step in range(STEPS, -1, -1):  # rejected: ceil(rate / STEP) > step
-            if not certified(lost, total, risk / len(RULES), delta / tests):
-                break
-            if gained - PRICE * lost > best:
-                best, cutoffs[stratum, rule] = gained - PRICE * lost, step * STEP
-            lost += steps.get((step, 1), 0)
-            gained += steps.get((step, 0), 0)
-    return cutoffs
+    found = {place: propose(steps, risk / (2 * len(RULES))) for place, steps in at.items()}
+    cutoffs = {place: step * STEP for place, step in found.items() if step is not None}
+    alone = [{place: cutoff for place, cutoff in cutoffs.items() if place[1] == rule} for rule in RULES]
+    bits = reduce(Column.__add__, (F.when(over(own_cutoffs), 1 << k).otherwise(0) for k, own_cutoffs in enumerate(alone)))
+    judged = own.select(band().alias("band"), bits.alias("bits"), "good", "proposes").groupBy("band", "bits", "good", "proposes").count()
+    patterns: dict[tuple[int, bool], dict[tuple[int, int], int]] = defaultdict(dict)
+    for row in judged.collect():
+        patterns[row["band"], row["proposes"]][row["bits"], row["good"]] = row["count"]
+    taken = {stratum: useful(patterns[stratum, True], len(RULES)) for stratum in {b for b, _ in cutoffs}}
+    tests = {}
+    for stratum, rules_taken in taken.items():
+        if rules_taken:
+            certifying = patterns[stratum, False]
+            lost = sum(n for (over_bits, _), n in certifying.items() if over_bits & rules_taken)
+            tests[stratum] = p_value(lost, sum(certifying.values()), risk)
+    held = holm(tests, delta)
+    return {
+        (stratum, rule): cutoff
+        for (stratum, rule), cutoff in cutoffs.items()
+        if stratum in held and taken[stratum] >> RULES.index(rule) & 1
+    }
 
 
 def verdict(table: DataFrame, cutoffs: dict[tuple[int, str], float]) -> DataFrame:
     """``table`` with base_failed and kept."""
-    over = F.lit(False)
-    values = rates()
-    for (stratum, rule), cutoff in sorted(cutoffs.items()):
-        steps = F.least(F.ceil(values[rule] / STEP), F.lit(STEPS))
-        over = over | ((band() == stratum) & (steps > round(cutoff / STEP)))
-    return table.withColumn("base_failed", failed()).withColumn("kept", ~failed() & ~over)
+    return table.withColumn("base_failed", failed()).withColumn("kept", ~failed() & ~over(cutoffs))
 
 
 def apply(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
