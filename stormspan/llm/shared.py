@@ -15,15 +15,23 @@ from pyspark.sql import functions as F
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder under ``spark.checkpoint.dir``.  Where that is unset, as in tests, a
-    local temporary folder takes its place."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    """A new folder under ``spark.checkpoint.dir``.  Where that is unset, the session's
+    checkpoint folder or, in a single process as in tests, a local temporary one takes its
+    place; on a cluster, whose executors would each write to a folder of their own, it is an
+    error."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        base = spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="stormspan-")
-        base = base if ":" in base else f"file://{base}"
+        if not single_process(spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="stormspan-")
+        base = f"file://{base}"
     return f"{base.rstrip('/')}/stormspan-{uuid.uuid4().hex}"
 
 
+def single_process(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
 def spill(frame: DataFrame) -> DataFrame:
     """Write a frame to a scratch table and read it again: one computation, short lineage,
     and nothing to lose with an executor."""

@@ -159,3 +159,20 @@ def test_repeated_ids_of_vectors(spark):
     frame = spark.createDataFrame([(1, [1.0, 0.0]), (1, [1.0, 0.0]), (None, [1.0, 0.0])], "vec_id long, embedding array<float>")
     rows = embeddings.near_duplicates(frame).collect()
     assert [(r["n_links"], r["component_id"]) for r in rows] == [(2, 1)] * 3
+
+
+def test_scratch_folders_are_shared_on_a_cluster(spark):
+    from types import SimpleNamespace
+
+    from stormspan.llm import shared
+
+    def session(master, given=None, checkpoints=None):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: checkpoints)
+        return SimpleNamespace(conf={"spark.checkpoint.dir": given} if given else {}, sparkContext=context)
+
+    assert shared.scratch(session("yarn", "hdfs:///shared/")).startswith("hdfs:///shared/stormspan-")
+    assert shared.scratch(session("yarn", None, "hdfs:///kept/x")).startswith("hdfs:///kept/x/stormspan-")
+    assert shared.scratch(session("local[4]")).startswith("file:///")
+    for master in ("yarn", "local-cluster[2,1,1024]", "k8s://host", "spark://host"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared.scratch(session(master))
