@@ -214,14 +214,91 @@ def test_classifier_of_odd_rows(spark):
     assert passages.score(frame.limit(0), passages.fit(frame.limit(0), none)).count() == 0
 
 
-def test_language_probabilities_sum_to_one():
-    grams, many = np.unique(language.ngrams(["the cat sat on the mat", "a hat that the rat had"])[0], return_counts=True)
-    model = language.KneserNey(grams, many)
-    letters = np.unique(grams & np.uint64(0xFFFF))
-    for word in (" th", "zzz", "t t", "  q"):
-        history = np.uint64(sum(ord(c) << 16 * (3 - k) for k, c in enumerate(word)))
+def modelled(spark, texts, rare=0.0):
+    frame = spark.createDataFrame([(0, t, "x") for t in texts], "doc_id int, text string, lang string")
+    assert zlib.crc32(b"0") % 4 != 2
+    return language.fit(frame, rare=rare).models["x"]
+
+
+def plain_model(texts):
+    """Kneser-Ney from the definition, over strings: probability of the last character of a string."""
+    counts = Counter()
+    for text in texts:
+        signs = "   " + re.sub(r"[^a-z]+", " ", text).lstrip() + " "
+        signs = re.sub(r"(?<=\S) +$", " ", signs)
+        counts.update(signs[k : k + 4] for k in range(len(signs) - 3))
+    levels = {4: counts}
+    for order in (3, 2, 1):
+        levels[order] = Counter(g[1:] for g in levels[order + 1])
+
+    def prob(gram):
+        order = len(gram)
+        if not order:
+            return 1 / (len(levels[1]) + 1)
+        once, twice = (sum(n == k for n in levels[order].values()) for k in (1, 2))
+        cut = min(0.95, max(0.05, once / max(1, once + 2 * twice)))
+        same = {g: n for g, n in levels[order].items() if g[:-1] == gram[:-1]}
+        if not same:
+            return prob(gram[1:])
+        total = sum(same.values())
+        return max(same.get(gram, 0) - cut, 0) / total + cut * len(same) / total * prob(gram[1:])
+
+    return prob
+
+
+def as_key(gram):
+    return sum(ord(c) << 16 * (len(gram) - 1 - k) for k, c in enumerate(gram))
+
+
+SENTENCES = ["the cat sat on the mat", "a hat that the rat had", "the end  of, the, tale", "that that is is"]
+
+
+def test_language_probabilities_equal_plain_ones(spark):
+    model, plain = modelled(spark, SENTENCES), plain_model(SENTENCES)
+    rng = random.Random(2)
+    grams = {"".join(rng.choice("  aehtsxq") for _ in range(4)) for _ in range(300)}
+    grams |= {"   t", " the", "hat ", "that", "zzzz"}
+    got = model.score(np.array([as_key(g) for g in sorted(grams)], np.uint64))
+    assert got == pytest.approx([plain(g) for g in sorted(grams)], rel=1e-6)
+
+
+@pytest.mark.parametrize("rare", [0.0, 0.03, 0.06, 2.0])
+def test_language_probabilities_sum_to_one(spark, rare):
+    model, whole = modelled(spark, SENTENCES, rare), modelled(spark, SENTENCES)
+    letters = np.unique([ord(c) for c in " ".join(SENTENCES) if c == " " or c.isalpha()]).astype(np.uint64)
+    for word in (" th", "zzz", "t t", "  q", "hat"):
+        history = np.uint64(as_key(word + "\0"))
         seen = model.score(history | letters).sum()
         assert seen + model.score(np.array([history | np.uint64(ord("@"))]))[0] == pytest.approx(1.0)
+    for order in range(1, 5):  # what stays has the probability of the whole model
+        kept, all_ = model.prob[order], dict(zip(*map(list, whole.prob[order])))
+        assert [all_[h] for h in kept[0]] == pytest.approx(list(kept[1]))
+    assert (len(model.prob[4][0]) < len(whole.prob[4][0])) == (rare > 0)
+
+
+def test_language_discounts_do_not_change_with_pruning(spark):
+    """Ten times the text: every n-gram is as frequent, the counts of counts are those of the whole text."""
+    rng = random.Random(9)
+    texts = [" ".join("".join(rng.choice("aeionst") for _ in range(rng.randrange(2, 7))) for _ in range(30)) for _ in range(40)]
+    few, many = modelled(spark, texts[:4], 1e-3), modelled(spark, texts, 1e-3)
+    plain = {4: plain_model(texts[:4]), 40: plain_model(texts)}
+    for model, size in ((few, 4), (many, 40)):
+        kept = [g for g in (" aei", "nost", "seat", " ton") if language.mix(np.array([as_key(g)], np.uint64))[0] in model.prob[4][0]]
+        got = model.score(np.array([as_key(g) for g in kept], np.uint64))
+        assert got == pytest.approx([plain[size](g) for g in kept], rel=1e-6)
+
+
+def test_long_texts_go_in_pieces(monkeypatch):
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("ab  .é") for _ in range(n)) for n in (0, 1, 3, 40, 64, 65, 128, 500, 7, 31, 33)] + [" " * 200, "." * 64]
+    want = [np.sort(language.ngrams([t])[0]) for t in texts]
+    monkeypatch.setattr(language, "CHUNK", 32)
+    found = [[] for _ in texts]
+    for grams, of in language.pieces(texts):
+        for k in set(of.tolist()):
+            found[k].append(grams[of == k])
+    for got, plain in zip(found, want):
+        assert np.array_equal(np.sort(np.concatenate([np.empty(0, np.uint64), *got])), plain)
 
 
 def test_language_held_out(spark, folder):
