@@ -1,8 +1,10 @@
 """Personal data in texts: base patterns, weak supervision and a span classifier.
 
 All of it is DataFrame expressions.  Base spans are matched by pattern and always count.
-Further candidates (numbers and handles in wider shapes) are voted on by labelers of three
-kinds: shape patterns, gazetteers and context words.  Expectation-maximisation over the counts
+Further candidates (numbers in wider shapes, handles, and long strings of letters and digits as
+access tokens are) are voted on by labelers of three kinds: shape patterns, gazetteers and
+context words.  Context is what stands in the BEFORE characters ahead of a candidate, or since
+the candidate before it.  Expectation-maximisation over the counts
 of vote combinations estimates each labeler's reliability and each combination's probability; a
 logistic span classifier is then trained on these soft labels, over features of the span that
 the labelers do not see alone.  Both fits work on counts per combination, of which there are at
@@ -21,7 +23,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import spill
+from .shared import free_name, spill
 
 KINDS = ("email", "ip", "card", "phone")
 #: Equal to  [A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+  from the start of a run.
@@ -33,15 +35,24 @@ IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 #: Equal to  [0-9]([\x20-]?[0-9])+.
 CARD = r"[0-9](?=[\x20-]?[0-9])[0-9\x20-]*?(?<=[0-9])(?![\x20-]?[0-9])"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-#: Wider shapes, one after another: a number of seven signs or more, or a handle.
-WIDE = r"(?<![A-Za-z0-9])(?:[+(]?[0-9][0-9().\x20-]{5,}[0-9]|@[A-Za-z0-9_]{3,30})(?![A-Za-z0-9])"
+#: Wider shapes, one after another: a string of 16 signs or more with letters and digits, a number
+#: of seven signs or more, or a handle.
+WIDE = (
+    r"(?:(?<![A-Za-z0-9_-])(?=[A-Za-z0-9_-]{16})(?=[A-Za-z_-]*+[0-9])(?=[0-9_-]*+[A-Za-z])[A-Za-z0-9_-]++"
+    r"|(?<![A-Za-z0-9])(?:[+(]?[0-9][0-9().\x20-]{5,}[0-9]|@[A-Za-z0-9_]{3,30})(?![A-Za-z0-9]))"
+)
 #: Signs before a candidate that the context labelers read.
 BEFORE = 40
 
 PHONE_WORDS = r"phone|tel|call|mobile|cell|fax|whatsapp|telefon|appel|llam"
 CARD_WORDS = r"card|visa|mastercard|amex|iban|account|konto|carte|tarjeta|cuenta"
 ID_WORDS = r"ssn|social security|passport|licen[cs]e no|tax id|personal|ausweis|pasaporte|dni|name is|born"
-OTHER_WORDS = r"order|invoice|version|isbn|total|page|line|figure|table|http|commit|build"
+SECRET_WORDS = r"token|secret|passw(?:or)?d|pwd|api[_\x20-]?key|access[_\x20-]?key|private[_\x20-]?key|credentials?|bearer|passwort|contrase\u00f1a"
+HANDLE_WORDS = r"follow|twitter|instagram|telegram|github|contact|user(?:name)?|profile|message"
+OTHER_WORDS = r"order|invoice|version|isbn|total|page|line|figure|table|http|commit|build|revision|checksum|sha1|sha256|md5"
+CUES = "|".join((PHONE_WORDS, CARD_WORDS, ID_WORDS))
+#: What stands behind an at sign in source code and style sheets, as a gazetteer.
+ANNOTATIONS = r"^@(?:param|returns?|throws|override|deprecated|author|since|see|media|import|charset|keyframes|property|staticmethod|classmethod|test)$"
 #: First digits of card issuers, and dialling prefixes, as gazetteers.
 ISSUERS = r"^(?:4|5[1-5]|2[2-7]|3[47]|6(?:011|5))"
 DIALLING = r"^(?:\+|00)?(?:1|33|34|44|49|39|41|43|31|32)"
@@ -52,9 +63,12 @@ RUN = 128
 FAR = 2**31 - 1
 THRESHOLD = 0.9
 ROUNDS = 50
-#: Votes are -1, 0 or 1 of six labelers; features take 5 * 4 * 2 * 2 * 2 values.
-LABELERS = ("shape", "checksum", "issuer", "dialling", "cue", "counter")
-COMBINATIONS = 3 ** len(LABELERS) * 160
+#: Votes are -1, 0 or 1 of eight labelers; features take 5 * 4 * 2 * 2 * 2 * 4 values.
+LABELERS = ("shape", "checksum", "issuer", "dialling", "mixture", "annotation", "cue", "counter")
+COMBINATIONS = 3 ** len(LABELERS) * 640
+#: A labeler's chance of a right vote stays between these: one worse than chance is found out,
+#: and none is trusted blindly.
+CHANCE = (0.2, 0.95)
 
 
 def digits(value: Column) -> Column:
@@ -164,6 +178,7 @@ def ordered(spans: Column) -> Column:
 def with_candidates(docs: DataFrame, text: str, spans: str, wide: str) -> DataFrame:
     """``docs`` with base spans and the wide candidates that touch none of them."""
     whole = F.coalesce(F.col(text), F.lit(""))
+    joined, ahead, behind = (free_name(docs, name) for name in ("__every", "__ends", "__starts"))
     out = docs.withColumn(spans, base(whole))
     worth = whole.rlike("[0-9]") | F.contains(whole, F.lit("@"))
     found = matches(whole, WIDE, worth, "other", BEFORE)
@@ -171,29 +186,51 @@ def with_candidates(docs: DataFrame, text: str, spans: str, wide: str) -> DataFr
     every = ordered(F.concat(spans, wide))
     ends = F.transform(every, lambda s: F.when(s["kind"] == "other", 0).otherwise(s["end"]))
     starts = F.transform(F.reverse(every), lambda s: F.when(s["kind"] == "other", FAR).otherwise(s["start"]))
-    out = out.withColumn("__every", every).withColumn("__ends", before_each(ends, lambda a, b: F.greatest(a, b), 0))
-    out = out.withColumn("__starts", F.reverse(before_each(starts, lambda a, b: F.least(a, b), FAR)))
-    zipped = F.arrays_zip(F.col("__every").alias("s"), F.col("__ends").alias("a"), F.col("__starts").alias("b"))
+    out = out.withColumn(joined, every).withColumn(ahead, before_each(ends, lambda a, b: F.greatest(a, b), 0))
+    out = out.withColumn(behind, F.reverse(before_each(starts, lambda a, b: F.least(a, b), FAR)))
+    zipped = F.arrays_zip(F.col(joined).alias("s"), F.col(ahead).alias("a"), F.col(behind).alias("b"))
     apart = F.filter(zipped, lambda z: (z["s"]["kind"] == "other") & (z["a"] <= z["s"]["start"]) & (z["b"] >= z["s"]["end"]))
-    return out.withColumn(wide, F.transform(apart, lambda z: z["s"])).drop("__every", "__ends", "__starts")
+    return out.withColumn(wide, F.transform(apart, lambda z: z["s"])).drop(joined, ahead, behind)
 
 
 def sides(yes: Column, no: Column) -> Column:
     return F.when(yes, 1).when(no, -1).otherwise(0)
 
 
+def form(value: Column) -> Column:
+    """0: a number, 1: a handle, 2: a string of letters and digits."""
+    return F.when(value.startswith("@"), 1).when(value.rlike("[A-Za-z]"), 2).otherwise(0)
+
+
+def mixed(value: Column) -> Column:
+    """Letters and digits change too often for words with a number."""
+    return value.rlike("(?:[A-Za-z]+[0-9]+){4}") | value.rlike("(?:[0-9]+[A-Za-z]+){4}")
+
+
+def cued(value: Column, lead: Column) -> Column:
+    """The words ahead name the candidate's kind; between them and a token stand only signs."""
+    kind = form(value)
+    return (
+        F.when(kind == 0, lead.rlike(rf"(?:{CUES})[^0-9]*$"))
+        .when(kind == 1, lead.rlike(rf"(?:{CUES}|{HANDLE_WORDS})[^0-9]*$"))
+        .otherwise(lead.rlike(rf"(?:{SECRET_WORDS}|{ID_WORDS})(?:\x20is)?[^A-Za-z0-9]{{0,8}}$"))
+    )
+
+
 def votes(span: Column) -> dict[str, Column]:
     """Of each labeler: 1 personal, -1 not, 0 abstains."""
     value, number, lead = span["value"], digits(span["value"]), F.lower(span["before"])
-    size = F.length(number)
+    size, kind = F.length(number), form(span["value"])
+    plain = kind == 0
     grouped_ = value.rlike(r"^[+(]?[0-9]{1,4}[)\x20.-]+[0-9]{2,4}[\x20.-][0-9]{2,4}(?:[\x20.-][0-9]{2,4})*$")
-    cue = lead.rlike(rf"(?:{PHONE_WORDS}|{CARD_WORDS}|{ID_WORDS})[^0-9]*$")
     return {
-        "shape": sides(grouped_ & size.between(7, 19), (size < 7) & ~value.startswith("@") | (size > 19)),
-        "checksum": F.when(size.between(12, 19), F.when(luhn(number), 1).otherwise(-1)).otherwise(0),
-        "issuer": F.when(size.between(13, 19), F.when(number.rlike(ISSUERS), 1).otherwise(-1)).otherwise(0),
-        "dialling": F.when(size.between(9, 13) & value.rlike(DIALLING), 1).otherwise(0),
-        "cue": F.when(cue, 1).otherwise(0),
+        "shape": sides(plain & grouped_ & size.between(7, 19), plain & ((size < 7) | (size > 19))),
+        "checksum": F.when(plain & size.between(12, 19), F.when(luhn(number), 1).otherwise(-1)).otherwise(0),
+        "issuer": F.when(plain & size.between(13, 19), F.when(number.rlike(ISSUERS), 1).otherwise(-1)).otherwise(0),
+        "dialling": F.when(plain & size.between(9, 13) & value.rlike(DIALLING), 1).otherwise(0),
+        "mixture": F.when(kind == 2, F.when(mixed(value), 1).otherwise(-1)).otherwise(0),
+        "annotation": F.when((kind == 1) & F.lower(value).rlike(ANNOTATIONS), -1).otherwise(0),
+        "cue": F.when(cued(value, lead), 1).when(kind > 0, -1).otherwise(0),
         "counter": F.when(lead.rlike(rf"(?:{OTHER_WORDS})[^0-9]*$"), -1).otherwise(0),
     }
 
@@ -201,40 +238,46 @@ def votes(span: Column) -> dict[str, Column]:
 def features(span: Column) -> dict[str, Column]:
     """Small integers; the classifier takes each value as an indicator."""
     value, lead = span["value"], span["before"]
-    size = F.length(digits(value))
+    size, kind = F.length(digits(value)), form(span["value"])
     return {
         "length": F.when(size < 7, 0).when(size < 9, 1).when(size < 12, 2).when(size < 16, 3).otherwise(4),
-        "breaks": F.least(F.length(F.regexp_replace(value, r"[0-9+]", "")), F.lit(3)),
+        "breaks": F.when(kind == 0, F.least(F.length(F.regexp_replace(value, r"[0-9+]", "")), F.lit(3))).otherwise(0),
         "plus": value.startswith("+").cast("int"),
         "after_word": lead.rlike(r"[A-Za-z]\x20$").cast("int"),
-        "after_cue": lead.rlike(rf"(?i)(?:{PHONE_WORDS}|{CARD_WORDS}|{ID_WORDS})[^0-9]*$").cast("int"),
+        "after_cue": cued(value, F.lower(lead)).cast("int"),
+        "form": F.when(kind == 2, F.when(mixed(value), 3).otherwise(2)).otherwise(kind),
     }
 
 
-SIZES = {"length": 5, "breaks": 4, "plus": 2, "after_word": 2, "after_cue": 2}
+SIZES = {"length": 5, "breaks": 4, "plus": 2, "after_word": 2, "after_cue": 2, "form": 4}
 
 
 def agreement(counts: dict[tuple[int, ...], int]) -> dict[tuple[int, ...], float]:
     """Expectation-maximisation over vote combinations: the probability of each that the span is
     personal.  A labeler has one chance of a right vote per class, where it votes at all; all
-    start as better than chance, and a prior of one vote each way keeps them inside (0, 1)."""
+    start as better than chance, and a prior of one vote each way keeps them inside (0, 1).  What
+    follows a combination's votes is its form; the share of personal spans is one per form, so
+    that many tokens say nothing about numbers."""
     right = [[0.7, 0.7] for _ in LABELERS]  # where personal, where not
-    prior, out = 0.5, {v: 0.5 for v in counts}
+    forms = {v[len(LABELERS) :] for v in counts}
+    prior, out = dict.fromkeys(forms, 0.5), {v: 0.5 for v in counts}
     for _ in range(ROUNDS):
         for vote in counts:
-            yes, no = math.log(prior), math.log(1 - prior)
-            for k, v in enumerate(vote):
+            share = prior[vote[len(LABELERS) :]]
+            yes, no = math.log(share), math.log(1 - share)
+            for k, v in enumerate(vote[: len(LABELERS)]):
                 if v:
                     yes += math.log(right[k][0] if v > 0 else 1 - right[k][0])
                     no += math.log(right[k][1] if v < 0 else 1 - right[k][1])
             out[vote] = 1 / (1 + math.exp(min(50, max(-50, no - yes))))
-        total = sum(counts.values())
-        prior = (sum(n * out[v] for v, n in counts.items()) + 1) / (total + 2)
+        for form_ in forms:
+            own = [(n, out[v]) for v, n in counts.items() if v[len(LABELERS) :] == form_]
+            prior[form_] = (sum(n * p for n, p in own) + 1) / (sum(n for n, _ in own) + 2)
         for k in range(len(LABELERS)):
             cast = [(v[k], n, out[v]) for v, n in counts.items() if v[k]]
             hits = sum(n * p for v, n, p in cast if v > 0), sum(n * (1 - p) for v, n, p in cast if v < 0)
             sums = sum(n * p for _, n, p in cast), sum(n * (1 - p) for _, n, p in cast)
-            right[k] = [min(0.95, max(0.55, (h + 0.7) / (s + 1))) for h, s in zip(hits, sums)]
+            right[k] = [min(CHANCE[1], max(CHANCE[0], (h + 0.7) / (s + 1))) for h, s in zip(hits, sums)]
     return out
 
 
@@ -263,14 +306,17 @@ def fit(table: DataFrame, wide: str) -> list[float]:
     names = [f"v_{n}" for n in LABELERS] + [f"f_{n}" for n in SIZES]
     rows = spans.select(*columns).groupBy(*names).count().collect()  # COMBINATIONS rows at most
     seen: dict[tuple[int, ...], int] = {}
+
+    def judged(row) -> tuple[int, ...]:
+        return (*row[: len(LABELERS)], min(row["f_form"], 2))
+
     for row in rows:
-        vote = tuple(row[: len(LABELERS)])
-        seen[vote] = seen.get(vote, 0) + row["count"]
+        seen[judged(row)] = seen.get(judged(row), 0) + row["count"]
     if not seen:
         return []
     likely = agreement(seen)
     # Combinations on which nobody votes teach nothing.
-    return logistic([(tuple(r[len(LABELERS) : -1]), float(r["count"]), likely[tuple(r[: len(LABELERS)])]) for r in rows if any(r[: len(LABELERS)])])
+    return logistic([(tuple(r[len(LABELERS) : -1]), float(r["count"]), likely[judged(r)]) for r in rows if any(r[: len(LABELERS)])])
 
 
 def added(wide: Column, weights: list[float]) -> Column:
@@ -364,7 +410,7 @@ def mask(docs: DataFrame, text: str = "text") -> DataFrame:
     Overlapping spans are replaced as one.  Null texts stay null; texts without spans stay as
     they are.  Row count, order of columns and all other columns are kept.
     """
-    spans, wide, ends, cut = "__spans", "__wide", "__ends", "__cut"
+    spans, wide, ends, cut = (free_name(docs, name) for name in ("__spans", "__wide", "__furthest", "__cut"))
     table = with_candidates(docs, text, spans, wide)
     weights = fit(table.select(wide), wide)
     table = table.withColumn(spans, ordered(F.concat(spans, added(F.col(wide), weights))))

@@ -56,7 +56,7 @@ def op7_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
 
 def op8_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     found = personal.find(read(spark, folder, "documents"))
-    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_other")
 
 
 def op9_packing(spark: SparkSession, folder: str) -> DataFrame:

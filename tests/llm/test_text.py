@@ -404,6 +404,54 @@ def test_added_spans_and_masks(spark):
     assert personal.find(frame.limit(0).drop("spans")).count() == 0
 
 
+def test_secrets_are_added_and_names_of_files_are_not(spark):
+    """Planted tokens, handles and look-alikes: precision and recall of the added spans."""
+    rng = random.Random(8)
+    token = lambda: "".join(rng.choice("0123456789abcdef") for _ in range(40))
+    leads = ["token = \"", "my secret: ", "password is ", "Bearer ", "api_key=", "access-key: '"]
+    good = [f"é und {rng.choice(leads)}{token()}\" so on" for _ in range(80)]
+    bad = [f"see chapter-{k}-of-the-long-book and commit {token()} there" for k in range(60)]
+    bad += [f"in the file quarterly_report_final_{k} we @param said" for k in range(60)]
+    frame = spark.createDataFrame(list(enumerate(good + bad)), "doc_id int, text string")
+    rows = {r["doc_id"]: r for r in personal.find(frame).collect()}
+    caught = [rows[k]["n_other"] for k in range(len(good))]
+    wrong = [rows[k]["n_other"] for k in range(len(good), len(good + bad))]
+    assert np.mean([n == 1 for n in caught]) >= 0.95 and sum(wrong) <= 0.05 * sum(caught)
+    for k in range(len(good)):
+        for start, end in (map(int, s.split(":")[1:]) for s in rows[k]["spans"].split(",") if s.startswith("other")):
+            assert re.fullmatch("[0-9a-f]{40}", good[k][start:end])
+
+
+def test_tokens_do_not_vouch_for_numbers(spark):
+    """Many tokens beside numbers that fail their check digit: the numbers stay."""
+    rng = random.Random(12)
+    texts = [f'x token = "{rng.getrandbits(160):040x}" y' for _ in range(100)]
+    numbers = [str(rng.randrange(10**15, 10**16)) for _ in range(80)]
+    texts += [f"the {n} of" for n in numbers if not luhn(n)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = [r["n_other"] for r in personal.find(frame).orderBy("doc_id").collect()]
+    assert sum(got[:100]) >= 97 and sum(got[100:]) == 0
+
+
+def test_masking_keeps_columns_of_any_name(spark):
+    frame = spark.createDataFrame([("a@b.cd", 1, 2, 3, 4)], "text string, __spans int, __wide int, __ends int, __every int")
+    assert tuple(personal.mask(frame).first()) == ("[EMAIL]", 1, 2, 3, 4)
+
+
+def test_agreement_finds_a_labeler_worse_than_chance():
+    rng = random.Random(1)
+    counts = {}
+    for _ in range(5000):
+        truth = rng.random() < 0.5
+        vote = [0] * len(personal.LABELERS)
+        for k, right in enumerate((0.9, 0.9, 0.9, 0.25)):
+            vote[k] = (1 if truth else -1) * (1 if rng.random() < right else -1)
+        counts[tuple(vote)] = counts.get(tuple(vote), 0) + 1
+    likely = personal.agreement(counts)
+    pad = (0,) * (len(personal.LABELERS) - 4)
+    assert likely[(1, 1, -1, -1, *pad)] > likely[(1, 1, -1, 1, *pad)] > 0.5
+
+
 def test_agreement_finds_the_unreliable_labeler():
     rng = random.Random(0)
     counts = {}
