@@ -5,7 +5,9 @@ that the markup itself names are not lines.  Pages are ordered by host and URL p
 paired with its neighbours before and behind on the same host.  The two lists are aligned by
 longest common subsequence, and the shared lines, the site's template, are deleted from both.
 Lines inside an article or main element are the page's own by its markup and are not deleted,
-so that mirrored articles and quoted passages stay.
+so that mirrored articles and quoted passages stay.  Without such an element, two pages that are
+equal or nearly so say nothing about a template: the pair deletes nothing, and the next of the
+NEIGHBOURS nearest different pages takes its place.  Equal pages in a row count as one.
 
 Only hashes of lines are shuffled for the pairing.  Pages are dealt out by ranges of (host,
 path), so a large host is spread over tasks; the pairs across the edges of ranges are made from
@@ -16,6 +18,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import deque
 from collections.abc import Iterator
 from urllib.parse import urlsplit
 
@@ -43,12 +46,21 @@ NAMED = re.compile(
     r"subscribe|complementary|contentinfo|toolbar|widget)(?:$|[\s_-])",
     re.I,
 )
+#: Those that are no part of an article inside of it either.
+NAMED_INSIDE = re.compile(
+    r"(?:^|[\s_-])(?:ads?|advert\w*|comments?|disqus|newsletter|promo\w*|replies|signup|sponsor\w*|subscribe)(?:$|[\s_-])", re.I
+)
 #: Headers inside an article hold its title.
 IN_ARTICLE = {"header"}
 OWN = {"article", "main"}
 SPACE = re.compile(r"\s+")
 #: Lists whose table would have more than the square of this are halved first.
 TABLE = 1000
+#: A pair is evidence if the lines that only one page has are this share of its characters, on
+#: both; a page whose markup shows its own lines can lose no more than the others anyway.
+OWN_SHARE = 0.1
+#: Different pages on each side that are tried, nearest first, within a task's range.
+NEIGHBOURS = 8
 
 
 def beside(tag: str, attributes: str, inside: bool) -> bool:
@@ -60,7 +72,7 @@ def beside(tag: str, attributes: str, inside: bool) -> bool:
         name, value = name.lower(), "".join(values)
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true" and tag not in INLINE):
             return True
-        if name in ("class", "id", "role") and NAMED.search(value):
+        if name in ("class", "id", "role") and (NAMED_INSIDE if inside else NAMED).search(value):
             return True
     return False
 
@@ -213,6 +225,48 @@ def line_hash(text: str) -> int:
     return xxhash.xxh64_intdigest(text) - (1 << 63)
 
 
+def template_of(a: tuple, b: tuple) -> tuple[list[int], list[int]] | None:
+    """Of two pages (hashes, sizes; own lines have theirs negative): what to delete from each, or None if
+    the pair is no evidence."""
+    out = []
+    for (_, sizes), hit in zip((a, b), shared(a[0], b[0])):
+        if min(sizes, default=0) >= 0 and sum(sizes[k] for k in hit) > (1 - OWN_SHARE) * sum(sizes):
+            return None
+        out.append([k for k in hit if sizes[k] > 0])
+    return tuple(out)
+
+
+class Different:
+    """A page, the keys of the rows that are equal to it, and what the pairs so far delete."""
+
+    def __init__(self, key: int, hashes: list[int], sizes: list[int]):
+        self.keys, self.page, self.behind, self.ahead = [key], (hashes, sizes), None, None
+
+
+def met(near: deque[Different], key: int, hashes: list[int], sizes: list[int]) -> Iterator[tuple[int, list[int]]]:
+    """Pair a page with the different ones before it, nearest first, until it and each of them
+    has a pair that is evidence; (row, lines to delete) for all rows concerned."""
+    for same in near:
+        if min(sizes, default=0) >= 0 and same.page == (hashes, sizes):
+            same.keys.append(key)
+            yield from ((key, cut) for cut in (same.behind, same.ahead) if cut)
+            return
+    here = Different(key, hashes, sizes)
+    for other in reversed(near):
+        if here.behind is not None and other.ahead is not None:
+            continue
+        found = template_of(other.page, here.page)
+        if found is None:
+            continue
+        if other.ahead is None:
+            other.ahead = found[0]
+            yield from ((k, found[0]) for k in other.keys)
+        if here.behind is None:
+            here.behind = found[1]
+            yield key, found[1]
+    near.append(here)
+
+
 def template(pages: DataFrame, key: str, url: str, page: str) -> DataFrame:
     """(row_key, cut): positions of the lines of a page that a neighbour on its host shares."""
 
@@ -223,37 +277,35 @@ def template(pages: DataFrame, key: str, url: str, page: str) -> DataFrame:
                 host, path = place(link)
                 if host:
                     found = lines(text or "")
-                    rows.append((host, path, [line_hash(t) for t, _ in found], [own for _, own in found]))
+                    rows.append((host, path, [line_hash(t) for t, _ in found], [-len(t) if own else len(t) for t, own in found]))
                 else:
                     rows.append((None, None, [], []))
             columns = list(zip(*rows)) if rows else [[], [], [], []]
-            kinds = (pa.string(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.bool_()))
+            kinds = (pa.string(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds))], ["row_key", "host", "path", "hashes", "own"]
+                [batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds))], ["row_key", "host", "path", "hashes", "sizes"]
             )
 
-    def cuts(a: tuple, b: tuple) -> list[tuple[int, list[int]]]:
-        p, q = shared(a[3], b[3])
-        return [(r[0], [k for k in hit if not r[4][k]]) for r, hit in ((a, p), (b, q))]
-
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = last = None
         count = 0
+        near: deque[Different] = deque(maxlen=NEIGHBOURS)
         for batch in batches:
-            rows = []
+            rows: list[tuple[int, list[int]]] = []
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 count += 1
-                if last is not None and last[1] == row[1]:
-                    rows += [(k, cut) for k, cut in cuts(last, row) if cut]
+                if last is not None and last[1] != row[1]:
+                    near.clear()
                 first = first or row
                 last = row
-            yield made([(k, None, None, None, cut, None, None) for k, cut in rows])
+                rows += met(near, row[0], row[3], row[4])
+            yield made([(k, None, None, None, cut, None, None) for k, cut in rows if cut])
         if last is not None:
             yield made([(r[0], r[1], r[3], r[4], None, e, count) for r, e in ((first, 0), (last, 1))])
 
     def made(rows: list[tuple]) -> pa.RecordBatch:
-        names = ["row_key", "host", "hashes", "own", "cut", "edge", "count"]
-        kinds = (pa.int64(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.int32(), pa.int64())
+        names = ["row_key", "host", "hashes", "sizes", "cut", "edge", "count"]
+        kinds = (pa.int64(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.int32(), pa.int64())
         columns = list(zip(*rows)) if rows else [[]] * 7
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
@@ -261,26 +313,26 @@ def template(pages: DataFrame, key: str, url: str, page: str) -> DataFrame:
         for batch in batches:
             rows = []
             for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                one, two = ((r["row_key"], None, None, r["hashes"], r["own"]) for r in (a, b))
-                rows += [(k, cut) for k, cut in cuts(one, two) if cut]
+                found = template_of((a["hashes"], a["sizes"]), (b["hashes"], b["sizes"]))
+                rows += [(r["row_key"], cut) for r, cut in zip((a, b), found or ()) if cut]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k for k, _ in rows], pa.int64()), pa.array([c for _, c in rows], pa.list_(pa.int32()))], ["row_key", "cut"]
             )
 
     narrow = pages.select("row_key", url, page).mapInArrow(
-        parse, "row_key long, host string, path string, hashes array<long>, own array<boolean>"
+        parse, "row_key long, host string, path string, hashes array<long>, sizes array<int>"
     )
     narrow = spill(narrow.filter("host is not null").dropDuplicates(["row_key"]))
     ordered = narrow.repartitionByRange("host", "path", "row_key").sortWithinPartitions("host", "path", "row_key")
     aligned = spill(
         ordered.mapInArrow(
             align,
-            "row_key long, host string, hashes array<long>, own array<boolean>, cut array<int>, edge int, count long",
+            "row_key long, host string, hashes array<long>, sizes array<int>, cut array<int>, edge int, count long",
         ).withColumn("task", F.spark_partition_id())
     )
     # Two rows per range: the last of each and the first of the next that has rows.
     step = Window.partitionBy(F.lit(1)).orderBy("task", "edge")
-    row = F.struct("row_key", "host", "hashes", "own")
+    row = F.struct("row_key", "host", "hashes", "sizes")
     edges = aligned.filter("edge is not null").select("task", "edge", row.alias("a"), F.lead(row).over(step).alias("b"))
     edges = edges.filter("edge = 1 and a.host = b.host").select("a", "b").mapInArrow(across, "row_key long, cut array<int>")
     cut = aligned.filter("cut is not null").select("row_key", "cut").unionByName(edges)

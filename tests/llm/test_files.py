@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import zlib
+from collections import deque
 
 import numpy as np
 import public_tokenizers
@@ -205,6 +206,57 @@ def test_shared_lines_go(spark):
     assert extraction.extract(frame.limit(0)).count() == 0
 
 
+def test_mirrored_pages_keep_their_text_and_lose_the_template(spark):
+    """Runs of equal and of nearly equal pages without an article element."""
+    bar = "".join(f"<div>Section {k}</div>" for k in range(6))
+
+    def page(story, date):
+        return f"<body>{bar}<div>{date}</div><p>{story * 20}</p><div>Imprint</div></body>"
+
+    rows = [(k, f"http://a.org/a{k:03}", page("First story. ", "Monday")) for k in range(40)]
+    rows += [(100 + k, f"http://a.org/b{k:03}", page("Second story. ", f"Day {k}")) for k in range(5)]
+    rows += [(200, "http://a.org/c", page("Third story. ", "Friday"))]
+    rows += [(300 + k, f"http://b.org/{k}", page("Mirrored. ", "Sunday")) for k in range(2)]
+    got = {r["page_id"]: r["text"] for r in extraction.extract(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)).collect()}
+    assert all(got[k] == "Monday\n\n" + ("First story. " * 20).strip() for k in range(40))
+    assert all(got[100 + k] == f"Day {k}\n\n" + ("Second story. " * 20).strip() for k in range(5))
+    assert got[200] == "Friday\n\n" + ("Third story. " * 20).strip()
+    assert all("Mirrored." in got[300 + k] and "Section 1" in got[300 + k] for k in range(2))
+
+
+def test_pairs_equal_a_plain_search(rng):
+    """Every page's deletions against a search over all different neighbours, nearest first."""
+    for _ in range(200):
+        kinds = [([rng.randrange(6) for _ in range(rng.randrange(1, 9))]) for _ in range(4)]
+        pages = [rng.choice(kinds) for _ in range(rng.randrange(1, 12))]
+        sizes = [[(7 * h) % 5 + 1 for h in hashes] for hashes in pages]
+        near, got = deque(maxlen=100), [set() for _ in pages]
+        for k, (hashes, size) in enumerate(zip(pages, sizes)):
+            for key, cut in extraction.met(near, k, hashes, size):
+                got[key] |= set(cut)
+        order = [k for k, p in enumerate(pages) if p not in pages[:k]]
+        want = {}
+        for at, k in enumerate(order):
+            cut = set()
+            for side in (order[:at][::-1], order[at + 1 :]):
+                for other in side:
+                    a, b = sorted((k, other))
+                    found = extraction.template_of((pages[a], sizes[a]), (pages[b], sizes[b]))
+                    if found is not None:
+                        cut |= set(found[k == b])
+                        break
+            want[tuple(pages[k])] = cut
+        assert got == [want[tuple(p)] for p in pages]
+
+
+def test_names_do_not_cut_inside_articles():
+    page = (
+        '<article><div class="article-header related"><h1>Title</h1></div><section id="search">Body</section>'
+        '<div class="comments">No</div><div class="ad">No</div><form>No</form></article><div class="related">No</div>'
+    )
+    assert [t for t, _ in extraction.lines(page)] == ["Title", "Body"]
+
+
 def test_edges_of_ranges_count(spark):
     """The pairing does not depend on how the pages are dealt out."""
     frame = spark.createDataFrame([(k, f"http://s.org/{k:03d}", site(k, f"t{k}")) for k in range(50)], "page_id long, url string, html string")
