@@ -353,22 +353,80 @@ def highest_storm_before(
 CHUNK_HOURS = 366 * 24
 
 
+def _turning_rows(
+    series: DataFrame, keys: Sequence[str], ts: str, value: str, hours: int, digits: int, chunk_hours: int
+) -> DataFrame:
+    """The rows of a series without gaps at which a total over ``hours`` rows can change.
+
+    These are the wet rows and those ``hours`` after one.  In between totals stay as they are,
+    so what is shuffled and sorted grows with the readings and not with the hours that were
+    filled in.  Rows added after a wet row may lie beyond the series: ``_end`` is its last row in
+    their time chunk, null if it has none there.  Dry rows leave the first and last of each
+    chunk, flagged ``_edge``.
+    """
+    keys = list(keys)
+    at, none = F.col(ts), F.lit(None)
+    kind = series.schema[ts].dataType
+    wet = F.coalesce(whole_units(value, 10**digits), F.lit(0).cast("bigint")) != 0
+
+    def row(label: Column, amount: Column, seen: Column) -> Column:
+        place = F.floor(hour_number(F.coalesce(label, seen)) / chunk_hours)
+        return F.struct(
+            place.alias("_place"), label.cast(kind).alias("_label"),
+            amount.cast("double").alias("_amount"), seen.cast(kind).alias("_seen"),
+        )
+
+    later = at + F.make_dt_interval(F.lit(0), F.lit(hours))
+    spread = F.when(wet, F.array(row(at, F.col(value), at), row(later, none, none.cast(kind))))
+    spread = spread.otherwise(F.array(row(none.cast(kind), none, at)))
+    rows = (
+        series.filter(at.isNotNull())
+        .select(*keys, F.inline(spread))
+        .groupBy(*keys, "_place", "_label")
+        .agg(F.max("_amount").alias(value), F.min("_seen").alias("_first"), F.max("_seen").alias("_end"))
+    )
+    edges = F.array_distinct(F.array("_first", "_end"))
+    edge = F.col("_label").isNull()
+    labels = F.when(edge, edges).otherwise(F.array("_label"))
+    return rows.select(*keys, value, "_end", edge.alias("_edge"), F.explode(labels).alias(ts))
+
+
 def _rolled(
     series: DataFrame, keys: Sequence[str], ts: str, value: str, hours: int, digits: int, chunk_hours: int
 ) -> DataFrame:
-    """Whole units, their total over ``hours`` rows, and both of the row before, per time chunk.
+    """Whole units, their total over ``hours`` hours, and both of the hour before, per time chunk.
 
-    Every chunk sees the ``hours`` + 1 rows before it, so no total needs another chunk.
+    Hours without a row count as dry.  Every chunk sees the ``hours`` + 1 hours before it, so
+    no total needs another chunk.
     """
-    window = Window.partitionBy(*keys, "_chunk").orderBy(ts)
+    window = Window.partitionBy(*keys, "_chunk").orderBy("_hour")
     zero = F.lit(0).cast("bigint")
     # Rows that come partitioned by the keys alone would stay so without being asked.
     rows = with_halo(series, ts, chunk_hours, hours + 1).repartition(*keys, "_chunk")
-    rows = rows.withColumn("_units", F.coalesce(whole_units(value, 10**digits), zero))
-    rows = rows.withColumn("_sum", F.sum("_units").over(window.rowsBetween(Window.unboundedPreceding, 0)))
-    rows = rows.withColumn("_roll", F.col("_sum") - F.coalesce(F.lag("_sum", hours).over(window), zero))
-    before = {f"{c}_before": F.coalesce(F.lag(c).over(window), zero) for c in ("_units", "_roll")}
-    return rows.withColumns(before).filter(~F.col("_halo"))
+    rows = rows.withColumns({
+        "_hour": hour_number(ts), "_units": F.coalesce(whole_units(value, 10**digits), zero)
+    }).drop(value)
+    spans = {
+        "_roll": (1 - hours, 0), "_units_before": (-1, -1), "_roll_before": (-hours, -1)
+    }
+    totals = {
+        out: F.coalesce(F.sum("_units").over(window.rangeBetween(*span)), zero) for out, span in spans.items()
+    }
+    return rows.withColumns(totals).filter(~F.col("_halo"))
+
+
+def _rolled_turns(
+    series: DataFrame, keys: Sequence[str], ts: str, value: str, hours: int, digits: int, chunk_hours: int
+) -> DataFrame:
+    """:func:`_rolled` at the turning rows that the series has, one per hour."""
+    turns = _turning_rows(series, keys, ts, value, hours, digits, chunk_hours)
+    rows = _rolled(turns, keys, ts, value, hours, digits, chunk_hours)
+    window = Window.partitionBy(*keys, "_chunk").orderBy("_hour")
+    whole = window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = rows.withColumns({
+        "_end": F.max("_end").over(whole), "_alike": F.count("*").over(window.rangeBetween(0, 0))
+    })
+    return rows.filter((F.col(ts) <= F.col("_end")) & ~(F.col("_edge") & (F.col("_alike") > 1)))
 
 
 def rain_events(
@@ -392,27 +450,30 @@ def rain_events(
     before its label.
 
     A row below the floor closes a segment, so an event is a segment whose first
-    row starts one.  Segments are folded per (key, chunk of hours) and merged
-    over chunks: a station's history is scanned by many tasks, once, forwards.
+    row starts one.  Only rows where a rolling total can change are looked at.
+    Segments are folded per (key, chunk of hours) and merged over chunks: a
+    station's history is scanned by many tasks, once, forwards.
     """
     keys = list(keys)
     unit = 10**digits
     limit = F.lit(round(floor * unit))
-    rows = _rolled(series, keys, ts, value, dry_hours, digits, chunk_hours)
+    rows = _rolled_turns(series, keys, ts, value, dry_hours, digits, chunk_hours)
     opens, dry = F.col("_roll_before") < limit, F.col("_roll") < limit
-    started = F.struct(F.col(ts).alias("label"), F.col("_units_before").alias("units"))
-    closed = F.struct(F.col(ts).alias("label"), F.col("_roll").alias("units"))
+    starts = opens & (F.col("_units") > limit)
+    # A segment has one starting and one dry row at most: plain columns, which need no sort.
     folds = {
-        "_start": ("max", F.when(opens & (F.col("_units") > limit), started)),
-        "_end": ("max", F.when(dry, closed)),
+        "_start": ("max", F.when(starts, F.col(ts))),
+        "_start_units": ("max", F.when(starts, F.col("_units_before"))),
+        "_end": ("max", F.when(dry, F.col(ts))),
+        "_end_units": ("max", F.when(dry, F.col("_roll"))),
         "_sum": ("sum", F.col("_units")),
     }
     # A dry row after a dry row is a segment by itself and no event.
     found = fold_segments(rows, keys, "_chunk", ts, opens, ~(opens & dry), folds).filter("_start is not null")
     hour = F.make_dt_interval(F.lit(0), F.lit(1))
-    end = F.col("_end.label") - F.make_dt_interval(F.lit(0), F.lit(dry_hours))
-    found = found.withColumns({"start_time": F.col("_start.label") - hour, "end_time": end})
-    units = F.col("_start.units") + F.col("_sum") - F.col("_end.units")
+    end = F.col("_end") - F.make_dt_interval(F.lit(0), F.lit(dry_hours))
+    found = found.withColumns({"start_time": F.col("_start") - hour, "end_time": end})
+    units = F.col("_start_units") + F.col("_sum") - F.col("_end_units")
     return found.select(
         *keys,
         "start_time",
@@ -441,11 +502,15 @@ def rain_runs(
     keys = list(keys)
     unit = F.lit(float(10**digits))
     wet, wet_before = (F.col(c) / unit >= F.lit(floor) for c in ("_roll", "_roll_before"))
-    rows = _rolled(series, keys, ts, value, dry_hours, digits, chunk_hours)
+    rows = _rolled_turns(series, keys, ts, value, dry_hours, digits, chunk_hours)
+    # The row that ends a run tells its last label; the rows before it may be left out.
+    hour_before = F.col(ts) - F.make_dt_interval(F.lit(0), F.lit(1))
     folds = {
-        "first_label": ("min", F.col(ts)),
-        "last_label": ("max", F.col(ts)),
-        "_sum": ("sum", F.col("_units")),
+        "first_label": ("min", F.when(wet, F.col(ts))),
+        "last_label": ("max", F.when(wet, F.col(ts)).otherwise(hour_before)),
+        "_sum": ("sum", F.when(wet, F.col("_units"))),
     }
-    found = fold_segments(rows, keys, "_chunk", ts, wet & ~wet_before, wet, folds)
+    found = fold_segments(rows, keys, "_chunk", ts, wet & ~wet_before, wet | wet_before, folds)
+    # With a floor of 0 or less a series starts inside a run, which a first row may only end.
+    found = found.filter("first_label is not null")
     return found.select(*keys, "first_label", "last_label", (F.col("_sum") / unit).alias("total_precip"))

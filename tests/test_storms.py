@@ -312,3 +312,37 @@ def test_bands_from_a_table_against_a_search(spark):
     assert {r.n for r in in_bands(rows, ["k"], "v", limits_df.limit(0), "lim", "n").collect()} == {None}
     plan = in_bands(rows, ["k"], "v", limits_df, "lim", "n")._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rain_scan_grows_with_wet_hours_and_not_with_filled_ones(spark):
+    """Long dry gaps are shuffled and sorted as a row or two per chunk, with the same events and runs."""
+    values = np.zeros(3_000)
+    values[[5, 6, 900, 911, 912, 1_000, 2_990]] = [0.5, 0.2, 0.3, 0.3, 0.01, 0.001, 0.7]
+    df = series_of(spark, values)
+    turns = storms._rolled_turns(df, ["station"], "ts", "value", 12, 4, 500)
+    hours = [int((r.ts - START).total_seconds() // 3600) for r in turns.select("ts").collect()]
+    assert len(hours) == len(set(hours)) < 30 and max(hours) == 2_999
+    units = [round(v * 10_000) for v in values]
+    at = lambda t: None if t is None else int((t - START).total_seconds() // 3600)
+    events = storms.rain_events(df, ["station"], "ts", "value", chunk_hours=500)
+    got = [(at(r.start_time), at(r.end_time), None if r.total_precip is None else round(r.total_precip * 10_000)) for r in events.collect()]
+    assert sorted(got, key=lambda e: e[0]) == walked_events(units)
+    assert "SortAggregate" not in plan_of(events)
+    runs = storms.rain_runs(df, ["station"], "ts", "value", chunk_hours=500).collect()
+    assert sorted((at(r.first_label), at(r.last_label), round(r.total_precip * 10_000)) for r in runs) == walked_runs(units)
+
+
+@pytest.mark.parametrize("floor", [0.0, 0.04])
+def test_runs_without_turning_rows_at_their_ends(spark, floor):
+    """A run that stops with the series in a chunk without rain, a dry series, and amounts below zero."""
+    for units in ([0] * 20 + [500] + [0] * 8, [0] * 40, [0, 600, -700, 0, 900] + [0] * 30, [0] * 27 + [300, 300]):
+        df = series_of(spark, [u / 10_000 for u in units])
+        runs = storms.rain_runs(df, ["station"], "ts", "value", floor=floor, chunk_hours=13).collect()
+        at = lambda t: int((t - START).total_seconds() // 3600)
+        got = sorted((at(r.first_label), at(r.last_label), round(r.total_precip * 10_000)) for r in runs)
+        if floor or min(units) >= 0:
+            assert got == walked_runs(units, floor=round(floor * 10_000))
