@@ -59,15 +59,20 @@ def _per_duration(bands: Sequence[Band], **fields) -> Column:
 
 def _class_of(inches: str, bands: Sequence[Band]) -> Column:
     """Largest n whose limit, carried by the row, is reached."""
-    periods = [n for n, _ in bands[0].limits]
-    if any([n for n, _ in band.limits] != periods for band in bands):
-        raise ValueError("all durations need the same return periods")
+    periods = _common_periods(bands)
     chain = F
     for i, n in reversed(list(enumerate(periods))):
         chain = chain.when(F.col(inches) >= F.col(f"limit_{i}"), F.lit(n))
     return chain.otherwise(F.lit(None).cast("int"))
 
 
+def _common_periods(bands: Sequence[Band]) -> list[int]:
+    periods = [n for n, _ in bands[0].limits]
+    if any([n for n, _ in band.limits] != periods for band in bands):
+        raise ValueError("all durations need the same return periods")
+    return periods
+
+
 def storm_candidates(
     series: DataFrame, keys: Sequence[str], ts: str, value: str, bands: Sequence[Band], **more
 ) -> DataFrame:
@@ -124,10 +129,89 @@ def choose_without_overlap(
     return kept.select(*candidates.columns)
 
 
-def _settled(rank: tuple[tuple[str, bool], ...], closed: bool, hold: int, rounds: int = ROUNDS):
+def choose_windows(
+    rolled: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    bands: Sequence[Band],
+    rank: Sequence[tuple[str, bool]],
+    *,
+    apart: bool,
+    closed: bool = True,
+    hold: int = HOLD,
+) -> DataFrame:
+    """:func:`choose_without_overlap` over the candidates among rolling totals.
+
+    Gives keys, n, duration_hrs, start_time, end_time, inches; ``apart`` chooses per
+    duration.  ``rolled`` comes from :func:`rolling_totals`, which leaves the rows of a key
+    in order.  They go to the chooser as they are, one per window end, and become a row per
+    duration only there: candidates are neither sorted nor spilled.  One of ``k`` hours that
+    ends at the next window end or later starts at most ``k`` hours before it.
+    """
+    keys, periods = list(keys), _common_periods(bands)
+    ordered = Window.partitionBy(*keys).orderBy("end_time")
+    totals = [rolling_column(b.hours) for b in bands]
+    ends = (
+        rolled.filter(_any(F.col(total) >= F.lit(b.lowest) for total, b in zip(totals, bands)))
+        .select(*keys, F.col(ts).alias("end_time"), hour_number(ts).alias("_hour"), *totals)
+        .withColumn("_next", F.lead("_hour").over(ordered))
+        .sortWithinPartitions(*keys, "end_time")
+    )
+    durations = [(b.hours, rolling_column(b.hours), [float(limit) for _, limit in b.limits]) for b in bands]
+    spread = _spread_windows(keys, durations, periods, apart)
+    out = rolled.select(
+        *keys,
+        F.lit(periods[0]).alias("n"),
+        F.lit(0).alias("duration_hrs"),
+        F.col(ts).alias("start_time"),
+        F.col(ts).alias("end_time"),
+        F.col(totals[0]).alias("inches"),
+    )
+    return ends.mapInArrow(_settled(tuple(rank), closed, hold, spread=spread), out.schema)
+
+
+def _spread_windows(keys: list[str], durations: list[tuple[int, str, list[float]]], periods: list[int], apart: bool):
+    """Arrow rows of window ends, with their key numbers, to a table of their candidates."""
+    longest = max(hours for hours, _, _ in durations)
+    hour_us = 3_600_000_000
+
+    def spread(batch, key):
+        import numpy as np
+        import pyarrow as pa
+
+        hour = batch.column("_hour").to_numpy()
+        tables = []
+        for at, (hours, total, limits) in enumerate(durations):
+            inches = batch.column(total).to_numpy(zero_copy_only=False)
+            own = np.flatnonzero(inches >= limits[0])
+            ends, inches = batch.column("end_time").take(pa.array(own)), inches[own]
+            reached = np.zeros(len(own), np.int64)
+            for i, limit in enumerate(limits):
+                reached[inches >= limit] = i
+            starts = pa.array(ends.cast(pa.int64()).to_numpy(zero_copy_only=False) - hours * hour_us).cast(ends.type)
+            tables.append(pa.table({
+                **{name: batch.column(name).take(pa.array(own)) for name in keys},
+                "n": np.array(periods, np.int32)[reached],
+                "duration_hrs": np.full(len(own), hours, np.int32),
+                "start_time": starts,
+                "end_time": ends,
+                "inches": inches,
+                "_from": hour[own] - hours,
+                "_to": hour[own],
+                "_key": key[own] * len(durations) + at if apart else key[own],
+                "_last": key[own],
+                "_reach": np.full(len(own), hours if apart else longest, np.int64),
+            }))
+        return pa.concat_tables(tables)
+
+    return spread
+
+
+def _settled(rank: tuple[tuple[str, bool], ...], closed: bool, hold: int, rounds: int = ROUNDS, spread=None):
     """Chooser over a stream ordered by key and start; ``_next`` is the key's next start.
 
-    A nested function travels to the workers by value, so they need no copy of
+    With ``spread`` the stream is one of window ends in order, ``_next`` the key's next
+    end, and ``spread`` gives the candidates that end there.  A nested function travels to the workers by value, so they need no copy of
     this package.
     """
 
@@ -156,19 +240,18 @@ def _settled(rank: tuple[tuple[str, bool], ...], closed: bool, hold: int, rounds
                     highest = np.maximum(highest[: -(1 << k)], highest[1 << k :])
             return found == worth
 
-        def settle(rows, held, more):
-            """Row numbers kept, and of the last key those that still wait."""
+        def settle(rows, last, following):
+            """Row numbers kept, and of the last key, if it goes on, those that still wait."""
             start = rows.column("_from").to_numpy()
             stop = rows.column("_to").to_numpy() + (1 if closed else 0)
-            opens = np.zeros(len(start), bool)
-            opens[1:] = rows.column("_next").is_null().to_numpy()[:-1]
-            opens[: held + 1] = False  # what was held belongs to the key that goes on
-            key = np.cumsum(opens)
-            frontier = rows.column("_next")[-1].as_py() if more else None
-            waits = (key == key[-1]) & (stop > frontier) if more else np.zeros(len(start), bool)
+            key = rows.column("_key").to_numpy()
+            waits = np.zeros(len(start), bool)
+            if following is not None:
+                frontier = following - rows.column("_reach").to_numpy()
+                waits = (rows.column("_last").to_numpy() == last) & (stop > frontier)
             # All keys on one axis of cells between the ends that occur.
             low = min(start.min(), stop.min())
-            axis = key * (max(start.max(), stop.max()) - low + 1) - low
+            axis = (key - key.min()) * (max(start.max(), stop.max()) - low + 1) - low
             points = np.unique(np.concatenate([start + axis, stop + axis]))
             first, last = np.searchsorted(points, start + axis), np.searchsorted(points, stop + axis)
             columns = []
@@ -212,25 +295,42 @@ def _settled(rank: tuple[tuple[str, bool], ...], closed: bool, hold: int, rounds
                 alive = np.sort(np.array(left, np.int64))
             return np.flatnonzero(keep), alive
 
-        waiting, held, gathered = [], 0, 0
+        helpers = ("_key", "_last", "_reach") if spread is None else ("_from", "_to", "_key", "_last", "_reach")
 
-        def flush(more):
+        def numbered(batch, key):
+            """Candidates as they come: a key is settled by itself, the next start is the frontier."""
+            rows = pa.Table.from_batches([batch])
+            for name, values in zip(helpers, (key, key, np.zeros(len(key), np.int64))):
+                rows = rows.append_column(name, pa.array(values))
+            return rows
+
+        waiting, held, gathered, last, following = [], 0, 0, 0, None
+
+        def flush():
             nonlocal waiting, held, gathered
-            rows = pa.Table.from_batches(waiting)
-            kept, left = settle(rows, held, more)
-            waiting = rows.take(left).to_batches() if len(left) else []
+            rows = pa.concat_tables(waiting)
+            kept, left = settle(rows, last, following)
+            waiting = [rows.take(left)] if len(left) else []
             held, gathered = len(left), 0
-            return rows.take(kept).to_batches()
+            return rows.take(kept).drop_columns(list(helpers)).to_batches()
 
+        ended = 0
         for batch in batches:
             if not batch.num_rows:
                 continue
-            waiting.append(batch)
-            gathered += batch.num_rows
+            ends = np.cumsum(batch.column("_next").is_null().to_numpy(zero_copy_only=False))
+            key = ended + np.concatenate([[0], ends[:-1]])
+            last, following, ended = key[-1], batch.column("_next")[-1].as_py(), ended + ends[-1]
+            rows = (spread or numbered)(batch, key)
+            if not rows.num_rows:
+                continue
+            waiting.append(rows)
+            gathered += rows.num_rows
             if gathered >= max(hold, held):
-                yield from flush(batch.column("_next")[-1].is_valid)
+                yield from flush()
         if gathered or held:
-            yield from flush(False)
+            following = None
+            yield from flush()
 
     return choose
 
@@ -242,9 +342,9 @@ def unique_storms(
 
     Rank: n, duration and inches descending, then the earlier end.
     """
-    candidates = storm_candidates(series, keys, ts, value, bands, **more)
+    rolled = rolling_totals(series, keys, ts, value, [b.hours for b in bands], **more)
     rank = [("n", True), ("duration_hrs", True), ("inches", True), ("end_time", False)]
-    return choose_without_overlap(candidates, keys, rank, closed=True)
+    return choose_windows(rolled, keys, ts, bands, rank, apart=False, closed=True)
 
 
 def storms_per_duration(
@@ -255,9 +355,9 @@ def storms_per_duration(
     ``limits`` maps hours to inches; windows must be full.
     """
     bands = [Band(hours, ((0, limit),)) for hours, limit in sorted(limits.items())]
-    candidates = storm_candidates(series, keys, ts, value, bands, full=True, **more).drop("n")
+    rolled = rolling_totals(series, keys, ts, value, [b.hours for b in bands], full=True, **more)
     rank = [("inches", True), ("end_time", False)]
-    return choose_without_overlap(candidates, [*keys, "duration_hrs"], rank, closed=False)
+    return choose_windows(rolled, keys, ts, bands, rank, apart=True, closed=False).drop("n")
 
 
 def storms_within(

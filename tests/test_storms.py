@@ -346,3 +346,39 @@ def test_runs_without_turning_rows_at_their_ends(spark, floor):
         got = sorted((at(r.first_label), at(r.last_label), round(r.total_precip * 10_000)) for r in runs)
         if floor or min(units) >= 0:
             assert got == walked_runs(units, floor=round(floor * 10_000))
+
+
+@pytest.mark.parametrize("hold", [7, 20_000])
+@pytest.mark.parametrize("apart", [True, False])
+def test_windows_are_chosen_like_candidates_without_sorting_them(spark, apart, hold):
+    rng = np.random.default_rng(5)
+    limits = [Band(k, ((1, 0.3 + k / 20), (2, 0.5 + k / 20), (5, 0.8 + k / 20))) for k in (1, 3, 12, 48)]
+    rows = []
+    for station, wet in (("a", 0.5), (None, 0.2), ("c", 0.05), ("dry", 0.0)):
+        values = np.where(rng.random(500) < wet, np.round(rng.random(500), 1), 0)
+        rows += [(station, START + timedelta(hours=h), float(v)) for h, v in enumerate(values)]
+    df = spark.createDataFrame(rows, "station string, ts timestamp_ntz, value double")
+    rank = [("n", True), ("duration_hrs", True), ("inches", True), ("end_time", False)]
+    by = ["station", "duration_hrs"] if apart else ["station"]
+    candidates = storms.storm_candidates(df, ["station"], "ts", "value", limits)
+    want = storms.choose_without_overlap(candidates, by, rank, closed=not apart, hold=hold)
+    rolled = storms.rolling_totals(df, ["station"], "ts", "value", [b.hours for b in limits])
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        chosen = storms.choose_windows(rolled, ["station"], "ts", limits, rank, apart=apart, closed=not apart, hold=hold)
+        got = chosen.collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert chosen.schema.simpleString() == want.schema.simpleString()
+    assert {tuple(r) for r in got} == {tuple(r) for r in want.collect()} and len(got) == want.count() > 30
+
+
+def test_storms_sort_the_series_once(spark):
+    df = series_of(spark, [0.5] * 50)
+    for found in (
+        storms.storms_per_duration(df, ["station"], "ts", "value", {1: 0.1, 6: 1.0}),
+        storms.unique_storms(df, ["station"], "ts", "value", bands()),
+    ):
+        assert found.count() > 0
+        assert plan_of(found).split("== Initial Plan ==")[-1].count("Sort [") == 1
+        assert "Generate" not in plan_of(found)
