@@ -5,6 +5,8 @@ dictionary of document frequencies.  Queries come in blocks.  For a block, every
 impact lists of the block's terms and, for terms that stand next to each other in the order of
 weight within a query, the list of the documents that hold both, with the greatest impact that
 both reach together in one document.  Written once, these lists serve all queries of the block.
+Long lists travel packed (narrow numbers, compressed), as whole shards pass through the memory of
+the executors side by side.
 
 A pair adds at most its joint maximum where both meet, and at most the larger of the two maxima
 elsewhere; independent maxima would add up to more.  For every number of terms, in ascending
@@ -70,6 +72,32 @@ def listed(values, kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
+#: Of packed numbers; the first that holds all of them is taken.
+WIDTHS = [np.dtype(k) for k in ("u1", "u2", "u4", "i8")]
+
+
+def packed(parts: list[np.ndarray]) -> pa.Array:
+    """One row that holds all values of the parts, compressed."""
+    most = max((int(p.max(initial=0)) for p in parts), default=0)
+    least = min((int(p.min(initial=0)) for p in parts), default=0)
+    kind = next(k for k in WIDTHS if np.iinfo(k).min <= least and most <= np.iinfo(k).max)
+    values = np.empty(sum(map(len, parts)), kind)
+    at = 0
+    for part in parts:
+        values[at : at + len(part)] = part
+        at += len(part)
+    head = kind.itemsize.to_bytes(1, "little") + values.nbytes.to_bytes(8, "little")
+    return listed([head + pa.compress(values.data, "zstd", asbytes=True)], pa.binary())
+
+
+def unpacked(row: pa.Array, kind: str) -> np.ndarray:
+    """The values of a packed row, as ``kind``."""
+    held = row[0].as_buffer()
+    width, size = held[0], int.from_bytes(held[1:9], "little")
+    narrow = next(k for k in WIDTHS if k.itemsize == width)
+    return np.frombuffer(pa.decompress(held.slice(9), size, "zstd"), narrow).astype(kind)
+
+
 def build(docs: DataFrame, key: str = "doc_id", text: str = "text", shard: int = SHARD) -> Index:
     """Index every row of ``docs`` that has a term."""
     kind = docs.schema[key].dataType.simpleString()
@@ -80,9 +108,16 @@ def build(docs: DataFrame, key: str = "doc_id", text: str = "text", shard: int =
         keys, lengths, held, read, key_type = [], [], [], 0, None
 
         def flush() -> pa.RecordBatch:
-            docs_ = np.repeat(np.arange(len(keys)), lengths)
-            codes, times = np.unique(np.concatenate(held) * len(keys) + docs_, return_counts=True)
+            codes = np.concatenate(held, dtype=np.int64)
+            held.clear()
+            codes *= len(keys)
+            codes += np.repeat(np.arange(len(keys), dtype=np.int32), lengths)
+            codes.sort()
+            first = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
+            times = np.diff(first, append=len(codes))
+            codes = codes[first]
             holding = np.bincount(codes // len(keys), minlength=len(known))
+            codes %= len(keys)
             row = [
                 pa.array([number]),
                 pa.array([len(keys)]),
@@ -91,8 +126,8 @@ def build(docs: DataFrame, key: str = "doc_id", text: str = "text", shard: int =
                 listed(lengths, pa.int64()),
                 listed(list(known), pa.binary()),
                 listed(holding, pa.int64()),
-                listed(codes % len(keys), pa.int32()),
-                listed(times, pa.int32()),
+                packed([codes]),
+                packed([times]),
             ]
             return pa.RecordBatch.from_arrays(row, names)
 
@@ -108,8 +143,9 @@ def build(docs: DataFrame, key: str = "doc_id", text: str = "text", shard: int =
                     known = defaultdict(count().__next__)
                 keys.append(doc)
                 lengths.append(len(found))
-                held.append(np.fromiter(map(known.__getitem__, found), np.int64, len(found)))
+                held.append(np.fromiter(map(known.__getitem__, found), np.int32, len(found)))
                 read += len(found)
+        batch = value = None  # the texts go before the last lists are made
         if keys:
             yield flush()
 
@@ -118,7 +154,7 @@ def build(docs: DataFrame, key: str = "doc_id", text: str = "text", shard: int =
         docs.select(key, F.col(text).cast("binary")).mapInArrow(
             run,
             f"shard long, documents long, words long, keys array<{kind}>, lengths array<long>, "
-            "terms array<binary>, holding array<long>, docs array<int>, times array<int>",
+            "terms array<binary>, holding array<long>, docs array<binary>, times array<binary>",
         )
     )
     dictionary = spill(
@@ -166,7 +202,8 @@ def prepare(index: Index, vocabulary: dict[bytes, int], weights: list[int], pair
         for batch in batches:
             for k in range(batch.num_rows):
                 keys, lengths, found, holding, docs, times = (c[k].values for c in batch.columns)
-                lengths, holding, docs, times = (np.asarray(c) for c in (lengths, holding, docs, times))
+                lengths, holding = np.asarray(lengths), np.asarray(holding)
+                docs, times = unpacked(docs, "i4"), unpacked(times, "i4")
                 ends = np.cumsum(holding)
                 lists = {}
                 for place, term in enumerate(found.to_pylist()):
@@ -193,27 +230,27 @@ def prepare(index: Index, vocabulary: dict[bytes, int], weights: list[int], pair
                             joint.append(int((dense[shared] + lists[b][1][met]).max(initial=0)))
                     here[at] = False
                 order = sorted(lists)
-                flat = [np.empty(0, np.int64)]
                 row = [
                     listed(keys, keys.type),
                     listed(order, pa.int32()),
                     listed([len(lists[t][0]) for t in order], pa.int32()),
-                    listed(np.concatenate(flat + [lists[t][0] for t in order]), pa.int32()),
-                    listed(np.concatenate(flat + [lists[t][1] for t in order]), pa.int64()),
+                    packed([lists[t][0] for t in order]),
+                    packed([lists[t][1] for t in order]),
                     listed(first, pa.int32()),
                     listed(second, pa.int32()),
                     listed([len(d) for d in both], pa.int32()),
-                    listed(np.concatenate(flat + both), pa.int32()),
+                    packed(both),
                     listed(joint, pa.int64()),
                 ]
                 yield pa.RecordBatch.from_arrays(row, names)
+                del docs, times, lists, both, row  # before the next shard is unpacked
 
     names = ["keys", "terms", "holding", "docs", "impacts", "first", "second", "shared", "both", "joint"]
     return spill(
         index.shards.select("keys", "lengths", "terms", "holding", "docs", "times").mapInArrow(
             run,
-            f"keys {kind}, terms array<int>, holding array<int>, docs array<int>, impacts array<long>, "
-            "first array<int>, second array<int>, shared array<int>, both array<int>, joint array<long>",
+            f"keys {kind}, terms array<int>, holding array<int>, docs array<binary>, impacts array<binary>, "
+            "first array<int>, second array<int>, shared array<int>, both array<binary>, joint array<long>",
         )
     )
 
@@ -221,7 +258,8 @@ def prepare(index: Index, vocabulary: dict[bytes, int], weights: list[int], pair
 def lists_of(columns: list) -> Lists:
     """Read one prepared row."""
     keys, found, holding, docs, worth, first, second, shared, both, joint = columns
-    found, holding, docs, worth, shared, both, joint = map(np.asarray, (found, holding, docs, worth, shared, both, joint))
+    found, holding, shared, joint = map(np.asarray, (found, holding, shared, joint))
+    docs, worth, both = unpacked(docs, "i4"), unpacked(worth, "i8"), unpacked(both, "i4")
     cuts = np.cumsum(holding)[:-1]
     lists = dict(zip(found.tolist(), zip(np.split(docs, cuts), np.split(worth, cuts)))) if len(found) else {}
     greatest = {t: int(w.max(initial=0)) for t, (_, w) in lists.items()}
@@ -343,6 +381,7 @@ def answered(prepared: DataFrame, queries: list[Query], best: int, paired: bool
                         have += zip(scores.tolist(), [shard.keys[d] for d in at.tolist()])
                         have.sort(key=ordered)
                         del have[best:]
+                del shard  # before the next one is unpacked
         rows = [(number, doc, score) for number, have in held.items() for score, doc in have]
         if rows:
             number, doc, score = zip(*rows)

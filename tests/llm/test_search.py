@@ -117,6 +117,31 @@ def test_bounds_hold_for_every_document(spark, rng):
             assert scores.max() <= unit.alone
 
 
+def test_packed_lists_come_back():
+    for values in ([], [0], [255, 0], [256, 1], [65536], [1 << 32], [-3, 70000]):
+        parts = [np.array(values, np.int64), np.array([], np.int32), np.array(values[:1], np.int64)]
+        row = search.packed(parts)
+        assert len(row) == 1
+        assert search.unpacked(row[0].values, "i8").tolist() == values + values[:1]
+    assert search.unpacked(search.packed([])[0].values, "i4").tolist() == []
+
+
+def test_shards_travel_small(spark, rng):
+    """Executors hold whole shards; their rows take less than half the bytes of plain numbers."""
+    index = search.build(spark.createDataFrame(made(rng, 2000, 120), "doc_id long, text string").coalesce(1))
+    row = index.shards.select("holding", "docs", "times").toArrow().to_batches()[0]
+    entries = sum(row["holding"].to_pylist()[0])
+    assert entries > 30_000
+    assert row["docs"].nbytes + row["times"].nbytes < 3 * entries
+    vocabulary = {f"w{k}".encode(): k for k in range(60)}
+    pairs = [(k, k + 1) for k in range(59)]
+    row = search.prepare(index, vocabulary, [1000 + k for k in range(60)], pairs).toArrow().to_batches()[0]
+    lists = search.lists_of([c[0].values for c in row.columns])
+    listed, met = sum(len(d) for d, _ in lists.lists.values()), sum(len(d) for d, _ in lists.pairs.values())
+    assert listed > 20_000 and met > 5_000
+    assert sum(row[c].nbytes for c in ("docs", "impacts", "both")) < 0.5 * (12 * listed + 4 * met)
+
+
 def test_query_equals_plain_scoring(spark, folder):
     docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
     items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
