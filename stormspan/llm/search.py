@@ -158,9 +158,11 @@ def build(docs: DataFrame, key: str = "doc_id", text: str = "text", shard: int =
         )
     )
     dictionary = spill(
-        shards.select(F.explode(F.arrays_zip("terms", "holding")).alias("t"))
-        .groupBy(F.col("t.terms").alias("term"))
-        .agg(F.sum("t.holding").alias("holding"))
+        # Not a zip: its structs would all stand in memory, one per term of a shard.
+        shards.select(F.posexplode("terms").alias("place", "term"), "holding")
+        .select("term", F.get("holding", "place").alias("holding"))
+        .groupBy("term")
+        .agg(F.sum("holding").alias("holding"))
     )
     total = shards.agg(F.sum("documents"), F.sum("words")).first()
     return Index(shards, dictionary, total[0] or 0, total[1] or 0)
